@@ -24,7 +24,7 @@ def _(spark, sf):
 ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""")
 def _(spark, sf):
     docs = table(spark, sf, "documents")
-    return dedup.drop_copies(docs, ["text"], [F.col("doc_id").asc()]).select("doc_id", "lang", "source", "n_chars")
+    return dedup.drop_copies(docs, ["text"], [F.col("doc_id").asc()], digest=True).select("doc_id", "lang", "source", "n_chars")
 
 
 @query("dup_groups", """SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
@@ -43,7 +43,8 @@ def _(spark, sf):
 @query("dup_flag", """SELECT conv_id, turn, role, count(*) OVER (PARTITION BY text) > 1 AS is_duplicate
 FROM conversations""")
 def _(spark, sf):
-    talk = groups.with_group_count(table(spark, sf, "conversations"), ["text"], "n")
+    talk = table(spark, sf, "conversations").withColumn("h", F.sha2("text", 256)).drop("text")
+    talk = groups.with_group_count(talk, ["h"], "n")
     return talk.select("conv_id", "turn", "role", (F.col("n") > 1).alias("is_duplicate"))
 
 
@@ -53,8 +54,8 @@ SELECT *, count(*) OVER (PARTITION BY customer_id) AS n,
 nullif(count(*) FILTER (WHERE account_tier = '1-URGENT') OVER (PARTITION BY customer_id), 0) AS p FROM a)""")
 def _(spark, sf):
     rows = views.accounts(spark, sf)
-    rows = groups.with_group_count(rows, ["customer_id"], "p", where=F.col("account_tier") == "1-URGENT")
-    rows = groups.with_group_count(rows, ["customer_id"], "n")
+    urgent = F.count_if(F.col("account_tier") == "1-URGENT")
+    rows = groups.with_group(rows, ["customer_id"], {"p": F.nullif(urgent, F.lit(0)), "n": F.count(F.lit(1))})
     return rows.select(
         "account_id", "customer_id", (F.col("p") > 1).alias("primary_account_violation"),
         (F.col("n") > 1).alias("multi_account_flag"),
@@ -305,7 +306,13 @@ LEFT JOIN orders o ON t.account_id = o.o_orderkey AND o.o_orderpriority <> '5-LO
 LEFT JOIN customer c ON o.o_custkey = c.c_custkey WHERE t.is_completed"""
 
 
-def transaction_fact(spark, sf):
+FACT_COLUMNS = (
+    "account_id transaction_id transaction_date date_key dim_account_key primary_customer_sk transaction_amount "
+    "transaction_amount_abs fee_amount channel is_debit"
+).split()
+
+
+def transaction_fact(spark, sf, columns=tuple(FACT_COLUMNS), history_columns=()):
     rows = views.accounts(spark, sf)
     holders = rows.filter("account_tier <> '5-LOW'").select("account_id", "customer_id", F.lit("primary_holder").alias("signatory_role"))
     customers = table(spark, sf, "customer").select(
@@ -313,9 +320,7 @@ def transaction_fact(spark, sf):
     )
     owners = fact_plan.account_owner(holders, rows, customers)
     return fact_plan.transaction_fact(
-        views.transactions(spark, sf), account_history(spark, sf), owners,
-        ["account_id", "transaction_id", "transaction_date", "date_key", "dim_account_key", "primary_customer_sk",
-         "transaction_amount", "transaction_amount_abs", "fee_amount", "channel", "is_debit"],
+        views.transactions(spark, sf), account_history(spark, sf), owners, columns, history_columns
     )
 
 
@@ -339,15 +344,16 @@ round(sum(f.transaction_amount), 2) AS net_amount, round(sum(f.transaction_amoun
 FROM f JOIN orders o ON f.account_id = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY ALL""")
 def flagship(spark, sf):
     """Newest transactions, valid account version, signed amounts, monthly sums by customer segment."""
-    fact = transaction_fact(spark, sf)
-    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("account_id"), F.col("o_custkey").alias("c_custkey"))
-    customers = table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
-    # account and day first: the joins below then see one row per account and month
-    cells = fact.groupBy("account_id", F.trunc("transaction_date", "month").alias("month")).agg(
+    fact = transaction_fact(
+        spark, sf, ["transaction_date", "customer_id", "transaction_amount", "transaction_amount_abs"], ["customer_id"]
+    )
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment"))
+    # one row per customer and month meets the customers; a busy customer is small by then
+    cells = fact.groupBy("customer_id", F.trunc("transaction_date", "month").alias("month")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("transaction_amount").alias("net"), F.sum("transaction_amount_abs").alias("gross")
     )
     return (
-        cells.join(orders, "account_id").join(customers, "c_custkey").groupBy("month", "segment")
+        cells.join(customers, "customer_id").groupBy("month", "segment")
         .agg(F.sum("n").alias("transactions"), F.round(F.sum("net"), 2).alias("net_amount"),
              F.round(F.sum("gross"), 2).alias("gross_amount"))
     )

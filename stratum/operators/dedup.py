@@ -24,6 +24,14 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Iterable[Column | str])
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 
-def drop_copies(df: DataFrame, subset: Sequence[str], order: Iterable[Column | str] = ()) -> DataFrame:
-    """Remove rows equal on ``subset``; the survivor is the first under ``order``, not an arbitrary one."""
-    return latest_by(df, subset, order)
+def drop_copies(
+    df: DataFrame, subset: Sequence[str], order: Iterable[Column | str] = (), digest: bool = False
+) -> DataFrame:
+    """Remove rows equal on ``subset``; the survivor is the first under ``order``, not an arbitrary one.
+
+    ``digest`` compares SHA-256 digests: sort and shuffle then move 64 characters instead of long texts as keys.
+    """
+    if not digest:
+        return latest_by(df, subset, order)
+    keyed = df.withColumn("__digest", F.sha2(F.to_json(F.struct(*subset)), 256))
+    return latest_by(keyed, ["__digest"], order).drop("__digest")

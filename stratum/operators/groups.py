@@ -1,7 +1,8 @@
 """Group facts attached to detail rows.
 
 Aggregate-then-join instead of a window: the aggregate combines map-side and AQE splits a hot key in the
-join, while a window would pull the whole group into one task.
+join, while a window would pull the whole group into one task. AQE leaves a join unsplit when a later step
+relies on its partitioning, so take several aggregates of one key in one call instead of chaining calls.
 """
 
 from __future__ import annotations

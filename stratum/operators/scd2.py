@@ -6,12 +6,11 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import OPEN_END
 from ..functions.keys import version_key
-from .groups import with_group
 from .upsert import null_spread
 
 FROM, TO, CURRENT = "effective_from", "effective_to", "is_current"
@@ -109,6 +108,18 @@ def version_history(df: DataFrame, key: Sequence[str], at: str) -> DataFrame:
     )
 
 
+def open_first(dim: DataFrame, on: str) -> DataFrame:
+    """Let the first version of every key also cover everything before it.
+
+    Moving its start back to the earliest fact date would give the same matches, but costs a pass over the
+    fact. The window shares its partitioning with the join that follows; a key has at most one version per
+    day, so its group is bounded by the calendar.
+    """
+    first = F.min(FROM).over(Window.partitionBy(on))
+    since = F.when(F.col(FROM) == first, F.lit("0001-01-01").cast("date")).otherwise(F.col(FROM))
+    return dim.withColumn("__since", since).drop(FROM).withColumnRenamed("__since", FROM)
+
+
 def pit_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -119,17 +130,12 @@ def pit_join(
 ) -> DataFrame:
     """Left join each fact to the version valid on its date; the row count of the fact is preserved.
 
-    With ``patch_first`` the first version of a key also covers everything before it. Moving its start to
-    the earliest fact date would do the same after an extra pass over the fact; opening it to the left needs none.
-    Equality on the key drives the hash partitioning and the dates are a residual condition, so a hot key is
-    split by AQE like in any other equi-join.
+    Equality on the key drives the hash partitioning and the dates are a residual condition, so AQE splits a
+    hot key like in any other equi-join. It can do so only while nothing above the join relies on the key's
+    partitioning: bring further facts about the key in through ``dim``, not through a second join on it.
     """
-    versions = dim
-    if patch_first:
-        versions = with_group(versions, [on], {"__first": F.min(FROM)}).withColumn(
-            FROM, F.when(F.col(FROM) == F.col("__first"), F.lit("0001-01-01").cast("date")).otherwise(F.col(FROM))
-        )
-    side = versions.select(
+    slim = dim.select(on, FROM, TO, *columns)
+    side = (open_first(slim, on) if patch_first else slim).select(
         F.col(on).alias("__key"), F.col(FROM).alias("__from"), F.col(TO).alias("__to"), *columns
     )
     day = F.col(at).cast("date")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands, calendar
 from ..operators.ranking import with_tiles
+from ..session import durable
 
 # fixed values: months that make a salary regular, months without one that make it stopped
 REGULAR_MONTHS, STOPPED_MONTHS = 3, 2
@@ -113,6 +114,7 @@ def customer_360(
         "age_at_opening": bands.full_years("birth_date", F.col("first_account_opening_date")),
         "silver_batch_id": F.lit(batch_id).cast("string"),
     })
-    return with_tiles(filled, QUARTILES, "customer_id")
+    # the tiles read the rows twice (ranks, then tags): write the joined rows once instead of joining twice
+    return with_tiles(durable(filled, "customer360"), QUARTILES, "customer_id")
 
 

@@ -11,7 +11,7 @@ from ...functions.casting import parse_date, project
 from ...functions.keys import surrogate
 from ...operators.bridge import explode_json
 from ...operators.dedup import latest_by
-from ...operators.groups import with_group_count
+from ...operators.groups import with_group, with_group_count
 from ...operators.integrity import existence_flag
 from ...operators.quality import Rule, required
 from ...operators.ranking import with_neighbours
@@ -114,8 +114,10 @@ def accounts(bronze: DataFrame, ctx: RunContext) -> DataFrame:
         "approval_lag_days": F.datediff("approval_date", "opening_date"),
         "account_sk": surrogate("account_id"),
     })
-    counted = with_group_count(enriched, ["customer_id"], "__primary", where=F.col("is_primary_account"))
-    counted = with_group_count(counted, ["customer_id"], "__owned")
+    # both counts in one aggregate: a customer without a primary account stays unknown, not False
+    counted = with_group(enriched, ["customer_id"], {
+        "__primary": F.nullif(F.count_if("is_primary_account"), F.lit(0)), "__owned": F.count(F.lit(1)),
+    })
     flagged = counted.withColumns({
         "primary_account_violation": F.col("__primary") > 1, "multi_account_flag": F.col("__owned") > 1,
     }).drop("__primary", "__owned")

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import OPEN_END
 from ..functions.keys import date_key
 from ..operators.bridge import primary_holder
-from ..operators.scd2 import pit_join
+from ..operators.scd2 import FROM, TO, open_first, pit_join
 
 FACT_COLUMNS = (
     "transaction_sk date_key dim_account_key primary_customer_sk transaction_id account_id transaction_date "
@@ -41,19 +42,32 @@ def account_owner(
     )
 
 
+def account_side(history: DataFrame, owners: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Account versions with the account's primary customer; an account without versions keeps its owner."""
+    versions = open_first(history.select("account_id", FROM, TO, *columns), "account_id")
+    sides = versions.join(owners.withColumnRenamed("account_id", "__acc"), F.col("account_id") == F.col("__acc"), "full_outer")
+    return sides.withColumns({
+        "account_id": F.coalesce("account_id", "__acc"),
+        FROM: F.coalesce(FROM, F.lit("0001-01-01").cast("date")), TO: F.coalesce(TO, F.lit(OPEN_END).cast("date")),
+    }).drop("__acc")
+
+
 def transaction_fact(
-    transactions: DataFrame, account_history: DataFrame, owners: DataFrame, columns: Sequence[str] = FACT_COLUMNS
+    transactions: DataFrame,
+    account_history: DataFrame,
+    owners: DataFrame,
+    columns: Sequence[str] = FACT_COLUMNS,
+    history_columns: Sequence[str] = (),
 ) -> DataFrame:
     """Completed transactions with date key, the account version of their day, the primary customer and
     signed and absolute amounts. One output row per completed transaction.
 
-    Owners join before the history: both joins use the account key, so the fact is shuffled once.
+    Owner and version meet on the account side first, so the large side is shuffled once and joined once.
     """
     done = transactions.filter("is_completed").withColumn("date_key", date_key("transaction_date"))
-    owned = done.join(
-        owners.select(F.col("account_id").alias("__acc"), "primary_customer_sk"), F.col("account_id") == F.col("__acc"), "left"
-    ).drop("__acc")
-    placed = pit_join(owned, account_history, "account_id", "transaction_date", ["dim_account_key"])
+    wanted = ["dim_account_key", *history_columns]
+    side = account_side(account_history, owners, wanted)
+    placed = pit_join(done, side, "account_id", "transaction_date", [*wanted, "primary_customer_sk"], patch_first=False)
     return placed.withColumns({
         "transaction_amount": signed("amount", F.col("is_debit")), "transaction_amount_abs": F.abs("amount"),
         "fee_amount": F.col("transaction_cost"),

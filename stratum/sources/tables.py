@@ -28,10 +28,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_bronze(df: DataFrame, path: str, parts: Sequence[str] = ("year", "month")) -> None:
-    """Full overwrite partitioned by period. Rows are clustered by period first, salted by a row hash so that
-    one large month is written by many tasks."""
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c not in parts]), F.lit(64))
-    df.repartition(*parts, spread).write.mode("overwrite").partitionBy(*parts).parquet(path)
+    """Full overwrite partitioned by period.
+
+    The rebalance hint gathers a period's rows into few files, and AQE splits a large period over many tasks.
+    """
+    df.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
