@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..session import fresh_path
 from ..sources import files, mail, reconciled, tables
 from ..streaming.ingest import ingest_stream
-from .registry import query, table
+from .registry import documents, query, table
 
 YEARS = range(1995, 2002)
 
@@ -156,7 +156,7 @@ def _(spark, sf):
         F.lit("Subject: Case "), F.col("doc_id"),
         F.lit('\nMIME-Version: 1.0\nContent-Type: text/plain; charset="utf-8"\nContent-Transfer-Encoding: base64\n\n'),
     )
-    rows = table(spark, sf, "documents").select(
+    rows = documents(spark, sf).select(
         F.concat(F.lit("/mail/"), F.col("doc_id"), F.lit(".eml")).alias("path"),
         F.encode(F.concat(head, F.base64(F.encode("text", "utf-8"))), "utf-8").alias("content"),
     )

@@ -11,7 +11,7 @@ from ..plans import entities, summaries
 from ..plans.dims import date_dim_for
 from ..plans.entities import engagement
 from . import views
-from .registry import query, table
+from .registry import documents, query, table
 
 
 @query("freq_table", """SELECT o_orderpriority, o_orderstatus, count(*) AS row_count FROM orders GROUP BY ALL""")
@@ -213,7 +213,7 @@ regexp_matches(text, '[\w.-]+@[\w.-]+') AS has_email FROM documents"""
 
 @query("dq_pii_scan", f"SELECT * FROM ({PII_SQL}) WHERE has_national_id OR has_phone OR has_email")
 def _(spark, sf):
-    return quality.pii_rows(table(spark, sf, "documents"), "text", ["doc_id"])
+    return quality.pii_rows(documents(spark, sf), "text", ["doc_id"])
 
 
 @query("dq_lineage", """SELECT count(DISTINCT CAST(ts AS DATE)) AS batches, count(DISTINCT event_type) AS commits, min(ts) AS first_ingest, max(ts) AS last_ingest FROM events""")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands
 from ..plans import dims, entities
+from ..session import spread
 from . import views
 from .registry import query, table
 
@@ -255,7 +256,7 @@ def transaction_bronze(spark, sf):
     )
     day = F.col("l_shipdate").cast("date")
     return bronze(
-        table(spark, sf, "lineitem"), day, transaction_id=F.concat_ws("-", text("l_orderkey"), text("l_linenumber")), account_id=text("l_orderkey"),
+        spread(table(spark, sf, "lineitem"), "l_orderkey"), day, transaction_id=F.concat_ws("-", text("l_orderkey"), text("l_linenumber")), account_id=text("l_orderkey"),
         transaction_timestamp=F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T10:20:30")), transaction_date=F.date_format(day, "yyyy-MM-dd"),
         transaction_time=F.lit("bad"), amount=text("l_extendedprice"), transaction_cost=text("l_quantity"),
         category=F.when(F.col("l_returnflag") == "R", "Debit_Order").when(F.col("l_returnflag") == "A", "loan_payment").otherwise("scheduled_payment"),

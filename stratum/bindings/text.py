@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..plans import topics
-from .registry import query, table
+from .registry import documents, query, table
 
 BLANK = r"[\t\n\f\r\x0B ]"
 
@@ -38,7 +38,7 @@ SUBJECT_NORM = slots_sql(rf"regexp_replace(lower(trim({SUBJECT_SQL})), '^(?:\s*(
 
 def messages(spark, sf):
     """Documents as messages with a subject line made of their keys."""
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         F.col("doc_id").alias("message_id"),
         F.concat(F.lit("RE: Fwd: case "), F.col("doc_id"), F.lit("/"), "lang", F.lit(" ("), "source", F.lit(")")).alias("subject"),
         F.col("text").alias("body"),
@@ -47,7 +47,7 @@ def messages(spark, sf):
 
 @query("clean_text", f"SELECT doc_id, {CLEAN} AS clean FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.clean_message("text").alias("clean"))
+    return documents(spark, sf).select("doc_id", text.clean_message("text").alias("clean"))
 
 
 def mail_sql() -> str:
@@ -84,9 +84,7 @@ def _(spark, sf):
 SELECT doc_id AS message_id, count(*) OVER (PARTITION BY subject_norm) AS subject_count, count(*) OVER (PARTITION BY subject_norm) >= 5 AS subject_is_common,
 count(*) OVER (PARTITION BY body_norm) AS body_template_count, count(*) OVER (PARTITION BY body_norm) >= 5 AS body_is_common FROM d""")
 def _(spark, sf):
-    rows = topics.prepare(messages(spark, sf)).select("message_id", "subject_norm", F.sha2("body_norm", 256).alias("body_norm"))
-    rows = topics.with_frequency(rows, "subject_norm", "subject_count", "subject_is_common")
-    rows = topics.with_frequency(rows, "body_norm", "body_template_count", "body_is_common")
+    rows = topics.template_frequencies(topics.prepare(messages(spark, sf)), "message_id")
     return rows.select("message_id", "subject_count", "subject_is_common", "body_template_count", "body_is_common")
 
 

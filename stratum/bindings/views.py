@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..config import RunContext
 from ..functions import bands
 from ..operators.dedup import latest_by
+from ..session import spread
 from .registry import table
 
 AS_OF = "2001-12-31"
@@ -38,7 +39,8 @@ l_discount + 0.0 AS transaction_cost FROM {LINES_SQL})"""
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """Line items, the newest per order and line."""
-    return latest_by(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORDER)
+    scan = spread(table(spark, sf, "lineitem"), "l_orderkey")
+    return latest_by(scan, ["l_orderkey", "l_linenumber"], LINE_ORDER)
 
 
 def accounts(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bands, calendar
@@ -30,55 +30,45 @@ def account_facts(accounts: DataFrame, customer: str = "customer_id") -> DataFra
     )
 
 
-def activity(transactions: DataFrame, customer: str = "customer_id") -> DataFrame:
-    """Activity of completed transactions (customer, day, channel, amount columns).
+def regular(months: Column | str) -> Column:
+    """True when an array of month numbers holds ``REGULAR_MONTHS`` consecutive ones."""
+    array = F.col(months) if isinstance(months, str) else months
+    return F.exists(array, lambda m: bands.all_of([F.array_contains(array, m + k) for k in range(1, REGULAR_MONTHS)]))
 
-    Rows collapse to (customer, day, channel) first; that partial result feeds days, months and channels, and a
-    customer with a third of all rows is small after it.
+
+def activity(transactions: DataFrame, as_of: Column, customer: str = "customer_id") -> DataFrame:
+    """Activity and salary facts of completed transactions.
+
+    Columns read: customer, transaction_date, channel, amount_abs, is_salary_candidate. One aggregate that
+    combines map-side; its buffers hold distinct days, months and channels, so they are bounded by the calendar
+    however many rows a customer has. A salary is regular with three consecutive months and has stopped when it
+    was regular and the last two months before ``as_of`` have none.
     """
-    cell = transactions.groupBy(customer, F.col("transaction_date").alias("day"), "channel").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("amount_abs"), 2).alias("volume")
-    )
-    channels = cell.groupBy(customer, "channel").agg(
-        F.sum("n").alias("n"), F.sum("volume").alias("volume"), F.min("day").alias("lo"), F.max("day").alias("hi"),
-        F.collect_set(F.trunc("day", "month")).alias("months"), F.collect_set("day").alias("days"),
-    )
-    # the sets hold calendar days only, so their size is bounded by the calendar
-    merged = channels.groupBy(customer).agg(
-        F.sum("n").alias("transactions"), F.round(F.sum("volume"), 2).alias("volume"),
-        F.min("lo").alias("first_day"), F.max("hi").alias("last_day_of_transactions"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("months")))).alias("number_of_active_months"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("days")))).alias("days"),
-        F.min_by("channel", F.struct(-F.col("n"), F.col("channel"))).alias("most_preferred_channel"),
-    )
+    day = F.col("transaction_date")
+    paid = F.when(F.col("is_salary_candidate"), calendar.month_index(day))
+    facts = transactions.groupBy(customer).agg(
+        F.count(F.lit(1)).alias("transactions"), F.round(F.sum("amount_abs"), 2).alias("volume"),
+        F.min(day).alias("first_day"), F.max(day).alias("last_day_of_transactions"),
+        F.collect_set(day).alias("days"), F.collect_set(paid).alias("paid_months"),
+        F.mode("channel", True).alias("most_preferred_channel"),
+    ).withColumns({
+        "number_of_active_months": F.size(F.array_distinct(F.transform("days", lambda d: F.trunc(d, "month")))),
+        "days": F.size("days"),
+        "is_on_regular_salary": regular("paid_months").cast("int"),
+    })
     span = F.datediff("last_day_of_transactions", "first_day")
-    return merged.select(
+    silent = F.array_max("paid_months") < calendar.month_index(as_of) - STOPPED_MONTHS
+    return facts.select(
         customer, "number_of_active_months",
         (F.col("transactions") / F.col("number_of_active_months")).alias("transactions_frequency"),
         "last_day_of_transactions",
         F.when(F.col("days") > 1, F.floor(span / (F.col("days") - 1))).cast("int").alias("average_days_between_transactions"),
         (F.col("volume") / F.col("transactions")).alias("average_transaction_volume"),
-        "most_preferred_channel",
+        "most_preferred_channel", "is_on_regular_salary",
+        ((F.col("is_on_regular_salary") == 1) & silent).cast("int").alias("has_salary_stopped"),
     )
 
 
-def salary_facts(salaries: DataFrame, as_of: Column, customer: str = "customer_id") -> DataFrame:
-    """Regular: at least three consecutive months with a salary. Stopped: regular once, none in the last two months.
-
-    Works on distinct months, so a customer's group is bounded by the calendar.
-    """
-    months = salaries.select(customer, calendar.month_index("transaction_date").alias("m")).distinct()
-    by_customer = Window.partitionBy(customer).orderBy("m")
-    runs = months.withColumn("run", F.col("m") - F.row_number().over(by_customer))
-    lengths = runs.groupBy(customer, "run").agg(F.count(F.lit(1)).alias("length"), F.max("m").alias("last"))
-    return lengths.groupBy(customer).agg(
-        (F.max("length") >= REGULAR_MONTHS).cast("int").alias("is_on_regular_salary"), F.max("last").alias("__last"),
-    ).withColumn(
-        "has_salary_stopped",
-        ((F.col("is_on_regular_salary") == 1) & (F.col("__last") < calendar.month_index(as_of) - STOPPED_MONTHS)).cast("int"),
-    ).drop("__last")
-
-
 def loan_facts(loans: DataFrame, customer: str = "customer_id") -> DataFrame:
     return loans.groupBy(customer).agg(F.count(F.lit(1)).cast("int").alias("number_of_loans"))
 
@@ -101,9 +91,8 @@ def customer_360(
         individuals
         .join(opted.select("customer_id", "is_opted_in_marketing"), "customer_id", "left")
         .join(account_facts(accounts), "customer_id", "left")
-        .join(activity(transactions), "customer_id", "left")
+        .join(activity(transactions, day), "customer_id", "left")
         .join(loan_facts(loans), "customer_id", "left")
-        .join(salary_facts(transactions.filter("is_salary_candidate"), day), "customer_id", "left")
     )
     zero = ("number_of_accounts", "has_overdraft", "has_credit_card", "number_of_active_months", "number_of_loans",
             "is_on_regular_salary", "has_salary_stopped")

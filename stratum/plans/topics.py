@@ -49,6 +49,18 @@ def with_frequency(prepared: DataFrame, column: str, count: str, common: str, mi
     return with_group_count(prepared, [column], count).withColumn(common, F.col(count) >= minimum)
 
 
+def template_frequencies(prepared: DataFrame, id_col: str, minimum: int = COMMON_MIN) -> DataFrame:
+    """(id, template digests, counts, common flags) for subjects and bodies.
+
+    Counting needs the templates twice, so they are cleaned once and kept as digests in the shared folder.
+    """
+    keys = durable(prepared.select(
+        id_col, F.sha2("subject_norm", 256).alias("subject_digest"), F.sha2("body_norm", 256).alias("body_digest")
+    ), "templates")
+    keys = with_frequency(keys, "subject_digest", "subject_count", "subject_is_common", minimum)
+    return with_frequency(keys, "body_digest", "body_template_count", "body_is_common", minimum)
+
+
 def template_report(prepared: DataFrame, column: str, verbatim: str, tie: str, top_n: int | None = None) -> DataFrame:
     """Templates by frequency with one verbatim example, the one with the smallest ``tie``."""
     out = prepared.groupBy(column).agg(
@@ -58,7 +70,8 @@ def template_report(prepared: DataFrame, column: str, verbatim: str, tie: str, t
 
 
 def hashed_vectors(df: DataFrame, column: str, output: str = "features", size: int = 512) -> DataFrame:
-    """TF-IDF vectors of hashed tokens."""
+    """TF-IDF vectors of hashed tokens. The weights need a pass of their own, so the input is written once."""
+    df = durable(df, "tokens")
     stages = [
         RegexTokenizer(inputCol=column, outputCol="__tokens", pattern=r"\s+"),
         HashingTF(inputCol="__tokens", outputCol="__tf", numFeatures=size),
