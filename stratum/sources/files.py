@@ -42,7 +42,10 @@ def with_bronze_meta(
 
 
 def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str = "*") -> DataFrame:
-    """path, length and modification time below ``root``; the bytes are never read (column pruning)."""
+    """path, length and modification time below ``root``; the bytes are never read (column pruning).
+
+    Files of zero bytes have nothing to scan and are not listed.
+    """
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
         .load(root).select("path", "length", "modificationTime")
