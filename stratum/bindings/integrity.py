@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.keys import date_key
-from ..operators import dedup, groups, integrity, profiling, quality, scd2, upsert
+from ..operators import dedup, groups, integrity, profiling, quality, ranking, scd2, upsert
 from ..plans import fact as fact_plan
 from ..sources import tables as sinks
 from ..session import fresh_path
@@ -365,17 +365,25 @@ m AS (SELECT account_id, d, min(p_type) AS p_type FROM e GROUP BY ALL)
 SELECT t.account_id, t.transaction_id, arg_max(m.p_type, m.d) AS product_code FROM t LEFT JOIN m
 ON t.account_id = m.account_id AND m.d <= t.transaction_date GROUP BY ALL""")
 def _(spark, sf):
-    tx = views.transactions(spark, sf).filter("is_completed").select(
-        "account_id", "transaction_id", "transaction_date", F.struct("account_id", "transaction_id").alias("transaction_sk")
-    )
+    tx = views.transactions(spark, sf).filter("is_completed").select("account_id", "transaction_id", "transaction_date")
     bought = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("account_id"), F.col("l_shipdate").cast("date").alias("enrollment_date"),
         F.col("p_type").alias("product_code"),
     )
-    bought = dedup.latest_by(bought, ["account_id", "enrollment_date"], [F.col("product_code").asc()])
     return fact_plan.fact_products(tx, bought).select("account_id", "transaction_id", "product_code")
 
 
+@query("asof_join", """SELECT o_orderkey, t.event_type FROM orders LEFT JOIN (SELECT user_id, CAST(ts AS DATE) - 8500 AS d, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY ALL) t
+ON o_custkey = t.user_id AND t.d = (SELECT max(CAST(ts AS DATE) - 8500) FROM events e WHERE e.user_id = o_custkey AND CAST(ts AS DATE) - 8500 <= CAST(o_orderdate AS DATE))""")
+def _(spark, sf):
+    """The last event of the customer before the order (events moved back to the time of the orders)."""
+    daily = dedup.latest_by(
+        table(spark, sf, "events").withColumn("day", F.date_sub(F.col("ts").cast("date"), 8500)), ["user_id", "day"], ["ts", "event_id"]
+    )
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"), "o_orderdate")
+    return ranking.asof_join(orders, daily, "user_id", "o_orderdate", "day", ["event_type"]).select("o_orderkey", "event_type")
+
+
 @query("date_keys", """SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key FROM orders""")
 def _(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", date_key("o_orderdate").alias("date_key"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import bands, casting, masking
 from ..operators import bridge, quality
@@ -148,6 +149,20 @@ def _(spark, sf):
     return fixed.select("o_orderkey", "birth_date", "dq_birth_date_corrected")
 
 
+@query("birth_date_by_year", """SELECT o_orderkey, CASE WHEN year(b) > 2030 THEN b - INTERVAL 960 MONTH WHEN year(b) < 1910 THEN b + INTERVAL 960 MONTH ELSE b END::DATE AS birth_date FROM
+(SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN CAST(o_orderdate AS DATE) + 14000 WHEN 'O' THEN CAST(o_orderdate AS DATE) - 33000 ELSE CAST(o_orderdate AS DATE) - 9000 END AS b FROM orders)""")
+def _(spark, sf):
+    day, s = F.col("o_orderdate").cast("date"), F.col("o_orderstatus")
+    born = F.when(s == "F", F.date_add(day, 14000)).when(s == "O", F.date_sub(day, 33000)).otherwise(F.date_sub(day, 9000))
+    return table(spark, sf, "orders").select("o_orderkey", people.birth_date_by_year(born).alias("birth_date"))
+
+
+@query("conform_schema", """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS INTEGER) END AS o_custkey, NULL::DATE AS closed FROM orders""")
+def _(spark, sf):
+    declared = StructType.fromDDL("o_orderkey bigint, o_custkey int, closed date")
+    return casting.conform(raw_orders(spark, sf), declared)
+
+
 @query("risk_tier", """SELECT l_orderkey, l_linenumber, risk, CASE WHEN risk < 0.3 THEN 'Low' WHEN risk < 0.6 THEN 'Medium' WHEN risk < 0.8 THEN 'High' WHEN risk >= 0.8 THEN 'Critical' ELSE 'Unscored' END AS tier,
 risk >= 0.8 OR l_returnflag = 'R' AS is_high_risk FROM (SELECT l_orderkey, l_linenumber, l_returnflag, CASE WHEN l_linestatus = 'F' THEN l_quantity / 50 END AS risk FROM lineitem)""")
 def _(spark, sf):

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bands
 from ..plans import dims, entities
-from ..session import spread
+from ..plans.runs import run_silver
+from ..session import fresh_path, spread
+from ..sources import tables
 from . import views
 from .registry import query, table
 
@@ -406,6 +410,26 @@ def _(spark, sf):
     )
 
 
+@query("silver_incremental_run", """SELECT 'table' AS part, count(*) AS row_count, CAST(0 AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS updated FROM orders
+UNION ALL SELECT 'b1', count(*), count(*), 0 FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'
+UNION ALL SELECT 'b2', count(*), count(*), 0 FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'""")
+def _(spark, sf):
+    """Loans in two batches through marks, merge and audit; a third run finds nothing."""
+    day = F.col("o_orderdate").cast("date")
+    rows = bronze(table(spark, sf, "orders"), day, loan_id=text("o_orderkey"), workflow_state=F.lit("Booked"), requested_amount=text("o_totalprice"))
+    root, control_root = fresh_path(spark, "loans"), fresh_path(spark, "control")
+    first = rows.filter("_ingest_timestamp < timestamp'1999-01-01 00:00:00'")
+    for part, batch in ((first, "b1"), (rows, "b2"), (rows, "b3")):
+        run_silver("loans", part, entities.loans, root, ["loan_id"], control_root, replace(CTX, batch_id=batch))
+    audit = tables.read_table(spark, f"{control_root}/silver_audit_log").select(
+        F.col("batch_id").alias("part"), F.col("rows_processed").alias("row_count"), F.col("rows_inserted").alias("inserted"), F.col("rows_updated").alias("updated")
+    )
+    total = tables.current_snapshot(spark, root).agg(
+        F.lit("table").alias("part"), F.count(F.lit(1)).alias("row_count"), F.lit(0).cast("bigint").alias("inserted"), F.lit(0).cast("bigint").alias("updated")
+    )
+    return total.unionByName(audit)
+
+
 # ---- engagement
 
 @query("silver_complaints", """SELECT CAST(event_id AS VARCHAR) AS comm_id, CASE WHEN event_type = 'error' THEN 'escalated' ELSE 'open' END AS resolution_status, CAST(ts AS DATE) AS comm_date, CAST(quarter(ts) AS INTEGER) AS comm_quarter, strftime(ts, '%A') AS day_of_week,

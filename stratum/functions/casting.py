@@ -9,6 +9,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _CASE = {"lower": F.lower, "upper": F.upper, "trim": F.trim}
 _WHOLE = {"int": "int", "integer": "int", "long": "bigint", "bigint": "bigint"}
@@ -47,6 +48,11 @@ def project(df: DataFrame, spec: Mapping[str, str], keep: Iterable[str] = (), mi
     return df.select(*out, *[c for c in keep if c in have and c not in spec])
 
 
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """Project onto a declared schema: same names and types, unparsable values null, absent columns null."""
+    return project(df, {f.name: f.dataType.simpleString() for f in schema})
+
+
 def cast_failures(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
     """Per column, how many non-null inputs have no value of the wanted type (one pass)."""
     names = [c for c in spec if c in df.columns and not spec[c].startswith("string")]

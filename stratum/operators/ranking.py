@@ -67,6 +67,43 @@ def with_neighbours(
     return joined.withColumns(out).select(*df.columns, *out)
 
 
+def asof_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    left_at: str,
+    right_at: str,
+    columns: Sequence[str],
+    unit: str = "month",
+) -> DataFrame:
+    """Attach ``columns`` of the last ``right`` row of the key whose date is not after the left row's date.
+
+    Both sides become one ordered stream and values are carried forward, inside calendar chunks and then from
+    chunk to chunk; no pairs are formed, so a key that is hot on both sides costs its rows, not their product.
+    ``right`` holds one row per key and date. The left row count is preserved.
+    """
+    values = right.select(
+        F.col(on).alias("__k"), F.col(right_at).cast("date").alias("__at"), F.lit(0).alias("__side"),
+        F.struct(*columns).alias("__val"),
+    )
+    rows = left.select(
+        F.col(on).alias("__k"), F.col(left_at).cast("date").alias("__at"), F.lit(1).alias("__side"),
+        F.struct(*left.columns).alias("__row"),
+    )
+    both = values.unionByName(rows, allowMissingColumns=True).withColumn("__g", F.struct("__k", F.trunc("__at", unit).alias("__chunk")))
+    upto = Window.partitionBy("__g").orderBy("__at", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    local = both.withColumn("__here", F.last("__val", ignorenulls=True).over(upto)).filter("__side = 1")
+    heads = both.groupBy("__g").agg(F.max_by("__val", F.when(F.col("__side") == 0, F.col("__at"))).alias("__last"))
+    earlier = Window.partitionBy("__g.__k").orderBy("__g.__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = heads.select(F.col("__g").alias("__h"), F.last("__last", ignorenulls=True).over(earlier).alias("__carry"))
+    # unknown keys and dates match nothing
+    known = F.col("__k").isNotNull() & F.col("__at").isNotNull()
+    found = F.when(known, F.coalesce("__here", "__carry")).alias("__found")
+    return local.join(carry, F.col("__g") == F.col("__h"), "left").select("__row", found).select(
+        "__row.*", *[F.col(f"__found.{c}").alias(c) for c in columns]
+    )
+
+
 def pick_ranks(
     df: DataFrame,
     group: str,

@@ -50,6 +50,7 @@ PHONE_PREFIXES = {"+27": "ZA", "+254": "KE", "+266": "LS", "+263": "ZW"}
 HOME_CITIZENSHIPS = ("ZA", "South Africa")
 DIGITAL_CHANNELS = ("mobile app", "online banking", "web", "internet banking")
 CENTURY_SHIFT_MONTHS, MIN_AGE, MAX_AGE = 960, 0, 120
+FIRST_BIRTH_YEAR, LAST_BIRTH_YEAR = 1910, 2030
 PARTS = {"individual": ("Individual",), "non_individual": ("Company", "Organization")}
 SCORED = ("email", "phone_number", "id_number", "residential_address", "annual_income", "risk_score")
 
@@ -117,6 +118,16 @@ def shift_birth_dates(df: DataFrame, day: Column) -> DataFrame:
     })
 
 
+def birth_date_by_year(birth_date: Column | str) -> Column:
+    """The repair of the profiling report: judged by the year of birth, not by the age."""
+    d = F.col(birth_date) if isinstance(birth_date, str) else birth_date
+    return (
+        F.when(F.year(d) > LAST_BIRTH_YEAR, F.add_months(d, -CENTURY_SHIFT_MONTHS))
+        .when(F.year(d) < FIRST_BIRTH_YEAR, F.add_months(d, CENTURY_SHIFT_MONTHS))
+        .otherwise(d)
+    )
+
+
 def customers(bronze: DataFrame, ctx: RunContext) -> DataFrame:
     """All customers; :func:`split_customers` makes the two published tables."""
     day = today(ctx)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..config import OPEN_END
 from ..functions.keys import date_key
 from ..operators.bridge import primary_holder
+from ..operators.dedup import latest_by
+from ..operators.ranking import asof_join
 from ..operators.scd2 import FROM, TO, open_first, pit_join
 
 FACT_COLUMNS = (
@@ -75,16 +77,6 @@ def transaction_fact(
 
 
 def fact_products(fact: DataFrame, enrollments: DataFrame) -> DataFrame:
-    """Optional product key: the latest enrolment of the account on the transaction date."""
-    from ..operators.dedup import latest_by
-
-    side = latest_by(
-        enrollments.select(F.col("account_id").alias("__acc"), "enrollment_date", "product_code"),
-        ["__acc", "enrollment_date"], [F.col("product_code")],
-    )
-    hit = (F.col("account_id") == F.col("__acc")) & (F.col("enrollment_date") <= F.col("transaction_date"))
-    best = (
-        fact.select("transaction_sk", "account_id", "transaction_date").join(side, hit)
-        .groupBy("transaction_sk").agg(F.max_by("product_code", "enrollment_date").alias("product_code"))
-    )
-    return fact.join(best, "transaction_sk", "left")
+    """Optional product key: the latest enrolment of the account up to the transaction date."""
+    latest = latest_by(enrollments, ["account_id", "enrollment_date"], [F.col("product_code").asc()])
+    return asof_join(fact, latest, "account_id", "transaction_date", "enrollment_date", ["product_code"])

@@ -18,6 +18,14 @@ POINTER_PREFIX = b"version "
 FOOTER_SCHEMA = "path string, length bigint, magic string, columns int, rows bigint, schema_text string, verdict string"
 
 
+def _uri(path: str) -> str:
+    """Spark's spelling of a location in Arrow's: ``file:/x`` and the Hadoop names of object stores."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    scheme, _, rest = path.partition("://")
+    return f"s3://{rest}" if scheme in ("s3a", "s3n") else path
+
+
 def _footers(batches):
     """Read one footer per path inside the task: magic bytes, column names and types, row count."""
     import pyarrow.fs as pafs
@@ -27,9 +35,9 @@ def _footers(batches):
         out = []
         for path in batch["path"]:
             row = {"path": path, "length": None, "magic": None, "columns": None, "rows": None, "schema_text": None}
+            # a file system that cannot be opened fails the task: that is no property of the file
+            fs, inner = pafs.FileSystem.from_uri(_uri(path))
             try:
-                uri = path if "://" in path or not path.startswith("file:") else "file://" + path[5:]
-                fs, inner = pafs.FileSystem.from_uri(uri)
                 row["length"] = fs.get_file_info(inner).size
                 with fs.open_input_file(inner) as f:
                     head = f.read(8)
@@ -64,12 +72,12 @@ def read_reconciled(spark: SparkSession, paths: DataFrame) -> tuple[DataFrame, l
     Files are grouped by schema, so the plan has one scan per distinct schema rather than one per file.
     A column whose type differs between schemas becomes string; a missing column is null.
     """
-    # the file index lives on the driver in any case; only names and verdicts come back
-    found = probe_files(paths).select("path", "schema_text", "verdict").collect()
+    # the file index lives on the driver in any case; names, verdicts and schema digests come back
+    found = probe_files(paths).select("path", "verdict", F.sha2("schema_text", 256).alias("schema_digest")).collect()
     groups: dict[str, list[str]] = {}
     for row in found:
         if row["verdict"] == "ok":
-            groups.setdefault(row["schema_text"], []).append(row["path"])
+            groups.setdefault(row["schema_digest"], []).append(row["path"])
     skipped = sorted(r["path"] for r in found if r["verdict"] != "ok")
     if not groups:
         raise ValueError("no readable Parquet file among the given paths")

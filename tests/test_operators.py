@@ -240,3 +240,29 @@ def test_date_dim_range(spark):
     assert d.count() == 63 and d.filter("is_public_holiday").count() == 1
     assert d.filter("is_quarter_end").count() == 1 and d.filter("is_month_end").count() == 3
     assert len(dims.PUBLIC_HOLIDAYS) == len(set(dims.PUBLIC_HOLIDAYS)) and len(d.columns) == 14
+
+
+@pytest.mark.parametrize("unit", ["day", "month", "year"])
+def test_asof_join_brute_force(spark, unit):
+    rnd = random.Random(3)
+    day = lambda: D(2024, 1, 1) + dt.timedelta(days=rnd.randrange(120))
+    left = [(i, rnd.choice([0, 0, 0, 1, 2, None]), rnd.choice([day(), day(), day(), None])) for i in range(300)]
+    right = {(rnd.choice([0, 0, 1, None]), day()): rnd.choice(["x", "y", None]) for _ in range(60)}
+    ldf = spark.createDataFrame(left, "i int, k int, d date")
+    rdf = spark.createDataFrame([(k, d, v) for (k, d), v in right.items()], "k int, at date, v string")
+    got = {r["i"]: r["v"] for r in ranking.asof_join(ldf, rdf, "k", "d", "at", ["v"], unit if unit != "day" else "week").collect()}
+    want = {}
+    for i, k, d in left:
+        hits = [(at, v) for (rk, at), v in right.items() if k is not None and d is not None and rk == k and at <= d]
+        want[i] = max(hits, key=lambda h: h[0])[1] if hits else None
+    assert got == want
+
+
+def test_conform_to_schema(spark):
+    from pyspark.sql.types import StructType
+
+    from stratum.functions.casting import conform
+
+    df = spark.createDataFrame([("7", "x", "gone")], "a string, b string, z string")
+    out = conform(df, StructType.fromDDL("b int, a int, c double"))
+    assert out.dtypes == [("b", "int"), ("a", "int"), ("c", "double")] and tuple(out.first()) == (None, 7, None)

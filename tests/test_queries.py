@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 import check
+from stratum.operators.dedup import latest_by
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,5 +45,6 @@ def test_entry(spark):
 
 
 def test_dedup_reduces_before_the_shuffle(spark):
-    plan = contract.queries()["latest_by_key"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    scan = spark.read.parquet(f"{SF}/lineitem.parquet")
+    plan = latest_by(scan, ["l_orderkey"], ["l_shipdate"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
