@@ -1,8 +1,7 @@
 """Group facts attached to detail rows.
 
 Aggregate-then-join instead of a window: the aggregate combines map-side and AQE splits a hot key in the
-join, while a window would pull the whole group into one task. AQE leaves a join unsplit when a later step
-relies on its partitioning, so take several aggregates of one key in one call instead of chaining calls.
+join, while a window would pull the whole group into one task.
 """
 
 from __future__ import annotations
@@ -22,6 +21,21 @@ def join_on(left: Sequence[str], right: Sequence[str], null_safe: bool = False)
     return reduce(lambda a, b: a & b, pairs)
 
 
+def splittable(left: Sequence[str], right: Sequence[str], tag: str) -> Column:
+    """Equality of two key lists in a form whose hot partitions AQE can split.
+
+    AQE splits a join only if both inputs come straight from a shuffle made for it and no later step relies on
+    its partitioning. An aggregate, distinct or window on the same key would hand its partitioning to the join
+    and switch that off. The second condition is always true, but makes the join ask for a partitioning of its
+    own; the price is one more shuffle of the (narrow, one row per key) right side. ``tag`` names the join, so
+    that two joins on one key do not share a partitioning either.
+    """
+    def anchor(keys: Sequence[str]) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(tag)), F.lit(1))
+
+    return join_on(left, right) & (anchor(left) == anchor(right))
+
+
 def with_group(
     df: DataFrame,
     keys: Sequence[str],
@@ -38,7 +52,8 @@ def with_group(
     side = members.groupBy(*[F.col(k).alias(s) for k, s in zip(keys, side_keys)]).agg(
         *[a.alias(n) for n, a in aggregates.items()]
     )
-    return df.join(side, join_on(keys, side_keys, null_safe), "left").drop(*side_keys)
+    on = join_on(keys, side_keys, null_safe=True) if null_safe else splittable(keys, side_keys, ",".join(aggregates))
+    return df.join(side, on, "left").drop(*side_keys)
 
 
 def with_group_count(

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .groups import join_on
+from .groups import join_on, splittable
 
 
 def distinct_keys(dim: DataFrame, names: Sequence[Column | str], aliases: Sequence[str]) -> DataFrame:
@@ -31,7 +31,7 @@ def existence_flag(df: DataFrame, dim: DataFrame, on: Mapping[str, str], name: s
     """
     aliases = [f"__d{i}" for i in range(len(on))]
     known = distinct_keys(dim, list(on.values()), aliases).withColumn("__known", F.lit(True))
-    joined = df.join(known, join_on(list(on), aliases), "left")
+    joined = df.join(known, splittable(list(on), aliases, name), "left")
     return joined.withColumn(name, F.col("__known").isNull()).drop("__known", *aliases)
 
 

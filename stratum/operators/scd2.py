@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import OPEN_END
 from ..functions.keys import version_key
+from .groups import splittable
 from .upsert import null_spread
 
 FROM, TO, CURRENT = "effective_from", "effective_to", "is_current"
@@ -112,8 +113,7 @@ def open_first(dim: DataFrame, on: str) -> DataFrame:
     """Let the first version of every key also cover everything before it.
 
     Moving its start back to the earliest fact date would give the same matches, but costs a pass over the
-    fact. The window shares its partitioning with the join that follows; a key has at most one version per
-    day, so its group is bounded by the calendar.
+    fact. A key has at most one version per day, so the window's group is bounded by the calendar.
     """
     first = F.min(FROM).over(Window.partitionBy(on))
     since = F.when(F.col(FROM) == first, F.lit("0001-01-01").cast("date")).otherwise(F.col(FROM))
@@ -131,13 +131,12 @@ def pit_join(
     """Left join each fact to the version valid on its date; the row count of the fact is preserved.
 
     Equality on the key drives the hash partitioning and the dates are a residual condition, so AQE splits a
-    hot key like in any other equi-join. It can do so only while nothing above the join relies on the key's
-    partitioning: bring further facts about the key in through ``dim``, not through a second join on it.
+    hot key like in any other equi-join.
     """
     slim = dim.select(on, FROM, TO, *columns)
     side = (open_first(slim, on) if patch_first else slim).select(
         F.col(on).alias("__key"), F.col(FROM).alias("__from"), F.col(TO).alias("__to"), *columns
     )
     day = F.col(at).cast("date")
-    hit = (F.col(on) == F.col("__key")) & (day >= F.col("__from")) & (day <= F.col("__to"))
+    hit = splittable([on], ["__key"], ",".join(columns)) & (day >= F.col("__from")) & (day <= F.col("__to"))
     return fact.join(side, hit, "left").drop("__key", "__from", "__to")
