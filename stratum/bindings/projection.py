@@ -216,21 +216,24 @@ def _(spark, sf):
 # ---- JSON bridges
 
 HOLDER_SCHEMA = "array<struct<supplier: string, role: string, since: string>>"
-HOLDERS_SQL = """(SELECT l_orderkey AS account_id, CAST(l_suppkey AS VARCHAR) AS supplier, CASE l_returnflag WHEN 'A' THEN 'primary_holder'
-WHEN 'N' THEN 'joint_holder' ELSE 'clerk' END AS role, CAST(l_shipdate AS DATE) AS since FROM lineitem WHERE l_linestatus = 'F')"""
+HOLDERS_SQL = """(SELECT o_orderkey AS account_id, CAST(o_custkey AS VARCHAR) AS supplier, CASE WHEN o_totalprice > 100000 THEN 'primary_holder' ELSE 'clerk' END AS role,
+CAST(o_orderdate AS DATE) AS since FROM orders WHERE o_orderstatus <> 'P' UNION ALL
+SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderpriority = '1-URGENT' THEN 'primary_holder' ELSE 'joint_holder' END, CAST(o_orderdate AS DATE) + 10 FROM orders WHERE o_orderstatus = 'F')"""
 
 
 def holder_json(spark, sf):
-    """Accounts with a JSON array of holders; orders without such lines carry ``[]``."""
-    role = bands.map_lookup("l_returnflag", {"A": "primary_holder", "N": "joint_holder"}, "clerk")
-    item = F.struct(
-        F.col("l_suppkey").cast("string").alias("supplier"), role.alias("role"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("since")
+    """Accounts with a JSON array of one or two holders; pending ones carry ``[]``."""
+    def item(who, role, since):
+        return F.struct(who.alias("supplier"), role.alias("role"), F.date_format(since, "yyyy-MM-dd").alias("since"))
+
+    day = F.col("o_orderdate").cast("date")
+    first = item(F.col("o_custkey").cast("string"), F.when(F.col("o_totalprice") > 100000, "primary_holder").otherwise("clerk"), day)
+    second = item(
+        F.col("o_orderpriority"), F.when(F.col("o_orderpriority") == "1-URGENT", "primary_holder").otherwise("joint_holder"), F.date_add(day, 10)
     )
-    arrays = table(spark, sf, "lineitem").filter("l_linestatus = 'F'").groupBy(F.col("l_orderkey").alias("account_id")).agg(
-        F.to_json(F.collect_list(item)).alias("holders")
-    )
-    keys = table(spark, sf, "orders").select(F.col("o_orderkey").alias("account_id"))
-    return keys.join(arrays, "account_id", "left").withColumn("holders", F.coalesce("holders", F.lit("[]")))
+    status = F.col("o_orderstatus")
+    arrays = F.when(status == "F", F.to_json(F.array(first, second))).when(status == "O", F.to_json(F.array(first))).otherwise("[]")
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("account_id"), arrays.alias("holders"))
 
 
 def holder_rows(spark, sf):

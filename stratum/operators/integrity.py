@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .groups import join_on, splittable
+from .groups import splittable
 
 
 def distinct_keys(dim: DataFrame, names: Sequence[Column | str], aliases: Sequence[str]) -> DataFrame:
@@ -40,7 +40,7 @@ def orphans(df: DataFrame, dim: DataFrame, on: Mapping[str, str | Column]) -> Da
     aliases = [f"__d{i}" for i in range(len(on))]
     cols = [F.col(v) if isinstance(v, str) else v for v in on.values()]
     keys = dim.select(*[c.alias(a) for c, a in zip(cols, aliases)])
-    return df.join(keys, join_on(list(on), aliases), "left_anti")
+    return df.join(keys, splittable(list(on), aliases, "missing"), "left_anti")
 
 
 def orphans_everywhere(df: DataFrame, dims: Sequence[tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
@@ -56,7 +56,7 @@ def found_elsewhere(df: DataFrame, first: tuple, second: tuple) -> DataFrame:
     dim, on = second
     aliases = [f"__d{i}" for i in range(len(on))]
     keys = dim.select(*[F.col(v).alias(a) for v, a in zip(on.values(), aliases)])
-    return missing.join(keys, join_on(list(on), aliases), "left_semi")
+    return missing.join(keys, splittable(list(on), aliases, "found"), "left_semi")
 
 
 def rows_of_sample(df: DataFrame, key: str, sample: DataFrame) -> DataFrame:
