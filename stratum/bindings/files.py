@@ -140,6 +140,16 @@ def _(spark, sf):
     return tables.checklist(spark, {"orders": f"{sf}/orders.parquet", "ghost": f"{hollow}-none", "hollow": hollow})
 
 
+@query("replace_table", """SELECT r_regionkey, r_name, count(*) AS nations FROM region JOIN nation ON r_regionkey = n_regionkey GROUP BY ALL""")
+def _(spark, sf):
+    """Two full replaces with different columns; the second one is what remains."""
+    path = fresh_path(spark, "replaced")
+    places = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    tables.replace_table(places.select("n_name", "r_name"), path)
+    tables.replace_table(places.groupBy("r_regionkey", "r_name").agg(F.count(F.lit(1)).alias("nations")), path)
+    return tables.read_table(spark, path)
+
+
 @query("append_control", """SELECT CAST(ts AS DATE) AS day, max(ts) AS watermark_value FROM events WHERE ts < TIMESTAMP '2024-01-06' GROUP BY 1""")
 def _(spark, sf):
     path = fresh_path(spark, "log")

@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 from ..functions import bands, casting, masking
 from ..operators import bridge, quality
 from ..plans.entities import engagement, holdings, lending, people
+from ..session import spread
 from . import views
 from .registry import query, table
 
@@ -19,7 +20,7 @@ RAW_SPEC = {
 
 def raw_orders(spark, sf):
     """Orders as a landing file would bring them: all text, padded, with words where numbers should be."""
-    o = table(spark, sf, "orders")
+    o = spread(table(spark, sf, "orders"), "o_orderkey")
     return o.select(
         F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bands
+from ..operators.quality import run_rules
 from ..plans import dims, entities
+from ..plans.entities import payments
 from ..plans.runs import run_silver
 from ..session import fresh_path, spread
 from ..sources import tables
@@ -103,7 +105,7 @@ def account_bronze(spark, sf):
     price, day = F.col("o_totalprice"), F.col("o_orderdate").cast("date")
     tier = {"1-URGENT": "Premium", "2-HIGH": "standard ", "3-MEDIUM": "basic"}
     return bronze(
-        table(spark, sf, "orders"), day,
+        spread(table(spark, sf, "orders"), "o_orderkey"), day,
         account_id=text("o_orderkey"), customer_id=text("o_custkey"), account_number=F.lpad(text("o_orderkey"), 10, "7"),
         account_type=F.when(price < 100000, "Joint").when(price > 400000, "business").otherwise("cheque"),
         account_tier=bands.map_lookup("o_orderpriority", tier, "other"),
@@ -301,6 +303,12 @@ def _(spark, sf):
     )
 
 
+@query("silver_transaction_rules", """SELECT rule, 'fail' AS severity, count(*) AS checked, CAST(0 AS BIGINT) AS failed, 0.0::DOUBLE AS pct FROM (SELECT DISTINCT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d FROM lineitem),
+(VALUES ('transaction_id_null'), ('account_id_null'), ('transaction_timestamp_null'), ('transaction_date_null'), ('amount_null'), ('debit_credit_null'), ('status_null'), ('channel_null')) v(rule) GROUP BY rule""")
+def _(spark, sf):
+    return run_rules(entities.transactions(transaction_bronze(spark, sf), CTX), payments.transaction_rules())
+
+
 @query("silver_deposits", """SELECT is_initial_deposit, debit_credit, count(*) AS row_count, round(sum(amount), 2) AS amount FROM (
 SELECT FALSE AS is_initial_deposit, CASE WHEN l_linestatus = 'F' THEN 'credit' ELSE 'debit' END AS debit_credit, 0.0 AS amount FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, CAST(l_shipdate AS DATE)
 ORDER BY l_suppkey) AS rn, count(DISTINCT l_linestatus) OVER (PARTITION BY l_orderkey, l_linenumber, CAST(l_shipdate AS DATE)) AS k FROM lineitem) WHERE rn = 1 AND k = 1

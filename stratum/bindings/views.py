@@ -44,7 +44,7 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def accounts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders"), "o_orderkey").select(
         F.col("o_orderkey").alias("account_id"), F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("opening_date"),
         bands.map_lookup("o_orderstatus", STATUS).alias("account_status"),

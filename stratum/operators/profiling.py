@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casting import long_counts
 from .groups import with_group_count
 
 
@@ -141,7 +140,3 @@ def flag_incomplete_years(df: DataFrame, date: str, full_year: int = 12) -> Data
         df.join(years, F.year(date) == F.col("__y"), "left")
         .withColumn("data_quality_flag", flag.otherwise("incomplete_year")).drop("__y", "is_complete")
     )
-
-
-def unpivot_counts(one_row: DataFrame, key: str = "metric", value: str = "value") -> DataFrame:
-    return long_counts(one_row, one_row.columns, key, value)

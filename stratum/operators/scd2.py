@@ -55,29 +55,27 @@ def scd2_apply(
         null_spread([key], incoming.columns, 1).alias("__nn"),
     )
     changed = reduce(lambda a, b: a | b, [~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in tracked])
+    both = F.col("o").isNotNull() & F.col("n").isNotNull()
+    steps = (
+        F.when(F.col("o").isNull(), F.array(F.lit("open")))
+        .when(~both | ~changed, F.array(F.lit("keep")))
+        .when(F.col(f"o.{FROM}") >= day, F.array(F.lit("replace")))
+        .otherwise(F.array(F.lit("expire"), F.lit("open")))
+    )
+    on = (F.col("__ok") == F.col("__nk")) & (F.col("__on") == F.col("__nn"))
+    live = old.join(new, on, "full_outer").select("o", "n", F.explode(steps).alias("step"))
 
-    def version(fields: dict[str, Column]) -> Column:
-        return F.struct(*[fields[c].cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
-
-    kept = {c: F.col(f"o.{c}") for c in dim.columns}
+    step, fresh = F.col("step"), F.col("step").isin("open", "replace")
     have = set(incoming.columns)
-    opened = {
-        **{c: F.col(f"n.{c}") if c in have else F.lit(None) for c in payload},
-        key: F.col(f"n.{key}"), FROM: day, TO: _date(OPEN_END), CURRENT: F.lit(True),
-        key_name: version_key(F.col(f"n.{key}"), day),
+    value = {
+        **{c: F.when(fresh, F.col(f"n.{c}") if c in have else F.lit(None)).otherwise(F.col(f"o.{c}")) for c in payload},
+        key: F.when(fresh, F.col(f"n.{key}")).otherwise(F.col(f"o.{key}")),
+        key_name: F.when(step == "open", version_key(F.col(f"n.{key}"), day)).otherwise(F.col(f"o.{key_name}")),
+        FROM: F.when(step == "open", day).otherwise(F.col(f"o.{FROM}")),
+        TO: F.when(fresh, _date(OPEN_END)).when(step == "expire", F.date_sub(day, 1)).otherwise(F.col(f"o.{TO}")),
+        CURRENT: step != "expire",
     }
-    expired = {**kept, TO: F.date_sub(day, 1), CURRENT: F.lit(False)}
-    same_day = F.col(f"o.{FROM}") >= day
-    replaced = {**opened, FROM: F.col(f"o.{FROM}"), key_name: F.col(f"o.{key_name}")}
-    versions = (
-        F.when(F.col("n").isNull() | (F.col("o").isNotNull() & ~changed), F.array(version(kept)))
-        .when(F.col("o").isNull(), F.array(version(opened)))
-        .when(same_day, F.array(version(replaced)))
-        .otherwise(F.array(version(expired), version(opened)))
-    )
-    on = (F.col("__ok") == F.col("__nk")) & (F.col("__on") == F.col("__nn"))
-    live = old.join(new, on, "full_outer").select(F.inline(versions))
-    return closed.unionByName(live)
+    return closed.unionByName(live.select(*[value[c].cast(dim.schema[c].dataType).alias(c) for c in dim.columns]))
 
 
 def scd2_from_events(

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -194,10 +194,6 @@ def separability(df: DataFrame, features: str, label: str, id_col: str, share: f
     )
 
 
-def accuracy_of(predicted: DataFrame) -> float:
-    return MulticlassClassificationEvaluator(metricName="accuracy").evaluate(predicted)
-
-
 def topic_summary(scored: DataFrame, subject: str, body: str, id_col: str, common: str | None = None) -> DataFrame:
     """One row per topic: size, label, top subjects, dominant share, mean confidence, summary and example.
 
