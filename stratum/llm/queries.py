@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .multiset import compare_with_edits
 from .packing import pack, token_pieces
 from .pieces import encode_decode_digests
+from .pii import pii_digests
+from .quality import score_documents
 from .sharding import lpt_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +59,21 @@ def op5(spark, sf):
     return exact_dedup(documents(spark, sf))
 
 
+@query("op7_rule_ensemble")
+def op7(spark, sf):
+    return score_documents(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))[0]
+
+
+@query("op8_pii_spans")
+def op8(spark, sf):
+    return pii_digests(documents(spark, sf))
+
+
+@query("op9_multiset_fingerprints")
+def op9(spark, sf):
+    return compare_with_edits(documents(spark, sf))
+
+
 @query("op10_piece_encoding")
 def op10(spark, sf):
     return encode_decode_digests(documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model"))
