@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .minmax import near_duplicates
 from .multiset import compare_with_edits
 from .packing import pack, token_pieces
 from .pieces import encode_decode_digests
@@ -34,6 +35,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query("op2_minmax_near_dedup")
+def op2(spark, sf):
+    return near_duplicates(documents(spark, sf), words=2, percent=80)
+
+
 @query("op3_lpt_shards")
 def op3(spark, sf):
     from pyspark.sql import functions as F
