@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from .exact_dedup import exact_dedup
 from .minmax import near_duplicates
 from .multiset import compare_with_edits
 from .packing import pack, token_pieces
 from .pieces import encode_decode_digests
 from .pii import pii_digests
+from .previous_factor import remove_repeats
 from .quality import score_documents
 from .sharding import lpt_shards
 
@@ -65,6 +68,11 @@ def op5(spark, sf):
     return exact_dedup(documents(spark, sf))
 
 
+@query("op6_previous_factor")
+def op6(spark, sf):
+    return remove_repeats(documents(spark, sf))
+
+
 @query("op7_rule_ensemble")
 def op7(spark, sf):
     return score_documents(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))[0]
@@ -83,3 +91,8 @@ def op9(spark, sf):
 @query("op10_piece_encoding")
 def op10(spark, sf):
     return encode_decode_digests(documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)
