@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
+from .compact_windows import similar_passages
 from .exact_dedup import exact_dedup
 from .minmax import near_duplicates
 from .multiset import compare_with_edits
@@ -38,6 +39,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query("op1_compact_windows")
+def op1(spark, sf):
+    return similar_passages(documents(spark, sf))
+
+
 @query("op2_minmax_near_dedup")
 def op2(spark, sf):
     return near_duplicates(documents(spark, sf), words=2, percent=80)
