@@ -58,6 +58,14 @@ def same_key(left: str, right: str, tag: str) -> Column:
     return (F.col(left) == F.col(right)) & (anchor[0] == anchor[1])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: a lineage cut that outlives lost executors."""
     return durable(df, f"llm-{name}")

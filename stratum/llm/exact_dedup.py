@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_root
-from .common import map_batches, same_key, settled
+from .common import map_batches, same_key, settled, unused
 
 #: Buckets of a new index. A cluster-sized index takes thousands; the number is a property of the table.
 BUCKETS = 16
@@ -99,7 +99,8 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 def keep_largest(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns.
 
-    A repeated id keeps one row per text; which of several fully equal rows is immaterial.
+    Rows are told apart by their id: all rows of an id that won somewhere stay.
     """
-    marked = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(marked, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
+    name = unused(docs, "keep_doc")
+    marked = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(marked, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")

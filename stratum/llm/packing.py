@@ -37,7 +37,6 @@ KIND[[32, 9, 10, 13]] = 0
 KIND[[i for i in range(128) if chr(i).isalnum()]] = 1
 KIND[[ord("."), ord(",")]] = 2
 KIND[0x80:0xC0] = 1
-KIND[[0x97, 0xB7]] = 3
 KIND[0xC3] = 1
 KIND[0xC4:] = 4
 
@@ -106,6 +105,7 @@ class WordEncoder:
         odd = kind == 4
         odd[1:] |= ((point[1:] & symbol[:-1]) | (symbol[1:] & point[:-1])) & ~edge[1:]
         odd |= data == ord("<")
+        odd[1:] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))  # times and division signs
         # a document is ordinary when none of its bytes is odd
         counted = np.concatenate([[0], np.cumsum(odd)])
         ordinary = np.repeat(counted[offsets[1:]] == counted[offsets[:-1]], np.diff(offsets))

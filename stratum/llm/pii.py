@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 LOCAL, DOMAIN = r"[A-Za-z0-9._%+-]", r"[A-Za-z0-9-]"
 #: kind -> (expression, cheap test that must hold for any match)
 PATTERNS = {
@@ -171,7 +173,8 @@ def redact(docs: DataFrame, text_col: str = "text", count_col: str | None = None
     ``count_col`` (if there) takes the new number of characters of changed rows. Texts without spans stay as they
     are, null texts stay null.
     """
-    marked = find_pii(docs, text_col, "__pii")
+    name = unused(docs, "pii_spans")
+    marked = find_pii(docs, text_col, name)
     text = F.col(text_col)
 
     def step(acc: Column, span: Column) -> Column:
@@ -183,12 +186,12 @@ def redact(docs: DataFrame, text_col: str = "text", count_col: str | None = None
             acc["text"].alias("text"),
         )
 
-    ordered = F.array_sort(F.transform("__pii", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("order"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    ordered = F.array_sort(F.transform(name, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("order"), s["end"].alias("end"), s["kind"].alias("kind"))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"), text.alias("text"))
     whole = F.aggregate(ordered, start, step, lambda a: F.concat(a["out"], F.substr(a["text"], a["at"] + 1, F.length(a["text"]))))
-    changed = F.size("__pii") > 0
+    changed = F.size(name) > 0
     out = marked.withColumn(text_col, F.when(changed, whole).otherwise(text))
     if count_col and count_col in docs.columns:
         kind = docs.schema[count_col].dataType
         out = out.withColumn(count_col, F.when(changed, F.length(text_col).cast(kind)).otherwise(F.col(count_col)))
-    return out.drop("__pii")
+    return out.drop(name)

@@ -131,7 +131,7 @@ def settle_equal_units(found: DataFrame) -> DataFrame:
     its anchor has several (open true). Walks sorted rows and remembers one row only."""
 
     def run(batches):
-        last, pending = None, None  # (anchor, unit) of the last row; first row of an anchor with one content so far
+        last, pending, start = None, None, (0, 0)  # last row, first row of an anchor with one content so far, unit's first
         for batch in batches:
             anchor, unit, doc, slot = (c.to_numpy() for c in batch.columns)
             if not len(anchor):
@@ -144,7 +144,11 @@ def settle_equal_units(found: DataFrame) -> DataFrame:
             if not new_anchor[0]:
                 several[0] = contents[0] > 0 or pending is None
             is_open = new_unit & (several[run_of] | ~new_anchor)
-            keep = is_open | ~new_unit
+            # a row that repeats the first of its unit in id and place is the same document
+            head = np.maximum.accumulate(np.where(new_unit, np.arange(len(unit)), -1))
+            first_doc, first_slot = np.where(head < 0, start[0], doc[head]), np.where(head < 0, start[1], slot[head])
+            start = (first_doc[-1], first_slot[-1])
+            keep = is_open | (~new_unit & ((doc != first_doc) | (slot != first_slot)))
             out = [is_open[keep], doc[keep], slot[keep], anchor[keep]]
             if not new_anchor[0] and contents[0] > 0 and pending is not None:
                 out = [np.concatenate([[x], y]) for x, y in zip((True, *pending), out)]

@@ -21,7 +21,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, settled
+from .common import map_batches, settled, unused
 from .words import BLANK, cut_words, text_steps
 
 #: Labelled rows used for fitting, trees and their depth, lasso strength, and the score from which a text is good.
@@ -178,7 +178,8 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     not shuffled when the rejected ids are few enough for Spark to send them around."""
     stats = settled(statistics(docs), "statistics")
     model = fit_rules(training_sample(stats, labels, is_held_out("labelled")))
-    step_names = [f"__{s}" for s in STATISTICS]
+    named = {s: unused(docs, f"statistic_{s}") for s in STATISTICS}
+    step_names = list(named.values())
     columns = docs.columns
 
     def with_statistics(batches):
@@ -190,5 +191,5 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     wide = docs.mapInArrow(with_statistics, schema + ", " + ", ".join(f"`{n}` double" for n in step_names))
-    renamed = RuleModel(tuple(Rule(tuple((f"__{s}", op, v) for s, op, v in r.terms), r.weight) for r in model.rules), model.intercept)
+    renamed = RuleModel(tuple(Rule(tuple((named[s], op, v) for s, op, v in r.terms), r.weight) for r in model.rules), model.intercept)
     return wide.filter(renamed.score() >= GOOD).select(*columns)
