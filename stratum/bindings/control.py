@@ -12,10 +12,15 @@ from .registry import query, table
 RUNS_SQL = """(SELECT 'events' AS pipeline_name, CAST(ts AS DATE)::VARCHAR AS batch_id, max(ts) AS watermark_value, min(ts) AS processed_timestamp,
 CASE WHEN count(*) FILTER (WHERE event_type = 'error') > count(*) FILTER (WHERE event_type = 'purchase') THEN 'FAILED' ELSE 'SUCCESS' END AS status
 FROM events WHERE ts < TIMESTAMP '2024-01-16' GROUP BY CAST(ts AS DATE))"""
+ALL_RUNS_SQL = RUNS_SQL.replace("WHERE ts < TIMESTAMP '2024-01-16' ", "")
 
 
-def runs(spark, sf):
-    events = table(spark, sf, "events").filter("ts < timestamp_ntz'2024-01-16 00:00:00'")
+def stored(spark, sf):
+    """What earlier runs have read; the rest of the table is what comes next."""
+    return table(spark, sf, "events").filter("ts < timestamp_ntz'2024-01-16 00:00:00'")
+
+
+def runs(events):
     errors, purchases = (F.count_if(F.col("event_type") == k) for k in ("error", "purchase"))
     return events.groupBy(F.col("ts").cast("date").cast("string").alias("batch_id")).agg(
         F.lit("events").alias("pipeline_name"), F.max("ts").alias("watermark_value"),
@@ -23,11 +28,11 @@ def runs(spark, sf):
     )
 
 
-@query("watermark_value", f"""SELECT 'success' AS rule, max(watermark_value) FILTER (WHERE status = 'SUCCESS') AS watermark_value FROM {RUNS_SQL}
-UNION ALL SELECT 'any', max(watermark_value) FROM {RUNS_SQL} UNION ALL SELECT 'latest', arg_max(watermark_value, processed_timestamp) FROM {RUNS_SQL}
+@query("watermark_value", f"""SELECT 'success' AS rule, max(watermark_value) FILTER (WHERE status = 'SUCCESS') AS watermark_value FROM {ALL_RUNS_SQL}
+UNION ALL SELECT 'any', max(watermark_value) FROM {ALL_RUNS_SQL} UNION ALL SELECT 'latest', arg_max(watermark_value, processed_timestamp) FROM {ALL_RUNS_SQL}
 UNION ALL SELECT 'never_run', NULL""")
 def _(spark, sf):
-    log = runs(spark, sf)
+    log = runs(table(spark, sf, "events"))
     rows = [control.last_watermark(log, "events", how).select(F.lit(how).alias("rule"), "watermark_value")
             for how in ("success", "any", "latest")]
     rows.append(control.last_watermark(log, "other").select(F.lit("never_run").alias("rule"), "watermark_value"))
@@ -38,7 +43,7 @@ INCREMENT_SQL = f"(SELECT * FROM events WHERE ts > (SELECT max(watermark_value)
 
 
 def increment(spark, sf):
-    last = control.last_watermark(runs(spark, sf), "events").scalar()
+    last = control.watermark_of(runs(stored(spark, sf)), "events")
     return control.incremental(table(spark, sf, "events"), "ts", last)
 
 
@@ -52,17 +57,16 @@ def _(spark, sf):
     return control.next_watermark(increment(spark, sf), "ts")
 
 
-@query("control_reset", f"SELECT batch_id, watermark_value, status FROM {RUNS_SQL} WHERE batch_id <> '2024-01-03'")
+@query("control_reset", f"SELECT batch_id, watermark_value, status FROM {ALL_RUNS_SQL} WHERE batch_id <> '2024-01-03'")
 def _(spark, sf):
-    kept = control.reset_pipeline(runs(spark, sf), "events", "2024-01-03")
+    kept = control.reset_pipeline(runs(table(spark, sf, "events")), "events", "2024-01-03")
     return kept.select("batch_id", "watermark_value", "status")
 
 
 @query("touched_history", f"""SELECT event_id, user_id FROM {INCREMENT_SQL} UNION ALL SELECT event_id, user_id FROM events
 WHERE ts < TIMESTAMP '2024-01-16' AND user_id IN (SELECT user_id FROM {INCREMENT_SQL})""")
 def _(spark, sf):
-    stored = table(spark, sf, "events").filter("ts < timestamp_ntz'2024-01-16 00:00:00'")
-    return control.touched_history(stored, increment(spark, sf), ["user_id"]).select("event_id", "user_id")
+    return control.touched_history(stored(spark, sf), increment(spark, sf), ["user_id"]).select("event_id", "user_id")
 
 
 @query("late_rows", """SELECT event_id, value, props, FALSE AS is_late FROM events WHERE event_type <> 'purchase'

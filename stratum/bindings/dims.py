@@ -13,7 +13,7 @@ HOLIDAYS_SQL = "(" + ", ".join(f"DATE '{d}'" for d in dims.PUBLIC_HOLIDAYS) + ")
 DATE_COLUMNS = f"""CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS full_date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
 CAST(day(d) AS INTEGER) AS day, CAST(quarter(d) AS INTEGER) AS quarter, CAST(strftime(d, '%W') AS INTEGER) AS week_of_year, CAST(isodow(d) AS INTEGER) AS day_of_week,
 strftime(d, '%A') AS day_name, strftime(d, '%B') AS month_name, isodow(d) >= 6 AS is_weekend, d = last_day(d) AS is_month_end,
-d = last_day(d) AND month(d) IN (3, 6, 9, 12) AS is_quarter_end, CAST(d AS DATE) IN {HOLIDAYS_SQL} AS is_public_holiday"""
+d = last_day(d) AND month(d) IN (3, 6, 9, 12) AS is_quarter_end, CAST(d AS DATE) IN {HOLIDAYS_SQL} AS is_public_holiday_za"""
 
 
 @query("dim_date", f"""SELECT {DATE_COLUMNS} FROM (SELECT unnest(generate_series(CAST(min(o_orderdate) AS DATE) - INTERVAL 1 YEAR,
@@ -36,11 +36,11 @@ def _(spark, sf):
     return dims.calendar_table(table(spark, sf, "lineitem"), "l_shipdate")
 
 
-@query("join_calendar", f"""SELECT event_id, CAST(ts AS DATE) IN {HOLIDAYS_SQL} AS is_public_holiday, strftime(ts, '%A') AS day_name FROM events""")
+@query("join_calendar", f"""SELECT event_id, CAST(ts AS DATE) IN {HOLIDAYS_SQL} AS is_public_holiday_za, strftime(ts, '%A') AS day_name FROM events""")
 def _(spark, sf):
     dates = dims.date_dim_for(table(spark, sf, "events"), "ts")
-    return dims.join_calendar(table(spark, sf, "events"), dates, "ts", ["is_public_holiday", "day_name"]).select(
-        "event_id", "is_public_holiday", "day_name"
+    return dims.join_calendar(table(spark, sf, "events"), dates, "ts", ["is_public_holiday_za", "day_name"]).select(
+        "event_id", "is_public_holiday_za", "day_name"
     )
 
 

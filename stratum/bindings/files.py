@@ -9,17 +9,14 @@ from ..sources import files, mail, reconciled, tables
 from ..streaming.ingest import ingest_stream
 from .registry import documents, query, table
 
-YEARS = range(1995, 2002)
-
-
 def landing(spark, sf, kind: str) -> str:
-    """Orders as a landing tree ``<root>/<yyyy>/01/<name>``, one folder per year, with schema drift for Parquet.
-
-    Until 1997 ``o_custkey`` is text, from 2000 on ``o_orderpriority`` is missing.
+    """Orders as a landing tree ``<root>/<yyyy>/01/<name>``, one folder and file per year that the orders have, with schema
+    drift for Parquet. Until 1997 ``o_custkey`` is text, from 2000 on ``o_orderpriority`` is missing.
     """
     root = fresh_path(spark, "landing")
-    for year in YEARS:
-        part = table(spark, sf, "orders").filter(F.year("o_orderdate") == year)
+    years = table(spark, sf, "orders").select(F.year("o_orderdate").alias("y")).distinct().orderBy("y").collect()
+    for year in [r["y"] for r in years]:
+        part = table(spark, sf, "orders").filter(F.year("o_orderdate") == year).coalesce(1)
         folder = f"{root}/{year}/01"
         if kind == "parquet":
             if year <= 1997:
@@ -30,6 +27,8 @@ def landing(spark, sf, kind: str) -> str:
         elif kind == "json":
             rows = part.select(F.to_json(F.struct("o_orderkey", "o_custkey", "o_totalprice", F.struct("o_orderstatus", "o_orderpriority").alias("meta"))).alias("value"))
             rows.unionByName(part.filter("o_orderstatus = 'P'").select(F.lit("{broken").alias("value"))).write.text(f"{folder}/transactions.jsonl")
+        elif kind == "text":
+            part.select(F.col("o_orderkey").cast("string")).write.text(f"{folder}/keys")
         else:
             part.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice").write.option("header", True).csv(f"{folder}/complaints/complaints.csv")
     return root
@@ -43,22 +42,24 @@ def _(spark, sf):
     return reconciled.with_period(rows).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "year", "month")
 
 
-@query("discover_entities", "SELECT 'orders' AS entity, TRUE AS has_files")
+@query("discover_entities", "SELECT 'orders' AS entity, count(DISTINCT year(o_orderdate)) AS files FROM orders")
 def _(spark, sf):
-    found = files.discover_entities(files.list_files(spark, landing(spark, sf, "parquet"), "*.parquet"))
-    return found.select("entity", (F.col("files") >= len(YEARS)).alias("has_files"))
+    return files.discover_entities(files.list_files(spark, landing(spark, sf, "parquet"), "*.parquet"))
 
 
-@query("discover_groups", "SELECT 'complaints' AS subfolder, 'complaints_complaints' AS table_name")
+@query("discover_groups", "SELECT 'complaints' AS subfolder, 'complaints_complaints' AS table_name, count(DISTINCT year(o_orderdate)) AS files FROM orders")
 def _(spark, sf):
     listing = files.list_files(spark, landing(spark, sf, "csv"), "*.csv").withColumn("path", F.regexp_replace("path", "/[^/]*$", ""))
-    return files.discover_groups(listing).select("subfolder", "table_name")
+    return files.discover_groups(listing).select("subfolder", "table_name", "files")
+
+
+BYTES_SQL = "count(DISTINCT year(o_orderdate)) AS files, CAST(sum(length(CAST(o_orderkey AS VARCHAR)) + 1) AS BIGINT) AS bytes"
 
 
-@query("manifest", """SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, '01' AS month, 'orders' AS file_type, TRUE AS has_bytes FROM orders GROUP BY ALL""")
+@query("manifest", f"""SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, '01' AS month, 'keys' AS file_type, {BYTES_SQL} FROM orders GROUP BY ALL""")
 def _(spark, sf):
-    rows = files.build_manifest(spark, landing(spark, sf, "parquet"), "*.parquet", "orders", "b1")
-    return rows.groupBy("year", "month", "file_type").agg((F.sum("length") > 0).alias("has_bytes"))
+    rows = files.build_manifest(spark, landing(spark, sf, "text"), "*.txt", "keys", "b1")
+    return rows.groupBy("year", "month", "file_type").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
 @query("changed_files", """SELECT CAST(year(o_orderdate) AS VARCHAR) AS year FROM orders WHERE year(o_orderdate) >= 2000 GROUP BY ALL""")
@@ -73,16 +74,48 @@ def _(spark, sf):
     return reconciled.with_period(probed, "path").groupBy("year", "verdict").agg(F.sum("rows").alias("row_count"))
 
 
-@query("gap_manifest", """SELECT CAST(y AS VARCHAR) AS year, m AS month, e AS entity, e = 'orders' AND m = '01' AND y BETWEEN 1995 AND 2001 AS on_disk,
-CASE WHEN e = 'orders' AND m = '01' AND y BETWEEN 1995 AND 2001 THEN 'present' ELSE 'missing' END AS finding, CASE WHEN e = 'orders' AND m = '01' AND y BETWEEN 1995 AND 2001 THEN 'none' ELSE 'request_from_source' END AS resolution
-FROM range(1995, 2003) t(y), (VALUES ('01'), ('02'), ('03'), ('04'), ('05'), ('06'), ('07'), ('08'), ('09'), ('10'), ('11'), ('12')) v(m), (VALUES ('orders'), ('loans')) w(e)""")
+def damaged(spark, sf) -> str:
+    """The landing tree with four damaged files of ``loans`` beside it: no bytes, no columns, a pointer, cut off."""
+    import base64
+    import io
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    root = landing(spark, sf, "parquet")
+    whole, bare = io.BytesIO(), io.BytesIO()
+    pq.write_table(pa.table({"id": list(range(100))}), whole)
+    pq.write_table(pa.table({}), bare)
+    contents = {"1995": b"", "1996": bare.getvalue(), "1997": b"version https://pointer", "1998": whole.getvalue()[:40]}
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for year, content in contents.items():
+        path = fs.Path(f"{root}/{year}/01/loans_{year}_01.parquet")
+        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(content))
+        out.close()
+    return root
+
+
+DAMAGE_SQL = "(VALUES (1995, 'zero_bytes'), (1996, 'empty_shell'), (1997, 'pointer'), (1998, 'unreadable: ArrowInvalid')) b(y, verdict)"
+GRID_SQL = f"""(SELECT t.y, m, e, CASE WHEN m = '01' AND e = 'orders' AND o.y IS NOT NULL THEN 'present' WHEN m = '01' AND e = 'loans' THEN coalesce(b.verdict, 'missing') ELSE 'missing' END AS finding
+FROM range(1995, 2003) t(y), (SELECT lpad(CAST(range AS VARCHAR), 2, '0') AS m FROM range(1, 13)), (VALUES ('orders'), ('loans')) w(e))"""
+GRID_SQL = GRID_SQL.replace("FROM range(1995, 2003) t(y),", f"FROM range(1995, 2003) t(y) LEFT JOIN {DAMAGE_SQL} ON b.y = t.y LEFT JOIN (SELECT DISTINCT year(o_orderdate) AS y FROM orders) o ON o.y = t.y,")
+
+
+@query("probe_verdicts", f"""SELECT CAST(y AS VARCHAR) AS year, verdict, CASE WHEN verdict = 'empty_shell' THEN 0 END AS row_count FROM {DAMAGE_SQL}
+UNION ALL SELECT CAST(year(o_orderdate) AS VARCHAR), 'ok', count(*) FROM orders GROUP BY ALL""")
 def _(spark, sf):
-    probed = reconciled.probe_files(files.list_files(spark, landing(spark, sf, "parquet"), "*.parquet"))
-    whole = probed.withColumn("path", F.regexp_replace("path", "/[^/]*$", "")).groupBy("path").agg(
-        F.sum("length").alias("length"), F.sum("rows").alias("rows"), F.max("verdict").alias("verdict")
-    )
+    probed = reconciled.probe_files(files.list_files(spark, damaged(spark, sf), "*.parquet"))
+    return reconciled.with_period(probed, "path").groupBy("year", "verdict").agg(F.sum("rows").alias("row_count"))
+
+
+@query("gap_manifest", f"""SELECT concat_ws('-', e, y, m, finding) AS finding_id, CAST(y AS VARCHAR) AS year, m AS month, e AS entity, finding <> 'missing' AS on_disk, finding,
+CASE WHEN finding = 'present' THEN 'none' WHEN finding = 'missing' THEN 'absent_file' WHEN finding IN ('zero_bytes', 'empty_shell') THEN 'empty_file' ELSE 'broken_file' END AS gap_type,
+CASE WHEN finding = 'present' THEN 'none' WHEN finding IN ('missing', 'zero_bytes', 'empty_shell') THEN 'request_from_source' ELSE 'fetch_again' END AS resolution FROM {GRID_SQL}""")
+def _(spark, sf):
+    probed = reconciled.probe_files(files.list_files(spark, damaged(spark, sf), "*.parquet"))
     grid = reconciled.expected_grid(spark, ["orders", "loans"], "1995-01-01", "2002-12-01")
-    return reconciled.gap_manifest(grid, whole).drop("file_name", "size")
+    return reconciled.gap_manifest(grid, probed).drop("file_name", "size")
 
 
 JSON_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_totalprice double, meta struct<o_orderstatus: string, o_orderpriority: string>"
@@ -150,13 +183,12 @@ def _(spark, sf):
     return tables.read_table(spark, path)
 
 
-@query("append_control", """SELECT CAST(ts AS DATE) AS day, max(ts) AS watermark_value FROM events WHERE ts < TIMESTAMP '2024-01-06' GROUP BY 1""")
+@query("append_control", """SELECT CAST(ts AS DATE) AS day, max(ts) AS watermark_value FROM events GROUP BY 1""")
 def _(spark, sf):
     path = fresh_path(spark, "log")
-    events = table(spark, sf, "events").filter("ts < timestamp_ntz'2024-01-06 00:00:00'")
-    marks = events.groupBy(F.col("ts").cast("date").alias("day")).agg(F.max("ts").alias("watermark_value"))
-    for first, last in (("2024-01-01", "2024-01-02"), ("2024-01-03", "2024-01-05")):
-        tables.append(marks.filter(F.col("day").between(first, last)), path)
+    marks = table(spark, sf, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(F.max("ts").alias("watermark_value"))
+    for batch in (F.dayofmonth("day") <= 10, F.dayofmonth("day") > 10):
+        tables.append(marks.filter(batch), path)
     return tables.read_table(spark, path)
 
 
@@ -212,7 +244,7 @@ def _(spark, sf):
     return _per_year(_ingest(spark, landing(spark, sf, "csv"), "csv", "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"))
 
 
-@query("stream_manifest", """SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, TRUE AS has_bytes FROM orders GROUP BY ALL""")
+@query("stream_manifest", f"""SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, {BYTES_SQL} FROM orders GROUP BY ALL""")
 def _(spark, sf):
-    rows = _ingest(spark, landing(spark, sf, "parquet"), "binaryFile", options={"pathGlobFilter": "*.parquet"})
-    return rows.groupBy(F.col("year").cast("string").alias("year")).agg((F.sum("length") > 0).alias("has_bytes"))
+    rows = _ingest(spark, landing(spark, sf, "text"), "binaryFile", options={"pathGlobFilter": "*.txt"})
+    return rows.groupBy(F.col("year").cast("string").alias("year")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))

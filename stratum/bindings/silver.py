@@ -12,7 +12,7 @@ from ..operators.quality import run_rules
 from ..plans import dims, entities
 from ..plans.entities import payments
 from ..plans.runs import run_silver
-from ..session import fresh_path, spread
+from ..session import fresh_path
 from ..sources import tables
 from . import views
 from .registry import query, table
@@ -105,7 +105,7 @@ def account_bronze(spark, sf):
     price, day = F.col("o_totalprice"), F.col("o_orderdate").cast("date")
     tier = {"1-URGENT": "Premium", "2-HIGH": "standard ", "3-MEDIUM": "basic"}
     return bronze(
-        spread(table(spark, sf, "orders"), "o_orderkey"), day,
+        table(spark, sf, "orders"), day,
         account_id=text("o_orderkey"), customer_id=text("o_custkey"), account_number=F.lpad(text("o_orderkey"), 10, "7"),
         account_type=F.when(price < 100000, "Joint").when(price > 400000, "business").otherwise("cheque"),
         account_tier=bands.map_lookup("o_orderpriority", tier, "other"),
@@ -255,6 +255,11 @@ def _(spark, sf):
 
 # ---- payments
 
+TIES = ["l_extendedprice", "l_quantity", "l_suppkey", "l_partkey", "l_returnflag", "l_linestatus"]
+NEWEST_LINES_SQL = f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, CAST(l_shipdate AS DATE)
+ORDER BY {', '.join(c + ' DESC' for c in TIES)}) AS rn FROM lineitem) WHERE rn = 1)"""
+
+
 def transaction_bronze(spark, sf):
     part = F.struct(
         F.concat(F.lit("d"), F.col("l_partkey")).alias("debit_order_id"), F.when(F.col("l_quantity") > 40, "Salary").otherwise("Insurance").alias("debit_order_type"),
@@ -262,14 +267,14 @@ def transaction_bronze(spark, sf):
     )
     day = F.col("l_shipdate").cast("date")
     return bronze(
-        spread(table(spark, sf, "lineitem"), "l_orderkey"), day, transaction_id=F.concat_ws("-", text("l_orderkey"), text("l_linenumber")), account_id=text("l_orderkey"),
+        table(spark, sf, "lineitem"), day, transaction_id=F.concat_ws("-", text("l_orderkey"), text("l_linenumber")), account_id=text("l_orderkey"),
         transaction_timestamp=F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T10:20:30")), transaction_date=F.date_format(day, "yyyy-MM-dd"),
         transaction_time=F.lit("bad"), amount=text("l_extendedprice"), transaction_cost=text("l_quantity"),
         category=F.when(F.col("l_returnflag") == "R", "Debit_Order").when(F.col("l_returnflag") == "A", "loan_payment").otherwise("scheduled_payment"),
         debit_credit=F.when(F.col("l_linestatus") == "F", "credit").otherwise(" Debit"), status=F.when(F.col("l_quantity") < 45, "Completed").otherwise("failed"),
         channel=F.when(F.col("l_linenumber") == 1, "Online").when(F.col("l_linenumber") == 2, " Mobile ").otherwise("ATM"),
         currency=F.when(F.col("l_linestatus") == "F", "usd"), debit_order_id=F.lit("flat copy"), receiving_account=F.lpad(text("l_suppkey"), 8, "0"),
-        debit_order_metadata=F.when(F.col("l_returnflag") == "R", part), tie=text("l_suppkey"),
+        debit_order_metadata=F.when(F.col("l_returnflag") == "R", part), tie=F.struct(*TIES),
     )
 
 
@@ -285,18 +290,14 @@ def _(spark, sf):
     return silver.join(source, (F.col("transaction_id") == F.col("i")) & (F.col("transaction_date") == F.col("d"))).drop("i", "d")
 
 
-@query("silver_transaction_flags", """SELECT DISTINCT concat_ws('-', l_orderkey, l_linenumber) AS transaction_id, CAST(l_shipdate AS DATE) AS transaction_date, l_extendedprice AS amount, l_quantity AS transaction_cost,
+@query("silver_transaction_flags", f"""SELECT concat_ws('-', l_orderkey, l_linenumber) AS transaction_id, CAST(l_shipdate AS DATE) AS transaction_date, l_extendedprice AS amount, l_quantity AS transaction_cost,
 l_linestatus = 'F' AS is_credit, l_quantity < 45 AS is_completed, l_returnflag = 'R' AS is_debit_order, l_returnflag <> 'A' AS is_recurring, CASE WHEN l_returnflag = 'R' THEN concat('d', l_partkey) END AS do_debit_order_id,
 coalesce(l_linestatus = 'F' AND l_returnflag = 'R' AND l_quantity > 40, FALSE) AS is_salary_candidate, CASE WHEN l_linestatus = 'F' THEN 'USD' ELSE 'ZAR' END AS currency,
 CASE l_linenumber WHEN 1 THEN 'online_banking' WHEN 2 THEN 'mobile_banking_app' ELSE 'atm' END AS channel, CASE WHEN l_returnflag = 'R' THEN sha256('payeepepper') END AS do_beneficiary_name,
 concat('****', right(lpad(CAST(l_suppkey AS VARCHAR), 8, '0'), 4)) AS receiving_account, CAST(year(l_shipdate) AS INTEGER) AS transaction_year, CAST(dayofweek(l_shipdate) + 1 AS INTEGER) AS transaction_day_of_week
-FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber, CAST(l_shipdate AS DATE)) AS n FROM lineitem) WHERE n = 1""")
+FROM {NEWEST_LINES_SQL}""")
 def _(spark, sf):
-    """Derived columns of transactions that have a single source row."""
-    from ..operators.groups import with_group_count
-
-    rows = with_group_count(transaction_bronze(spark, sf), ["transaction_id", "transaction_date"], "copies").filter("copies = 1")
-    return entities.transactions(rows, CTX).select(
+    return entities.transactions(transaction_bronze(spark, sf), CTX, ties=["tie"]).select(
         "transaction_id", "transaction_date", "amount", "transaction_cost", "is_credit", "is_completed", "is_debit_order", "is_recurring",
         "do_debit_order_id", F.coalesce("is_salary_candidate", F.lit(False)).alias("is_salary_candidate"), "currency", "channel",
         "do_beneficiary_name", "receiving_account", "transaction_year", "transaction_day_of_week",
@@ -309,24 +310,18 @@ def _(spark, sf):
     return run_rules(entities.transactions(transaction_bronze(spark, sf), CTX), payments.transaction_rules())
 
 
-@query("silver_deposits", """SELECT is_initial_deposit, debit_credit, count(*) AS row_count, round(sum(amount), 2) AS amount FROM (
-SELECT FALSE AS is_initial_deposit, CASE WHEN l_linestatus = 'F' THEN 'credit' ELSE 'debit' END AS debit_credit, 0.0 AS amount FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, CAST(l_shipdate AS DATE)
-ORDER BY l_suppkey) AS rn, count(DISTINCT l_linestatus) OVER (PARTITION BY l_orderkey, l_linenumber, CAST(l_shipdate AS DATE)) AS k FROM lineitem) WHERE rn = 1 AND k = 1
+@query("silver_deposits", f"""SELECT is_initial_deposit, debit_credit, count(*) AS row_count, CAST(sum(CAST(amount AS DECIMAL(18, 2))) AS DOUBLE) AS amount FROM (
+SELECT FALSE AS is_initial_deposit, CASE WHEN l_linestatus = 'F' THEN 'credit' ELSE 'debit' END AS debit_credit, l_extendedprice AS amount FROM {NEWEST_LINES_SQL}
 UNION ALL SELECT TRUE, 'credit', o_totalprice FROM orders) GROUP BY ALL""")
 def _(spark, sf):
-    """Late deposits join the transactions exactly once; ids with mixed directions are left out on both sides."""
-    from ..operators.groups import with_group
-
-    rows = with_group(
-        transaction_bronze(spark, sf), ["transaction_id", "transaction_date"], {"kinds": F.count_distinct("debit_credit")}
-    ).filter("kinds = 1")
+    """Late deposits join the transactions exactly once."""
     deposits = bronze(
         table(spark, sf, "orders"), F.col("o_orderdate").cast("date"), account_id=text("o_orderkey"), amount=F.col("o_totalprice"),
         channel=F.lit("Branch"), transaction_date=F.col("o_orderdate").cast("date"), ch_branch_code=F.lit("b1"),
     )
-    both = entities.transactions(rows, CTX, deposits)
-    amount = F.when(F.col("is_initial_deposit"), F.col("amount")).otherwise(0.0)
-    return both.groupBy("is_initial_deposit", "debit_credit").agg(F.count(F.lit(1)).alias("row_count"), F.round(F.sum(amount), 2).alias("amount"))
+    both = entities.transactions(transaction_bronze(spark, sf), CTX, deposits, ties=["tie"])
+    total = F.sum(F.col("amount").cast("decimal(18, 2)")).cast("double")
+    return both.groupBy("is_initial_deposit", "debit_credit").agg(F.count(F.lit(1)).alias("row_count"), total.alias("amount"))
 
 
 @query("silver_debit_orders", """SELECT CAST(o_orderkey AS VARCHAR) AS debit_order_id, o_orderstatus = 'F' AS is_active, o_orderstatus = 'P' AS is_cancelled, o_orderpriority <> '5-LOW' AS is_recurring, o_totalprice > 250000 AS is_linked_to_loan,

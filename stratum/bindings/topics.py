@@ -69,7 +69,7 @@ def as_messages(spark, sf):
 
 
 TOPIC_ROWS_SQL = f"""(SELECT vec_id AS message_id, topic, confidence, CASE WHEN label = 3 THEN ' ' ELSE concat('subject ', label) END AS subject,
-concat('Body of group ', label % 4, '. Please see line ', length(vec_id::VARCHAR)) AS body, concat('body of group ', label % 4) AS body_norm FROM {SCORED_SQL})"""
+concat('Body of group ', label % 4, '. Please see line ', length(vec_id::VARCHAR)) AS body, concat('body of group ', label % 4) AS body_norm, label, margin FROM {SCORED_SQL})"""
 
 
 @query("cluster_summary", f"""WITH r AS {TOPIC_ROWS_SQL},
@@ -88,28 +88,33 @@ def _(spark, sf):
 
 @query("topic_assignments", f"""WITH r AS {TOPIC_ROWS_SQL}, k AS (SELECT topic, subject, count(*) AS n FROM r WHERE trim(subject) <> '' GROUP BY ALL),
 tp AS (SELECT topic, arg_min(subject, (-n, subject)) AS label FROM k GROUP BY 1)
-SELECT message_id, subject, CAST(r.topic AS BIGINT) AS topic, coalesce(tp.label, concat('requirement ', r.topic)) AS topic_label,
-count(*) OVER (PARTITION BY subject) AS subject_count, count(*) OVER (PARTITION BY subject) >= 5 AS subject_is_common FROM r LEFT JOIN tp USING (topic)""")
+SELECT message_id, subject, concat('Body of group ', r.label % 4, '.', chr(10), 'Please see line ', length(message_id::VARCHAR)) AS body, subject AS subject_norm, CAST(r.topic AS BIGINT) AS topic, coalesce(tp.label, concat('requirement ', r.topic)) AS topic_label,
+count(*) OVER (PARTITION BY subject) AS subject_count, count(*) OVER (PARTITION BY subject) >= 5 AS subject_is_common, count(*) OVER (PARTITION BY body_norm) AS body_template_count, count(*) OVER (PARTITION BY body_norm) >= 5 AS body_is_common,
+round(confidence, 6) AS confidence, confidence < 0.35 OR margin < 0.02 AS needs_review FROM r LEFT JOIN tp USING (topic)""")
 def _(spark, sf):
     full = as_messages(spark, sf)
     full = topics.with_frequency(full, "subject_norm", "subject_count", "subject_is_common")
     full = topics.with_frequency(full, "body_norm", "body_template_count", "body_is_common")
     summary = topics.topic_summary(full, "subject", "body", "message_id", common="subject_is_common")
-    return topics.assignments(full, summary).select(
-        "message_id", "subject", "topic", "topic_label", "subject_count", "subject_is_common"
-    )
+    return topics.assignments(full, summary).withColumn("confidence", F.round("confidence", 6))
 
 
 @query("kmeans_silhouette")
 def _(spark, sf):
     """Iterative and seeded: no SQL equivalent."""
     data = topics.unit_vectors(table(spark, sf, "embeddings"), "embedding")
-    model, scores = topics.choose_k(data, k_min=4, k_max=8)
+    model, scores = topics.choose_k(data, starts=2)
     clustered = topics.score_centroids(table(spark, sf, "embeddings"), "embedding", topics.model_centroids(model))
     per_topic = clustered.groupBy("topic").agg(F.count(F.lit(1)).alias("members"), F.round(F.avg("confidence"), 4).alias("avg_confidence"))
     return per_topic.withColumns({"k": F.lit(len(model.clusterCenters())), "silhouette": F.lit(round(max(scores.values()), 6))})
 
 
+@query("stratified_split", """SELECT CAST(label AS BIGINT) AS label, CAST(round(count(*) * 0.25) AS BIGINT) AS held_out, count(*) AS row_count FROM embeddings GROUP BY 1""")
+def _(spark, sf):
+    split = topics.stratified(table(spark, sf, "embeddings").select("vec_id", "label"), "label", "vec_id", topics.TEST_SHARE)
+    return split.groupBy(F.col("label").cast("bigint").alias("label")).agg(F.count_if("held_out").alias("held_out"), F.count(F.lit(1)).alias("row_count"))
+
+
 @query("separability")
 def _(spark, sf):
     """A fitted classifier: no SQL equivalent."""

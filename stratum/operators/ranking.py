@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from ..session import durable
 
 
+CHUNK_UNITS = ("day", "week", "month", "quarter", "year")
+
+
 def with_neighbours(
     df: DataFrame,
     keys: Sequence[str],
@@ -80,8 +83,10 @@ def asof_join(
 
     Both sides become one ordered stream and values are carried forward, inside calendar chunks and then from
     chunk to chunk; no pairs are formed, so a key that is hot on both sides costs its rows, not their product.
-    ``right`` holds one row per key and date. The left row count is preserved.
+    ``right`` holds one row per key and date. The left row count is preserved. ``unit`` is the length of a chunk.
     """
+    if unit not in CHUNK_UNITS:
+        raise ValueError(f"unit must be one of {', '.join(CHUNK_UNITS)}")
     values = right.select(
         F.col(on).alias("__k"), F.col(right_at).cast("date").alias("__at"), F.lit(0).alias("__side"),
         F.struct(*columns).alias("__val"),
@@ -90,7 +95,7 @@ def asof_join(
         F.col(on).alias("__k"), F.col(left_at).cast("date").alias("__at"), F.lit(1).alias("__side"),
         F.struct(*left.columns).alias("__row"),
     )
-    both = values.unionByName(rows, allowMissingColumns=True).withColumn("__g", F.struct("__k", F.trunc("__at", unit).alias("__chunk")))
+    both = values.unionByName(rows, allowMissingColumns=True).withColumn("__g", F.struct("__k", (F.col("__at") if unit == "day" else F.trunc("__at", unit)).alias("__chunk")))
     upto = Window.partitionBy("__g").orderBy("__at", "__side").rowsBetween(Window.unboundedPreceding, 0)
     local = both.withColumn("__here", F.last("__val", ignorenulls=True).over(upto)).filter("__side = 1")
     heads = both.groupBy("__g").agg(F.max_by("__val", F.when(F.col("__side") == 0, F.col("__at"))).alias("__last"))

@@ -117,9 +117,12 @@ def channel_name(column: Column | str) -> Column:
     return bands.map_lookup(c, CHANNEL_NAMES, F.lower(c))
 
 
-def transactions(bronze: DataFrame, ctx: RunContext, deposits: DataFrame | None = None) -> DataFrame:
-    """Transactions keyed by id and date, with late deposits unioned once and marked."""
-    newest = latest_by(bronze, ["transaction_id", "transaction_date"], ["year", "month", "_ingest_timestamp"])
+def transactions(bronze: DataFrame, ctx: RunContext, deposits: DataFrame | None = None, ties: Sequence[str] = ()) -> DataFrame:
+    """Transactions keyed by id and date, with late deposits unioned once and marked.
+
+    Of rows with one file period and ingest time the largest by ``ties`` stays (by a hash of the row without them).
+    """
+    newest = latest_by(bronze, ["transaction_id", "transaction_date"], ["year", "month", "_ingest_timestamp", *ties])
     flat = flatten(newest, TRANSACTION_PARTS, REDUNDANT_COLUMNS).drop(*DROPPED_COLUMNS)
     clean = project(flat, TRANSACTION_SPEC, keep=BRONZE_META)
     masked = masking.mask(

@@ -27,9 +27,10 @@ from ..session import durable
 COMMON_MIN = 5
 K_MIN, K_MAX = 4, 20
 CONFIDENCE_MIN, MARGIN_MIN = 0.35, 0.02
-TEST_SHARE, SEED, REGULARISATION = 0.25, 42, 0.1
+TEST_SHARE, SEED, INVERSE_PENALTY, STARTS = 0.25, 42, 10.0, 10
 TOP_SUBJECTS, EXAMPLE_CHARS, SUMMARY_CHARS, SUBJECT_CHARS = 3, 280, 200, 70
-MAX_CENTROIDS = 4096
+#: Centroids multiplied at once in a task
+CENTROID_BLOCK = 1024
 
 
 def prepare(messages: DataFrame) -> DataFrame:
@@ -86,16 +87,18 @@ def unit_vectors(df: DataFrame, column: str, output: str = "unit") -> DataFrame:
     return Normalizer(inputCol="__v", outputCol=output, p=2.0).transform(vectors).drop("__v")
 
 
-def choose_k(vectors: DataFrame, features: str = "unit", k_min: int = K_MIN, k_max: int = K_MAX, seed: int = SEED):
-    """(model, silhouette scores): spherical K-Means with the best cosine silhouette.
+def choose_k(vectors: DataFrame, features: str = "unit", k_min: int = K_MIN, k_max: int = K_MAX, seed: int = SEED, starts: int = STARTS):
+    """(model, silhouette scores): spherical K-Means with the best cosine silhouette, for each K the cheapest of several
+    starts. K stays below the number of rows.
 
     The vectors are written once to the shared folder; all fits read that copy.
     """
     data = durable(vectors.select(features), "vectors")
     judge = ClusteringEvaluator(featuresCol=features, predictionCol="topic", distanceMeasure="cosine")
     best, scores = None, {}
-    for k in range(k_min, k_max + 1):
-        model = KMeans(featuresCol=features, predictionCol="topic", k=k, seed=seed, distanceMeasure="cosine").fit(data)
+    for k in range(k_min, min(k_max, data.count() - 1) + 1):
+        fits = [KMeans(featuresCol=features, predictionCol="topic", k=k, seed=seed + i, distanceMeasure="cosine").fit(data) for i in range(starts)]
+        model = min(fits, key=lambda m: m.summary.trainingCost)
         scores[k] = judge.evaluate(model.transform(data))
         if best is None or scores[k] > scores[best[0]]:
             best = (k, model)
@@ -114,10 +117,8 @@ def mean_centroids(df: DataFrame, label: str, column: str) -> DataFrame:
 
 
 def collect_centroids(centroids: DataFrame) -> list[tuple[int, list[float]]]:
-    """Centroids as a checked small list (one row per topic)."""
-    rows = centroids.orderBy("topic").limit(MAX_CENTROIDS + 1).collect()
-    if len(rows) > MAX_CENTROIDS:
-        raise ValueError(f"more than {MAX_CENTROIDS} centroids: assign with the clustering model instead")
+    """Centroids as a list: one row per topic, as a fitted clustering model holds them too."""
+    rows = centroids.orderBy("topic").collect()
     return [(int(r["topic"]), [float(x) for x in r["centroid"]]) for r in rows]
 
 
@@ -130,7 +131,8 @@ def score_centroids(
 ) -> DataFrame:
     """Nearest centroid by cosine: ``topic``, ``confidence``, ``margin`` to the runner-up, ``needs_review``.
 
-    One matrix product per Arrow batch. ``margin_min=None`` reviews on confidence alone, as for new messages.
+    One matrix product per Arrow batch and block of centroids, of which only the best two are kept.
+    ``margin_min=None`` reviews on confidence alone, as for new messages.
     """
     topics = np.array([t for t, _ in centroids], dtype="int64")
     matrix = np.array([c for _, c in centroids], dtype="float64")
@@ -141,16 +143,16 @@ def score_centroids(
         for vectors in batches:
             x = np.stack(vectors.to_numpy()).astype("float64")
             x = x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-9)
-            sims = x @ matrix.T
-            rows = np.arange(len(sims))
-            first = sims.argmax(axis=1)
-            top = sims[rows, first]
-            if sims.shape[1] > 1:
-                rest = sims.copy()
-                rest[rows, first] = -np.inf
-                margin = top - rest.max(axis=1)
-            else:
-                margin = np.full(len(sims), np.nan)
+            rows = np.arange(len(x))
+            first, top, second = np.zeros(len(x), int), np.full(len(x), -np.inf), np.full(len(x), -np.inf)
+            for start in range(0, len(matrix), CENTROID_BLOCK):
+                sims = x @ matrix[start:start + CENTROID_BLOCK].T
+                here = sims.argmax(axis=1)
+                best = sims[rows, here]
+                sims[rows, here] = -np.inf
+                second = np.maximum(np.minimum(top, best), np.maximum(second, sims.max(axis=1)))
+                first, top = np.where(best > top, start + here, first), np.maximum(top, best)
+            margin = top - second if len(matrix) > 1 else np.full(len(x), np.nan)
             yield pd.DataFrame({"topic": topics[first], "confidence": top, "margin": margin})
 
     scored = df.withColumn("__s", nearest(F.col(column))).select("*", "__s.*").drop("__s")
@@ -168,19 +170,39 @@ def medoids(scored: DataFrame, id_col: str) -> DataFrame:
     )
 
 
+def stratified(df: DataFrame, label: str, id_col: str, share: float, bits: int = 10) -> DataFrame:
+    """``df`` with ``held_out``: per label the ``round(share * n)`` rows with the smallest (hash, id).
+
+    A label is counted in hash buckets; buckets below the border are held out whole, and only the rows of the one bucket
+    in which the border falls are ranked. No task ranks a whole label.
+    """
+    turn = F.xxhash64(F.col(id_col).cast("string"), F.lit(SEED))
+    bucket = F.shiftrightunsigned(turn, 64 - bits)
+    rows = df.withColumns({"__turn": turn, "__bucket": bucket})
+    counts = rows.groupBy(F.col(label).alias("__l"), F.col("__bucket").alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+    whole = Window.partitionBy("__l")
+    upto = whole.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumns({"__before": F.coalesce(F.sum("__n").over(upto), F.lit(0)), "__wanted": F.round(F.sum("__n").over(whole) * F.lit(share)).cast("bigint")})
+    counts = durable(counts, "strata")
+    joined = rows.join(counts, F.col(label).eqNullSafe(F.col("__l")) & (F.col("__bucket") == F.col("__b")))
+    # a null key keeps settled rows out of the ranking
+    border = (F.col("__before") < F.col("__wanted")) & (F.col("__before") + F.col("__n") > F.col("__wanted"))
+    place = F.row_number().over(Window.partitionBy("__l", "__b").orderBy("__turn", id_col))
+    ranked = joined.filter(border).withColumn("held_out", F.col("__before") + place <= F.col("__wanted"))
+    settled = joined.filter(~border).withColumn("held_out", F.col("__before") < F.col("__wanted"))
+    return settled.unionByName(ranked).select(*df.columns, "held_out")
+
+
 def separability(df: DataFrame, features: str, label: str, id_col: str, share: float = TEST_SHARE) -> DataFrame:
     """Accuracy and macro F1 of a linear classifier on a held-out part; one result row.
 
-    The split hashes the id, so a recomputed task keeps every row on its side and each label is split alike.
+    Of every label the given share (rounded) with the smallest id hashes is held out; see :func:`stratified`. The penalty
+    is stated for the summed loss, Spark averages it over the rows.
     """
-    data = df.select(
-        F.col(features), F.col(label).cast("double").alias("label"),
-        (F.pmod(F.xxhash64(F.col(id_col), F.lit(SEED)), F.lit(10_000)) < int(share * 10_000)).alias("held_out"),
-    )
-    data = durable(data, "split")
-    model = LogisticRegression(featuresCol=features, labelCol="label", regParam=REGULARISATION, maxIter=200).fit(
-        data.filter(~F.col("held_out"))
-    )
+    data = durable(stratified(df, label, id_col, share).select(F.col(features), F.col(label).cast("double").alias("label"), "held_out"), "split")
+    train = data.filter(~F.col("held_out"))
+    penalty = 1.0 / (INVERSE_PENALTY * max(1, train.count()))
+    model = LogisticRegression(featuresCol=features, labelCol="label", regParam=penalty, maxIter=200).fit(train)
     predicted = model.transform(data.filter("held_out")).select("label", "prediction")
     cells = predicted.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
     # macro F1 from the confusion counts: a few rows per pair of labels

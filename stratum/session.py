@@ -19,6 +19,7 @@ def local_session(app: str = "stratum", cores: str = "*", **conf: str) -> SparkS
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        "spark.sql.files.maxPartitionBytes": "8m",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -56,13 +57,3 @@ def durable(df: DataFrame, name: str = "cut") -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Widen a scan that Spark would read in fewer tasks than there are cores (few or large row groups).
-
-    For per-row work that costs far more than moving the row. A table of many files has enough splits and
-    comes back as it is. Hash partitioning by ``key`` keeps every retry on the same placement.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
+from fnmatch import fnmatchcase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,14 +44,25 @@ def with_bronze_meta(
 
 
 def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str = "*") -> DataFrame:
-    """path, length and modification time below ``root``; the bytes are never read (column pruning).
+    """path, length and modification time of every file below ``root`` whose name fits ``pattern``.
 
-    Files of zero bytes have nothing to scan and are not listed.
+    Listed by the Hadoop file system, like the file index of any scan, so files of zero bytes and names that start
+    with ``_`` or ``.`` are there too (checksum side files and the markers of a finished write are not data and stay out).
+    No file is opened.
     """
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-        .load(root).select("path", "length", "modificationTime")
-    )
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for top in [root] if isinstance(root, str) else root:
+        path = jvm.org.apache.hadoop.fs.Path(top)
+        entries = path.getFileSystem(conf).listFiles(path, True)
+        while entries.hasNext():
+            entry = entries.next()
+            where = entry.getPath()
+            name = where.getName()
+            if fnmatchcase(name, pattern) and name != "_SUCCESS" and not name.endswith(".crc"):
+                at = dt.datetime.fromtimestamp(entry.getModificationTime() / 1000, dt.timezone.utc)
+                found.append((where.toString(), entry.getLen(), at))
+    return spark.createDataFrame(found, "path string, length bigint, modificationTime timestamp")
 
 
 def discover_entities(files: DataFrame) -> DataFrame:

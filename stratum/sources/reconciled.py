@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import file_name, period
+from .files import ENTITY_FILE, period
 
 # fixed values: first bytes of a Parquet file and of a pointer file left by an unfinished download
 PARQUET_MAGIC = b"PAR1"
@@ -28,6 +28,7 @@ def _uri(path: str) -> str:
 
 def _footers(batches):
     """Read one footer per path inside the task: magic bytes, column names and types, row count."""
+    import pyarrow as pa
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
@@ -42,7 +43,9 @@ def _footers(batches):
                 with fs.open_input_file(inner) as f:
                     head = f.read(8)
                 row["magic"] = head[:4].decode("latin-1")
-                if head.startswith(POINTER_PREFIX):
+                if not head:
+                    row["verdict"] = "zero_bytes"
+                elif head.startswith(POINTER_PREFIX):
                     row["verdict"] = "pointer"
                 elif head[:4] != PARQUET_MAGIC:
                     row["verdict"] = "not_parquet"
@@ -54,16 +57,22 @@ def _footers(batches):
                     row["columns"] = len(fields)
                     row["schema_text"] = "\n".join(f"{x.name}: {x.type}" for x in fields)
                     row["verdict"] = "ok" if len(fields) else "empty_shell"
-            except Exception as error:  # a broken file is a finding, not a failure
+            except (pa.ArrowInvalid, pa.ArrowNotImplementedError, EOFError) as error:
+                # broken bytes are a finding; a missing right or a network fault fails the task
                 row["verdict"] = f"unreadable: {type(error).__name__}"
+            except OSError as error:
+                if error.errno is not None:
+                    raise
+                row["verdict"] = f"unreadable: {type(error).__name__}"  # Arrow's word for bytes that end too early
             out.append(row)
         yield pd.DataFrame(out, columns=[c.split()[0] for c in FOOTER_SCHEMA.split(", ")])
 
 
 def probe_files(paths: DataFrame) -> DataFrame:
-    """Footer facts and a verdict per file of a listing: ok, empty_shell, pointer, not_parquet, unreadable."""
-    spread = paths.select("path").repartition("path")
-    return spread.mapInPandas(_footers, FOOTER_SCHEMA)
+    """Footer facts and a verdict per file of a listing: ok, zero_bytes, empty_shell, pointer, not_parquet,
+    unreadable."""
+    dealt = paths.select("path").repartition("path")
+    return dealt.mapInPandas(_footers, FOOTER_SCHEMA)
 
 
 def read_reconciled(spark: SparkSession, paths: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
@@ -113,8 +122,18 @@ def expected_grid(spark: SparkSession, entities: Sequence[str], first_month: str
 
 
 def gap_manifest(grid: DataFrame, probes: DataFrame) -> DataFrame:
-    """The expected grid with what was found: size, finding, type of gap and what to do about it."""
-    seen = probes.select(file_name("path").alias("file_name"), "length", "rows", "verdict")
+    """The expected grid with what was found: size, finding, type of gap and what to do about it.
+
+    A file belongs to the entity, year and month that its path tells, whatever folder it lies in; of several for one
+    month the best counts, sizes and rows add up. ``finding_id`` names the grid cell.
+    """
+    where = period("path")
+    entity = F.regexp_extract("path", ENTITY_FILE, 1)
+    of_month = probes.filter(entity != "").groupBy(entity.alias("__e"), where["year"].alias("__y"), where["month"].alias("__m"))
+    seen = of_month.agg(
+        F.sum("length").alias("length"), F.sum("rows").alias("rows"),
+        F.when(F.max(F.col("verdict") == "ok"), "ok").otherwise(F.min("verdict")).alias("verdict"),
+    )
     finding = (
         F.when(F.col("verdict").isNull(), "missing")
         .when(F.col("verdict") != "ok", F.col("verdict"))
@@ -122,15 +141,21 @@ def gap_manifest(grid: DataFrame, probes: DataFrame) -> DataFrame:
     )
     resolution = (
         F.when(F.col("finding") == "present", "none")
-        .when(F.col("finding").isin("missing", "empty_shell", "no_rows"), "request_from_source")
+        .when(F.col("finding").isin("missing", "zero_bytes", "empty_shell", "no_rows"), "request_from_source")
         .otherwise("fetch_again")
     )
+    gap_type = (
+        F.when(F.col("finding") == "present", "none").when(F.col("finding") == "missing", "absent_file")
+        .when(F.col("finding").isin("zero_bytes", "empty_shell", "no_rows"), "empty_file").otherwise("broken_file")
+    )
     return (
-        grid.join(seen, "file_name", "left")
+        grid.join(seen, (F.col("entity") == F.col("__e")) & (F.col("year") == F.col("__y")) & (F.col("month") == F.col("__m")), "left")
         .withColumn("on_disk", F.col("verdict").isNotNull())
         .withColumn("finding", finding)
         .withColumn("resolution", resolution)
-        .select("year", "month", "entity", "file_name", "on_disk", F.col("length").alias("size"), "finding", "resolution")
+        .withColumn("gap_type", gap_type)
+        .withColumn("finding_id", F.concat_ws("-", "entity", "year", "month", "finding"))
+        .select("finding_id", "year", "month", "entity", "file_name", "on_disk", F.col("length").alias("size"), "finding", "gap_type", "resolution")
     )
 
 

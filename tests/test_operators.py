@@ -237,7 +237,7 @@ def test_profiles(spark, rows):
 
 def test_date_dim_range(spark):
     d = dims.date_dim(spark, "2023-12-30", "2024-03-01")
-    assert d.count() == 63 and d.filter("is_public_holiday").count() == 1
+    assert d.count() == 63 and d.filter("is_public_holiday_za").count() == 1
     assert d.filter("is_quarter_end").count() == 1 and d.filter("is_month_end").count() == 3
     assert len(dims.PUBLIC_HOLIDAYS) == len(set(dims.PUBLIC_HOLIDAYS)) and len(d.columns) == 14
 

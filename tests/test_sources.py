@@ -3,7 +3,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.session import spread, work_root
+from stratum.session import work_root
 from stratum.sources import files, mail, reconciled, tables
 
 
@@ -136,12 +136,6 @@ def test_create_once(spark, tmp_path):
         tables.create_once(df, str(tmp_path / "x"))
 
 
-def test_spread_only_widens(spark):
-    wide = spark.range(100, numPartitions=64)
-    assert spread(wide, "id") is wide
-    assert spread(spark.range(100, numPartitions=1), "id").rdd.getNumPartitions() > 1
-
-
 def test_work_root_follows_the_session(spark):
     assert spark.conf.get("spark.checkpoint.dir") == work_root(spark) if spark.conf.get("spark.checkpoint.dir", None) else work_root(spark)
 
