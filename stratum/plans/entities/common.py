@@ -10,7 +10,6 @@ from ...config import RunContext
 BRONZE_META = ("_source_file", "_ingest_timestamp", "_batch_id", "_commit_sha", "year", "month")
 # fixed values: date formats, day first wins over month first
 EVENT_DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy")
-NEWEST = ("_ingest_timestamp",)
 
 
 def today(ctx: RunContext) -> Column:

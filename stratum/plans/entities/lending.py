@@ -10,7 +10,7 @@ from ...functions import bands
 from ...functions.casting import project
 from ...operators.dedup import latest_by
 from ...operators.integrity import existence_flag
-from .common import BRONZE_META, kinds, silver_meta, today
+from .common import BRONZE_META, kinds, silver_meta
 
 LOAN_SPEC = kinds(
     plain="loan_id customer_id account_id",
@@ -60,38 +60,44 @@ def participation_bucket(pct: Column | str) -> Column:
     return bands.band(pct, SHARE_EDGES, SHARE_LABELS, null_label=SHARE_LABELS[-1])
 
 
+#: derived column -> rule over the typed columns; ``{..}`` are filled from the fixed values above
+LOAN_RULES = {
+    "application_month": "month(application_date)",
+    "application_year": "year(application_date)",
+    "days_to_decision": "datediff(decision_at, application_date)",
+    "discretionary_income": "greatest(discretionary_income, 0D)",  # never negative; unknown counts as none
+    "is_booked": "workflow_state = 'Booked'",
+    "is_disbursed": "disbursed_at IS NOT NULL",
+    "is_fully_granted": "amount_granted >= requested_amount * {granted}D",
+    "loan_to_value_ratio": "CASE WHEN collateral_type <> 'none' THEN loan_to_value_ratio END",
+}
+PARTICIPATION_RULES = {
+    "has_internal_loan": "loan_id IS NOT NULL",
+    "is_active": "status = 'active'",
+    "is_external_loan": "external_loan_reference IS NOT NULL",
+    "is_incoming_participation": "participation_direction = 'incoming_participation'",
+    "participation_age_days": "datediff(DATE '{today}', effective_date)",
+    "participation_source": "if(participation_direction <=> 'incoming_participation', 'External', 'Internal')",
+    "retained_amount": "participation_amount * retained_pct / 100.0D",
+}
+
+
+def ruled(df: DataFrame, rules: dict[str, str], **values: object) -> DataFrame:
+    """All rules of a table at once, over the columns as they came."""
+    return df.withColumns({name: F.expr(rule.format(**values)) for name, rule in rules.items()})
+
+
 def loans(bronze: DataFrame, ctx: RunContext) -> DataFrame:
     newest = latest_by(bronze, ["loan_id"], ["_ingest_timestamp"])
-    state = F.col("workflow_state")
-    status = bands.map_lookup(state, LOAN_STATUSES, "Unknown")
-    rows = project(newest, LOAN_SPEC, keep=BRONZE_META).withColumns({
-        # never negative; an unknown income counts as none
-        "discretionary_income": F.greatest(F.col("discretionary_income"), F.lit(0.0)),
-        "loan_status": status,
-        "is_booked": state == "Booked",
-        "is_disbursed": F.col("disbursed_at").isNotNull(),
-        "is_rejected": status == "Rejected",
-        "is_fully_granted": F.col("amount_granted") >= F.col("requested_amount") * FULLY_GRANTED_SHARE,
-        "application_year": F.year("application_date"), "application_month": F.month("application_date"),
-        "days_to_decision": F.datediff("decision_at", "application_date"),
-        "loan_to_value_ratio": F.when(F.col("collateral_type") != "none", F.col("loan_to_value_ratio")),
-    })
-    return silver_meta(rows, "bronze_loans", ctx)
+    rows = ruled(project(newest, LOAN_SPEC, keep=BRONZE_META), LOAN_RULES, granted=FULLY_GRANTED_SHARE)
+    rows = rows.withColumn("loan_status", bands.map_lookup("workflow_state", LOAN_STATUSES, "Unknown"))
+    return silver_meta(rows.withColumn("is_rejected", F.col("loan_status") == "Rejected"), "bronze_loans", ctx)
 
 
 def loan_participations(bronze: DataFrame, ctx: RunContext) -> DataFrame:
     newest = latest_by(bronze, ["participation_id"], ["_ingest_timestamp"])
-    incoming = F.col("participation_direction") == "incoming_participation"
-    rows = project(newest, PARTICIPATION_SPEC, keep=BRONZE_META).withColumns({
-        "participation_bucket": participation_bucket("participation_pct"),
-        "is_incoming_participation": incoming,
-        "has_internal_loan": F.col("loan_id").isNotNull(),
-        "is_external_loan": F.col("external_loan_reference").isNotNull(),
-        "participation_source": F.when(incoming, "External").otherwise("Internal"),
-        "participation_age_days": F.datediff(today(ctx), "effective_date"),
-        "is_active": F.col("status") == "active",
-        "retained_amount": F.col("participation_amount") * F.col("retained_pct") / 100.0,
-    })
+    rows = ruled(project(newest, PARTICIPATION_SPEC, keep=BRONZE_META), PARTICIPATION_RULES, today=ctx.as_of.isoformat())
+    rows = rows.withColumn("participation_bucket", participation_bucket("participation_pct"))
     return silver_meta(rows, "bronze_loan_participations", ctx)
 
 
