@@ -34,7 +34,7 @@ def run_silver(
     """Process what arrived after the last mark and publish the merged table at ``root``.
 
     An empty increment ends the run without a trace. The mark and the audit row are written after the table is
-    published: a run that dies in between is repeated, and repeating it gives the same table.
+    published: a run that dies in between is repeated, with a new batch id or the same one, and gives the same table.
     """
     spark = bronze.sparkSession
     start = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -47,7 +47,10 @@ def run_silver(
     # an upper bound as well, so that rows arriving during the run wait for the next one
     increment = increment.filter(F.col(watermark) <= F.lit(found["mark"]))
     touch: dict[str, Column] = {"updated_timestamp": F.current_timestamp(), "silver_load_timestamp": F.current_timestamp()}
-    counts = tables.merge_table(build(increment, ctx), root, keys, ctx.batch_id, preserve, touch)
+    if tables.is_published(spark, root, ctx.batch_id):  # the run died between publication and mark
+        counts = {"inserted": None, "updated": None}
+    else:
+        counts = tables.merge_table(build(increment, ctx), root, keys, ctx.batch_id, preserve, touch)
     facts = {
         "pipeline_name": pipeline, "source_table": pipeline, "watermark_column": watermark, "watermark_value": found["mark"],
         "batch_id": ctx.batch_id, "rows_processed": found["n"], "rows_inserted": counts["inserted"],

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.upsert import require_unique, upsert, upsert_counts
+from ..session import durable
 
 SNAPSHOT_SCHEMA = "batch_id string, path string, published timestamp"
 
@@ -66,6 +67,11 @@ def current_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     return None if path is None else spark.read.parquet(path)
 
 
+def is_published(spark: SparkSession, root: str, batch_id: str) -> bool:
+    log = f"{root}/_log"
+    return exists(spark, log) and bool(spark.read.schema(SNAPSHOT_SCHEMA).parquet(log).filter(F.col("batch_id") == batch_id).take(1))
+
+
 def publish(df: DataFrame, root: str, batch_id: str) -> str:
     """Write a snapshot and make it current; a batch id is published once.
 
@@ -73,7 +79,7 @@ def publish(df: DataFrame, root: str, batch_id: str) -> str:
     """
     spark = df.sparkSession
     path, log = f"{root}/batch={batch_id}", f"{root}/_log"
-    if exists(spark, log) and spark.read.schema(SNAPSHOT_SCHEMA).parquet(log).filter(F.col("batch_id") == batch_id).take(1):
+    if is_published(spark, root, batch_id):
         raise ValueError(f"batch {batch_id} is already published")
     df.write.mode("overwrite").parquet(path)
     row = [(batch_id, path, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
@@ -89,8 +95,12 @@ def merge_table(
     preserve: Sequence[str] = (),
     touch: Mapping[str, Column] | None = None,
 ) -> dict[str, int]:
-    """Upsert into the published table (first run: create it); returns true insert and update counts."""
+    """Upsert into the published table (first run: create it); returns true insert and update counts.
+
+    The source is built once: uniqueness, counts and the merge read the written copy.
+    """
     spark = source.sparkSession
+    source = durable(source, "merge-source")
     require_unique(source, keys)
     target = current_snapshot(spark, root)
     if target is None:

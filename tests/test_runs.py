@@ -3,9 +3,11 @@
 import datetime as dt
 from dataclasses import replace
 
+import pytest
 from pyspark.sql import functions as F
 
 from stratum.plans import entities
+from stratum.plans.gold import GoldTable, run_gold
 from stratum.plans.runs import run_silver
 from stratum.sources import tables
 
@@ -55,3 +57,31 @@ def test_run_after_a_dead_one(spark, tmp_path, ctx):
     out = run_silver("p", bronze, entities.loans, root, ["loan_id"], log, replace(ctx, batch_id="again"))
     assert out == {"processed": 5, "inserted": 0, "updated": 3}
     assert tables.current_snapshot(spark, root).agg(F.count_distinct("loan_id"), F.count("*")).first() == (3, 3)
+
+
+def test_same_batch_after_a_dead_run(spark, tmp_path, ctx):
+    """Published, then stopped: the same batch id completes mark and audit and leaves the table alone."""
+    root, log = str(tmp_path / "t"), str(tmp_path / "log")
+    bronze = loans(spark, DATA)
+    tables.merge_table(entities.loans(bronze, ctx), root, ["loan_id"], ctx.batch_id, preserve=("created_timestamp",))
+    path = tables.current_path(spark, root)
+    run_silver("p", bronze, entities.loans, root, ["loan_id"], log, ctx)
+    assert tables.current_path(spark, root) == path
+    assert tables.read_table(spark, f"{log}/batch_watermark").count() == tables.read_table(spark, f"{log}/silver_audit_log").count() == 1
+    assert run_silver("p", bronze, entities.loans, root, ["loan_id"], log, replace(ctx, batch_id="next"))["processed"] == 0
+
+
+def test_gold_history_and_hard_uniqueness(spark, tmp_path, ctx):
+    table = GoldTable("dim", "src", "history", ("k",), ("v",), "since", "dim_key")
+    frame = lambda data: spark.createDataFrame(data, "k string, v int, since date")
+    root, log = str(tmp_path / "g"), str(tmp_path / "c")
+    day = dt.date(2024, 1, 1)
+    first = run_gold(spark, [(table, lambda _: frame([("a", 1, day), ("b", 1, day)]))], root, log, replace(ctx, batch_id="b1"))
+    second = run_gold(spark, [(table, lambda _: frame([("a", 2, day), ("c", 1, day)]))], root, log, replace(ctx, batch_id="b2"))
+    assert first["dim"] == {"rows_read": 2, "rows_inserted": 2, "rows_expired": 0}
+    assert second["dim"] == {"rows_read": 2, "rows_inserted": 2, "rows_expired": 1}
+    assert run_gold(spark, [(table, lambda _: frame([]))], root, log, replace(ctx, batch_id="b2")) == {}
+    with pytest.raises(ValueError):
+        run_gold(spark, [(table, lambda _: frame([("a", 3, day), ("a", 4, day)]))], root, log, replace(ctx, batch_id="b3"))
+    assert tables.current_path(spark, f"{root}/dim").endswith("b2"), "nothing was published"
+    assert tables.read_table(spark, f"{log}/gold_audit_log").count() == 2
