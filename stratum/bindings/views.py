@@ -38,7 +38,7 @@ l_discount + 0.0 AS transaction_cost FROM {LINES_SQL})"""
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """Line items, the newest per order and line."""
-    return latest_by(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORDER)
+    return latest_by(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORDER, tie=())
 
 
 def accounts(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,15 +12,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def row_tiebreak(df: DataFrame) -> Column:
-    """A hash of the whole row; makes any order total up to identical rows."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+def row_tiebreak(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """A hash of the row (or of some columns); makes any order total up to rows that are identical in them."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in (df.columns if columns is None else columns)])
 
 
-def latest_by(df: DataFrame, keys: Sequence[str], order: Iterable[Column | str]) -> DataFrame:
-    """One row per key, the first under ``order`` (null keys form a group of their own)."""
+def latest_by(df: DataFrame, keys: Sequence[str], order: Iterable[Column | str], tie: Sequence[str] | None = None) -> DataFrame:
+    """One row per key, the first under ``order`` (null keys form a group of their own).
+
+    Ties go to the smallest hash of the row, for which every column is read. ``tie`` names the columns to hash instead;
+    with an empty ``tie`` the order is taken as total and nothing else is read.
+    """
     order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order]
-    window = Window.partitionBy(*keys).orderBy(*order, row_tiebreak(df))
+    last = [] if tie is not None and not tie else [row_tiebreak(df, tie)]
+    window = Window.partitionBy(*keys).orderBy(*order, *last)
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..operators.dedup import latest_by
 from ..operators.groups import with_group_count
 from ..session import durable
 
@@ -164,10 +165,14 @@ def score_centroids(
 
 def medoids(scored: DataFrame, id_col: str) -> DataFrame:
     """The most typical row of each topic: highest confidence, smallest id on ties."""
-    return scored.groupBy("topic").agg(
-        F.min_by(id_col, F.struct(-F.col("confidence"), F.col(id_col))).alias("medoid"),
-        F.max("confidence").alias("medoid_confidence"), F.count(F.lit(1)).alias("members"),
-    )
+    sizes = scored.groupBy("topic").agg(F.max("confidence").alias("medoid_confidence"), F.count(F.lit(1)).alias("members"))
+    first = most_typical(scored, id_col).select(F.col("topic").alias("__t"), F.col(id_col).alias("medoid"))
+    return first.join(sizes, F.col("__t") == F.col("topic")).select("topic", "medoid", "medoid_confidence", "members")
+
+
+def most_typical(scored: DataFrame, id_col: str) -> DataFrame:
+    """One row per topic, limited on both sides of the shuffle; ``min_by`` on texts would sort all rows first."""
+    return latest_by(scored, ["topic"], [F.desc("confidence"), F.asc(id_col)], tie=())
 
 
 def stratified(df: DataFrame, label: str, id_col: str, share: float, bits: int = 10) -> DataFrame:
@@ -225,8 +230,9 @@ def topic_summary(scored: DataFrame, subject: str, body: str, id_col: str, commo
     size = scored.groupBy("topic").agg(
         F.count(F.lit(1)).alias("email_count"), F.avg("confidence").alias("avg_confidence"),
         (F.count_if(F.col(common)) if common else F.lit(0).cast("bigint")).alias("common_subject_emails"),
-        F.min_by(body, F.struct(-F.col("confidence"), F.col(id_col))).alias("__medoid"),
     )
+    typical = most_typical(scored.select("topic", "confidence", id_col, body), id_col)
+    typical = typical.select(F.col("topic").alias("__t4"), F.col(body).alias("__medoid"))
     counts = scored.groupBy("topic", F.col(subject).alias("s")).agg(F.count(F.lit(1)).alias("n"))
     dominant = counts.groupBy(F.col("topic").alias("__t1")).agg(F.max("n").alias("__dominant"))
     named = counts.filter(F.trim("s") != "")
@@ -237,16 +243,19 @@ def topic_summary(scored: DataFrame, subject: str, body: str, id_col: str, commo
     tops = ranked.groupBy(F.col("topic").alias("__t2")).agg(
         F.sort_array(F.collect_list(F.struct("r", line.alias("line"), "s"))).alias("__top")
     )
-    bodies = scored.groupBy("topic", "body_norm").agg(
-        F.count(F.lit(1)).alias("n"), F.min_by(body, F.col(id_col)).alias("raw")
-    )
-    examples = bodies.groupBy(F.col("topic").alias("__t3")).agg(
-        F.min_by("raw", F.struct(-F.col("n"), F.col("body_norm"))).alias("__example")
+    # the commonest body of each topic, then its verbatim form with the smallest id
+    templates = scored.groupBy("topic", "body_norm").agg(F.count(F.lit(1)).alias("n"))
+    commonest = latest_by(templates, ["topic"], [F.desc("n"), F.asc("body_norm")], tie=())
+    commonest = commonest.select(F.col("topic").alias("__t3"), F.col("body_norm").alias("__b3"))
+    texts = scored.select("topic", "body_norm", id_col, body).join(
+        commonest, F.col("topic").eqNullSafe(F.col("__t3")) & F.col("body_norm").eqNullSafe(F.col("__b3"))
     )
+    examples = latest_by(texts, ["__t3"], [F.asc(id_col)], tie=()).select("__t3", F.col(body).alias("__example"))
     joined = (
         size.join(dominant, F.col("topic") == F.col("__t1"), "left")
         .join(tops, F.col("topic") == F.col("__t2"), "left")
         .join(examples, F.col("topic") == F.col("__t3"), "left")
+        .join(typical, F.col("topic") == F.col("__t4"), "left")
     )
     return joined.select(
         "topic", "email_count",

@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 import check
+from stratum.bindings.views import lines
 from stratum.operators.dedup import latest_by
 
 SF = "/root/testdata/sf0.001"
@@ -48,3 +49,13 @@ def test_dedup_reduces_before_the_shuffle(spark):
     scan = spark.read.parquet(f"{SF}/lineitem.parquet")
     plan = latest_by(scan, ["l_orderkey"], ["l_shipdate"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_lines_are_limited_before_the_shuffle_and_read_few_columns(spark):
+    plan = lines(spark, SF).select("l_orderkey", "l_linenumber")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "REPARTITION_BY_NUM" not in plan and "l_shipmode" not in plan
+
+
+@pytest.mark.parametrize("name", ["medoid", "cluster_summary"])
+def test_typical_rows_need_no_sort_aggregate(spark, name):
+    assert "SortAggregate" not in contract.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
