@@ -13,6 +13,20 @@ from ..session import durable
 
 # fixed values: months that make a salary regular, months without one that make it stopped
 REGULAR_MONTHS, STOPPED_MONTHS = 3, 2
+# fixed values: the published columns in order, with their types
+COLUMNS = {
+    "customer_id": "string", "birth_date": "date", "city": "string", "province": "string", "nationality": "string",
+    "citizenship": "string", "primary_citizenship": "string", "is_dual_citizen": "boolean", "risk_score": "double",
+    "preferred_contact_method": "string", "is_pep": "boolean", "expected_income": "double",
+    "is_opted_in_marketing": "boolean", "number_of_accounts": "bigint", "first_account_opening_date": "date",
+    "age_at_opening": "bigint", "has_overdraft": "bigint", "has_credit_card": "bigint",
+    "number_of_active_months": "bigint", "transactions_frequency": "decimal(24,12)", "last_day_of_transactions": "date",
+    "average_days_between_transactions": "bigint", "average_transaction_volume": "double", "has_had_a_loan": "bigint",
+    "number_of_loans": "bigint", "most_preferred_channel": "string", "is_on_regular_salary": "bigint",
+    "has_salary_stopped": "bigint", "transactions_frequency_quartile": "bigint", "active_months_quartile": "bigint",
+    "avg_days_between_transactions_quartile": "bigint", "avg_transaction_volume_quartile": "bigint",
+    "silver_batch_id": "string",
+}
 QUARTILES = {
     "transactions_frequency_quartile": "transactions_frequency",
     "active_months_quartile": "number_of_active_months",
@@ -84,7 +98,8 @@ def customer_360(
 ) -> DataFrame:
     """``transactions``: completed rows with customer_id, transaction_date, channel, amount_abs, is_salary_candidate.
 
-    Every input is reduced to one row per customer before the joins, which all use the customer key.
+    Every input is reduced to one row per customer before the joins, which all use the customer key. The result has the
+    33 published columns in order and type; what ``individuals`` does not bring is null.
     """
     day = F.lit(str(as_of)).cast("date")
     wide = (
@@ -104,6 +119,9 @@ def customer_360(
         "silver_batch_id": F.lit(batch_id).cast("string"),
     })
     # the tiles read the rows twice (ranks, then tags): write the joined rows once instead of joining twice
-    return with_tiles(durable(filled, "customer360"), QUARTILES, "customer_id")
+    absent = {c: F.lit(None).cast(t) for c, t in COLUMNS.items() if c not in filled.columns and c not in QUARTILES}
+    known = filled.withColumns(absent).select(*[c for c in COLUMNS if c not in QUARTILES])
+    tiled = with_tiles(durable(known, "customer360"), QUARTILES, "customer_id")
+    return tiled.select(*[F.col(c).cast(t).alias(c) for c, t in COLUMNS.items()])
 
 
