@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import map_batches, same_key, settled
+from .common import map_batches, same_key, settled, unused
 from .components import components
 from .words import U, cut_words, mix, text_steps
 
 BANDS, ROWS = 40, 5
-#: Nodes in one block of a mixed bucket.
-BLOCK = 512
+#: Shingles of all nodes in one block of a mixed bucket: what a task holds at a time.
+BLOCK = 1 << 20
 NO_WORD = U(0x2545F4914F6CDD1D)
 
 
@@ -209,12 +209,12 @@ def near_duplicates(
         nodes.filter("copies > 1").select(same.alias("__t"), "node"), same_key("__s", "__t", "equal")
     ).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     heads = usable.join(nodes.select("node"), same_key("doc_id", "node", "heads"))
-    spread = heads.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket")).distinct()
+    spread = heads.select(F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("bucket")).distinct()
     # a bucket holds at most one row per node, a small part of all (node, band) rows
     bucket = Window.partitionBy("bucket")
     turn = F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("n"))
     members = spread.withColumns({"low": F.min("node").over(bucket), "turn": F.min(turn).over(bucket), "size": F.count(F.lit(1)).over(bucket)})
-    members = settled(members.filter("size > 1").select("bucket", "node", "low", F.col("turn.n").alias("turn")), "members")
+    members = settled(members.filter("size > 1").select("bucket", "node", "n_shingles", "low", F.col("turn.n").alias("turn")), "members")
     stars = members.select(F.col("node").alias("a"), F.explode(F.array("low", "turn")).alias("b")).filter("a <> b").distinct()
     sets = settled(sets_of(narrow, members.select("node").distinct(), words), "sets")
     links = settled(confirmed_pairs(stars, sets, percent), "confirmed")
@@ -222,11 +222,11 @@ def near_duplicates(
     # mixed buckets: several components are left in them
     known = first.withColumnRenamed("node", "known")
     labelled = settled(members.join(known, same_key("node", "known", "labels"), "left").select(
-        "bucket", "node", F.coalesce("root", "node").alias("component"),
+        "bucket", "node", "n_shingles", F.coalesce("root", "node").alias("component"),
     ), "labelled")
-    counts = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    counts = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"))
     per = Window.partitionBy("bucket")
-    counts = counts.withColumns({"kinds": F.count(F.lit(1)).over(per), "all": F.sum("n").over(per), "top": F.max(F.struct("n", "component")).over(per)})
+    counts = counts.withColumns({"kinds": F.count(F.lit(1)).over(per), "all": F.sum("weight").over(per), "top": F.max(F.struct("n", "component")).over(per)})
     mixed = counts.filter("kinds > 1").select("bucket", F.col("top.component").alias("main"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")).distinct()
     mixed = settled(mixed.select(F.col("bucket").alias("mixed"), "main", "blocks"), "mixed")
     inside = labelled.join(mixed, same_key("bucket", "mixed", "mixed")).select(
@@ -242,5 +242,6 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each near-duplicate group, with all columns (every row of the kept id)."""
-    kept = near_duplicates(docs, words, percent).filter("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
+    name = unused(docs, "keep_doc")
+    kept = near_duplicates(docs, words, percent).filter("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
