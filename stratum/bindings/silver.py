@@ -433,20 +433,50 @@ def _(spark, sf):
     return total.unionByName(audit)
 
 
+def in_two_runs(spark, rows, build, keys, group, cut):
+    """The table after two incremental runs, split by arrival."""
+    root, control_root = fresh_path(spark, "runs"), fresh_path(spark, "control")
+    for part, batch in ((rows.filter(F.col("_ingest_timestamp") < F.lit(cut).cast("timestamp")), "b1"), (rows, "b2")):
+        run_silver("p", part, build, root, keys, control_root, replace(CTX, batch_id=batch), group=group)
+    return tables.current_snapshot(spark, root)
+
+
+@query("incremental_accounts", """SELECT CAST(o_orderkey AS VARCHAR) AS account_id, o_orderstatus = 'F' AS is_active, coalesce(pr > 1, NULL) AS primary_account_violation, n > 1 AS multi_account_flag
+FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n, nullif(count(*) FILTER (WHERE o_orderpriority = '1-URGENT') OVER (PARTITION BY o_custkey), 0) AS pr FROM orders)""")
+def _(spark, sf):
+    """Counts per customer are right after the second run, also on rows of the first."""
+    got = in_two_runs(spark, account_bronze(spark, sf), entities.accounts, ["account_id"], ["customer_id"], "1998-06-01")
+    return got.select("account_id", "is_active", "primary_account_violation", "multi_account_flag")
+
+
+@query("incremental_complaints", """SELECT CAST(event_id AS VARCHAR) AS comm_id, CASE WHEN n >= 8 THEN 'HIGH' WHEN n >= 5 THEN 'MEDIUM' ELSE 'LOW' END AS customer_risk_band
+FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM events)""")
+def _(spark, sf):
+    rows, known = complaint_bronze(spark, sf)
+    got = in_two_runs(spark, rows, lambda new, ctx: entities.complaints(new, *known), ["comm_id"], ["customer_id"], "2024-01-16")
+    return got.select("comm_id", "customer_risk_band")
+
+
 # ---- engagement
 
 @query("silver_complaints", """SELECT CAST(event_id AS VARCHAR) AS comm_id, CASE WHEN event_type = 'error' THEN 'escalated' ELSE 'open' END AS resolution_status, CAST(ts AS DATE) AS comm_date, CAST(quarter(ts) AS INTEGER) AS comm_quarter, strftime(ts, '%A') AS day_of_week,
 CASE WHEN n >= 8 THEN 'HIGH' WHEN n >= 5 THEN 'MEDIUM' ELSE 'LOW' END AS customer_risk_band, user_id >= 100 AS is_orphan_customer FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM events)""")
 def _(spark, sf):
+    rows, known = complaint_bronze(spark, sf)
+    return entities.complaints(rows, *known).select(
+        "comm_id", "resolution_status", "comm_date", "comm_quarter", "day_of_week", "customer_risk_band", "is_orphan_customer"
+    )
+
+
+def complaint_bronze(spark, sf):
+    """Complaints, and the known customers and accounts."""
     rows = bronze(
         table(spark, sf, "events"), F.col("ts").cast("date"), comm_id=text("event_id"), customer_id=text("user_id"), account_id=text("user_id"),
         timestamp=F.date_format("ts", "dd/MM/yyyy HH:mm"), resolution_status=F.when(F.col("event_type") == "error", " Escalted").otherwise("Open"),
         subject=F.lit(" s "), body=F.col("props"),
     )
     people = table(spark, sf, "customer").filter("c_custkey < 100")
-    return entities.complaints(
-        rows, people.select(text("c_custkey").alias("customer_id")), people.select(text("c_custkey").alias("account_id"))
-    ).select("comm_id", "resolution_status", "comm_date", "comm_quarter", "day_of_week", "customer_risk_band", "is_orphan_customer")
+    return rows, (people.select(text("c_custkey").alias("customer_id")), people.select(text("c_custkey").alias("account_id")))
 
 
 @query("silver_campaigns", """SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS campaign_id, CASE WHEN l_returnflag = 'A' THEN 'sms,email' ELSE 'sms' END AS channel, CASE WHEN l_linestatus = 'F' THEN 'Gauteng' ELSE 'Limpopo' END AS region,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import RunContext
 from ..operators import control
+from ..session import durable
 from ..sources import tables
 
 WATERMARK, AUDIT = "batch_watermark", "silver_audit_log"
@@ -19,6 +20,21 @@ def _log(spark, path: str, schema: str) -> DataFrame:
     return tables.read_table(spark, path) if tables.exists(spark, path) else control.empty_control(spark, schema)
 
 
+def affected(history: DataFrame, increment: DataFrame, keys: Sequence[str], group: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(bronze rows to build from, groups to publish) when built columns depend on a whole group.
+
+    Groups are those that a touched key is in or was in before; all members of these groups are built from all their
+    rows, so counts, sequences and deltas come out as in a full load. Members that have moved elsewhere since are built
+    too, but their new groups are not published.
+    """
+    arrived = increment.select(*[F.col(k).alias(f"__i_{k}") for k in keys]).distinct()
+    same = lambda names, mark: [F.col(n).eqNullSafe(F.col(f"{mark}{n}")) for n in names]
+    touched = history.join(arrived, same(keys, "__i_"), "left_semi").select(*[F.col(g).alias(f"__t_{g}") for g in group]).distinct()
+    touched = durable(touched, "groups")
+    members = history.join(touched, same(group, "__t_"), "left_semi").select(*[F.col(k).alias(f"__m_{k}") for k in keys]).distinct()
+    return history.join(members, same(keys, "__m_"), "left_semi"), touched
+
+
 def run_silver(
     pipeline: str,
     bronze: DataFrame,
@@ -30,9 +46,14 @@ def run_silver(
     preserve: Sequence[str] = ("created_timestamp",),
     watermark: str = "_ingest_timestamp",
     rule: str = "success",
+    group: Sequence[str] = (),
 ) -> Mapping[str, int]:
     """Process what arrived after the last mark and publish the merged table at ``root``.
 
+    ``build`` gets the new rows; other inputs it needs are bound by the caller. Where built columns depend on more than
+    the row (counts per customer, positions and deltas per account), ``group`` names the columns, and ``build`` gets all
+    rows of the groups that the new ones touch; rows already stored are corrected by the merge.
+
     An empty increment ends the run without a trace. The mark and the audit row are written after the table is
     published: a run that dies in between is repeated, with a new batch id or the same one, and gives the same table.
     """
@@ -50,7 +71,15 @@ def run_silver(
     if tables.is_published(spark, root, ctx.batch_id):  # the run died between publication and mark
         counts = {"inserted": None, "updated": None}
     else:
-        counts = tables.merge_table(build(increment, ctx), root, keys, ctx.batch_id, preserve, touch)
+        if group:
+            upto = bronze.filter(F.col(watermark) <= F.lit(found["mark"]))
+            source, touched = affected(upto, increment, keys, group)
+            built = build(source, ctx)
+            built = built.join(touched, [F.col(g).eqNullSafe(F.col(f"__t_{g}")) for g in group], "left_semi")
+        else:
+            built = build(increment, ctx)
+        kept = [c for c in preserve if c in built.columns]
+        counts = tables.merge_table(built, root, keys, ctx.batch_id, kept, {c: v for c, v in touch.items() if c in built.columns})
     facts = {
         "pipeline_name": pipeline, "source_table": pipeline, "watermark_column": watermark, "watermark_value": found["mark"],
         "batch_id": ctx.batch_id, "rows_processed": found["n"], "rows_inserted": counts["inserted"],

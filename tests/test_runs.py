@@ -6,6 +6,8 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from stratum.operators.dedup import latest_by
+from stratum.operators.groups import with_group_count
 from stratum.plans import entities
 from stratum.plans.gold import GoldTable, run_gold
 from stratum.plans.runs import run_silver
@@ -85,3 +87,21 @@ def test_gold_history_and_hard_uniqueness(spark, tmp_path, ctx):
         run_gold(spark, [(table, lambda _: frame([("a", 3, day), ("a", 4, day)]))], root, log, replace(ctx, batch_id="b3"))
     assert tables.current_path(spark, f"{root}/dim").endswith("b2"), "nothing was published"
     assert tables.read_table(spark, f"{log}/gold_audit_log").count() == 2
+
+
+def test_group_facts_follow_moves_between_groups(spark, tmp_path, ctx, rows):
+    """An account that changes its customer corrects the stored rows of both customers."""
+    schema = f"account_id string, customer_id string, {META}"
+    row = lambda a, c, day: (a, c, "f", dt.datetime(2024, 1, day), "b", "c", "2024", "01")
+    data = [row("a", "x", 1), row("b", "x", 1), row("c", "y", 1), row("d", None, 1), row("b", "y", 2), row("e", "x", 3), row("f", None, 3)]
+
+    def build(bronze, ctx):
+        newest = latest_by(bronze, ["account_id"], ["_ingest_timestamp"]).select("account_id", "customer_id")
+        return with_group_count(newest, ["customer_id"], "owned")
+
+    bronze = spark.createDataFrame(data, schema)
+    root, log = str(tmp_path / "t"), str(tmp_path / "log")
+    for day in (1, 2, 3):
+        part = bronze.filter(F.dayofmonth("_ingest_timestamp") <= day)
+        run_silver("p", part, build, root, ["account_id"], log, replace(ctx, batch_id=f"b{day}"), group=["customer_id"])
+        assert rows(tables.current_snapshot(spark, root)) == rows(build(part, ctx))
