@@ -112,18 +112,39 @@ def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(doc.alias("doc"), F.pmod(F.xxhash64(text), F.lit(65536)).cast("long").alias("tag"), text.alias("text"), F.col(id_col).cast("long").alias("doc_id"))
 
 
+def later_copies(anchor: np.ndarray, unit: np.ndarray, doc: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """Whether a row's unit comes earlier among these rows (other than the same row again)."""
+    order = np.lexsort((slot, doc, unit, anchor))
+    anchor, unit, doc, slot = anchor[order], unit[order], doc[order], slot[order]
+    new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (unit[1:] != unit[:-1])])
+    head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    out = np.zeros(len(order), bool)
+    out[order] = (doc != doc[head]) | (slot != slot[head])
+    return out
+
+
 def anchor_rows(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """``deal, sure, anchor, unit, doc, slot`` of all anchors.
+
+    A unit that comes earlier in the same batch of documents is repeated for sure, whatever the rest of the table holds.
+    Such rows are dealt out by their own place instead of their anchor, so of a very common passage only one row per
+    batch and content meets in one task.
+    """
     def step(batch: pa.RecordBatch):
         ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        parts = []
         for a, _, data, offsets in text_steps(batch.column(2)):
             for part, bounds, shift in pieces_of(data, offsets, length):
                 doc, at, before, after, anchor, unit = anchors(part, bounds, length, gram)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(anchor.view(np.int64)), pa.array(unit.view(np.int64)), pa.array(ids[a + doc]),
-                    pa.array(slots(tags[a + doc], at + shift, before, after)),
-                ], ["anchor", "unit", "doc", "slot"])
+                parts.append((anchor.view(np.int64), unit.view(np.int64), ids[a + doc], slots(tags[a + doc], at + shift, before, after)))
+        if not parts:
+            return
+        anchor, unit, doc, slot = (np.concatenate(c) for c in zip(*parts))
+        sure = later_copies(anchor, unit, doc, slot) if len(anchor) else np.zeros(0, bool)
+        deal = np.where(sure, mix((doc ^ slot).astype(np.uint64)).view(np.int64), anchor)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (deal, sure, anchor, unit, doc, slot)], ["deal", "sure", "anchor", "unit", "doc", "slot"])
 
-    return map_batches(rows.select("doc", "tag", "text"), step, "anchor long, unit long, doc long, slot long")
+    return map_batches(rows.select("doc", "tag", "text"), step, "deal long, sure boolean, anchor long, unit long, doc long, slot long")
 
 
 def settle_equal_units(found: DataFrame) -> DataFrame:
@@ -133,7 +154,12 @@ def settle_equal_units(found: DataFrame) -> DataFrame:
     def run(batches):
         last, pending, start = None, None, (0, 0)  # last row, first row of an anchor with one content so far, unit's first
         for batch in batches:
-            anchor, unit, doc, slot = (c.to_numpy() for c in batch.columns)
+            sure = batch.column(0).to_numpy(zero_copy_only=False)
+            anchor, unit, doc, slot = (c.to_numpy() for c in batch.columns[1:])
+            if sure.any():  # these come after all others
+                done = [x[sure] for x in (doc, slot, anchor)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(done[0]), bool)), *map(pa.array, done)], names)
+                anchor, unit, doc, slot = (x[~sure] for x in (anchor, unit, doc, slot))
             if not len(anchor):
                 continue
             new_anchor = np.concatenate([[last is None or anchor[0] != last[0]], anchor[1:] != anchor[:-1]])
@@ -157,9 +183,10 @@ def settle_equal_units(found: DataFrame) -> DataFrame:
                 k = int(np.flatnonzero(new_anchor)[-1])
                 pending = (doc[k], slot[k], anchor[k]) if not several[run_of[k]] else None
             last = (anchor[-1], unit[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(out[0].astype(bool)), *(pa.array(x.astype(np.int64)) for x in out[1:])], ["open", "doc", "slot", "anchor"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0].astype(bool)), *(pa.array(x.astype(np.int64)) for x in out[1:])], names)
 
-    ordered = found.repartition("anchor").sortWithinPartitions("anchor", "unit", "doc", "slot")
+    names = ["open", "doc", "slot", "anchor"]
+    ordered = found.repartition("deal").drop("deal").sortWithinPartitions("sure", "anchor", "unit", "doc", "slot")
     return ordered.mapInArrow(run, "open boolean, doc long, slot long, anchor long")
 
 

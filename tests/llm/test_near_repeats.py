@@ -11,7 +11,7 @@ from stratum.llm import minmax
 from stratum.llm.compact_windows import cartesian_spans, compact_windows, similar_passages, window_minima
 from stratum.llm.components import components
 from stratum.llm.minmax import MinMax, keep_one, near_duplicates, shingle_sets
-from stratum.llm.previous_factor import anchors, joined_runs, remove_repeats, repeated_starts, sliding_min
+from stratum.llm.previous_factor import anchors, joined_runs, later_copies, remove_repeats, repeated_starts, sliding_min
 
 
 def words_of(text):
@@ -233,3 +233,11 @@ def test_passages_of_awkward_rows(awkward, nothing):
     got = {(r.doc_id, r.other_id) for r in similar_passages(awkward).collect()}
     assert (2, 1) in got and (11, 10) in got and not any(None in p for p in got)
     assert similar_passages(nothing).count() == 0
+
+
+def test_sure_repeats_leave_the_hot_anchor():
+    anchor, unit = np.array([7, 7, 7, 7, 8]), np.array([1, 1, 1, 2, 1])
+    doc, slot = np.array([5, 3, 5, 9, 3]), np.array([0, 4, 0, 1, 4])
+    assert later_copies(anchor, unit, doc, slot).tolist() == [True, False, True, False, False]
+    # the same row twice is one document
+    assert later_copies(anchor[:1].repeat(2), unit[:1].repeat(2), doc[:1].repeat(2), slot[:1].repeat(2)).tolist() == [False, False]
