@@ -51,8 +51,7 @@ def _(spark, sf):
 @query("median", """SELECT l_returnflag, 0.5::DOUBLE AS probability, quantile_cont(l_extendedprice, 0.5) AS quantile FROM lineitem GROUP BY 1
 UNION ALL SELECT l_returnflag, 0.9::DOUBLE, quantile_cont(l_extendedprice, 0.9) FROM lineitem GROUP BY 1""")
 def _(spark, sf):
-    out = ranking.exact_quantiles(table(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice", [0.5, 0.9])
-    return out.withColumn("quantile", F.col("quantile"))
+    return ranking.exact_quantiles(table(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice", [0.5, 0.9])
 
 
 @query("approx_median", """SELECT o_orderpriority, quantile_disc(o_totalprice, 0.5) AS median_price FROM orders GROUP BY 1""")

@@ -55,7 +55,7 @@ def _(spark, sf):
         "requested_amount": F.col("o_totalprice"), "amount_granted": F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")),
         "ifrs9_ecl_12m": F.round("o_totalprice", 2),
     })
-    return summaries.loan_portfolio(loans, ["o_orderpriority"]).withColumn("avg_expected_loss", F.col("avg_expected_loss"))
+    return summaries.loan_portfolio(loans, ["o_orderpriority"])
 
 
 @query("anomaly_flags", """SELECT event_id, event_type, coalesce(abs((value - m) / nullif(s, 0)) > 3, FALSE) AS is_anomaly FROM (
@@ -77,3 +77,18 @@ def _(spark, sf):
 
     placed = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return frequency(placed, ["c_mktsegment", "n_name"])
+
+
+@query("card_usage", """SELECT o_orderpriority, count(*) AS transactions, count(*) FILTER (WHERE l_quantity >= 45) AS failed, count(*) FILTER (WHERE l_quantity >= 45) / count(*) AS failed_share,
+CAST(sum(CASE WHEN l_quantity < 45 THEN CAST(l_extendedprice AS DECIMAL(18, 2)) END) AS DOUBLE) AS settled_amount, count(DISTINCT o_custkey) AS users FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
+def _(spark, sf):
+    """The order priority plays the kind of card."""
+    rows = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return summaries.card_usage(rows, "o_orderpriority", "l_extendedprice", "o_custkey", F.col("l_quantity") >= 45)
+
+
+@query("compliance", """SELECT c_mktsegment, count(*) AS checked, count(*) FILTER (WHERE c_acctbal > 0) / count(*) AS kyc_share, count(*) FILTER (WHERE c_nationkey < 20) / count(*) AS fica_share,
+count(*) FILTER (WHERE NOT (c_acctbal > 0 AND c_nationkey < 20)) AS non_compliant FROM customer GROUP BY 1""")
+def _(spark, sf):
+    checks = {"kyc": F.col("c_acctbal") > 0, "fica": F.col("c_nationkey") < 20}
+    return summaries.compliance(table(spark, sf, "customer"), ["c_mktsegment"], checks)

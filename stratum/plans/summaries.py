@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,3 +72,20 @@ def collector_load(cases: DataFrame, collector: str, days: str, written_off: Col
     return cases.groupBy(collector).agg(
         F.count(F.lit(1)).alias("cases"), F.avg(days).alias("avg_days"), F.count_if(written_off).alias("write_offs")
     )
+
+
+def card_usage(df: DataFrame, card: str, amount: str, actor: str, failed: Column) -> DataFrame:
+    """Transactions per kind of card: number, failures and their share, value, distinct users."""
+    rows = F.count(F.lit(1))
+    return df.groupBy(card).agg(
+        rows.alias("transactions"), F.count_if(failed).alias("failed"), (F.count_if(failed) / rows).alias("failed_share"),
+        steady_sum(F.when(~failed, F.col(amount))).alias("settled_amount"), F.count_distinct(actor).alias("users"),
+    )
+
+
+def compliance(df: DataFrame, keys: Sequence[str], checks: Mapping[str, Column]) -> DataFrame:
+    """Share of rows that pass each check (an unknown outcome does not pass), and rows that fail any."""
+    passed = {n: F.coalesce(c, F.lit(False)) for n, c in checks.items()}
+    shares = [(F.count_if(c) / F.count(F.lit(1))).alias(f"{n}_share") for n, c in passed.items()]
+    everything = reduce(lambda a, b: a & b, passed.values())
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("checked"), *shares, F.count_if(~everything).alias("non_compliant"))
