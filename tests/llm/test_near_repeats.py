@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from stratum.llm import minmax
-from stratum.llm.compact_windows import cartesian_spans, compact_windows, similar_passages, window_minima
+from stratum.llm.compact_windows import cartesian_spans, compact_windows, shared_passages, similar_passages, window_minima
 from stratum.llm.components import components
 from stratum.llm.minmax import MinMax, keep_one, near_duplicates, shingle_sets
 from stratum.llm.previous_factor import anchors, joined_runs, later_copies, remove_repeats, repeated_starts, sliding_min
@@ -229,6 +229,28 @@ def test_every_shared_run_of_fifty_words_is_found(make_docs, quoting):
     assert not {r.doc_id for r in got} & set(range(100, 110)), "texts that share less stay alone"
 
 
+@pytest.mark.parametrize("words", range(50, 55))
+def test_short_passages_with_one_changed_word(words):
+    """Brute force over all aligned passages of that many words: every place of the changed word."""
+    rng = np.random.default_rng(words)
+    base, sides = rng.integers(0, 1 << 60, words), rng.integers(0, 1 << 60, (4, 60))
+
+    def tokens(w):
+        return np.array([hash(tuple(w[i:i + 5].tolist())) for i in range(len(w) - 4)]).view(np.uint64)
+
+    for at in range(words):
+        changed = base.copy()
+        changed[at] += 1
+        a, b = (tokens(np.concatenate([sides[2 * k], w, sides[2 * k + 1]])) for k, w in enumerate((base, changed)))
+        one, two = (set(x[60:60 + words - 4].tolist()) for x in (a, b))
+        got = shared_passages(a, b, 80, 46)
+        # a change so near the border that the rest has 50 words is found as that rest
+        assert bool(got) == (100 * len(one & two) >= 80 * len(one | two)), at
+        for fa, la, fb, lb, s in got:
+            x, y = set(a[fa:la + 1].tolist()), set(b[fb:lb + 1].tolist())
+            assert min(la - fa, lb - fb) + 1 >= 46 and s == 100 * len(x & y) // len(x | y) >= 80
+
+
 def test_passages_of_awkward_rows(awkward, nothing):
     got = {(r.doc_id, r.other_id) for r in similar_passages(awkward).collect()}
     assert (2, 1) in got and (11, 10) in got and not any(None in p for p in got)
