@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from stratum.llm import minmax
-from stratum.llm.compact_windows import cartesian_spans, compact_windows, shared_passages, similar_passages, window_minima
+from stratum.llm.compact_windows import cartesian_spans, chains, compact_windows, shared_passages, similar_passages, window_minima
 from stratum.llm.components import components
 from stratum.llm.minmax import MinMax, keep_one, near_duplicates, shingle_sets
 from stratum.llm.previous_factor import anchors, joined_runs, later_copies, remove_repeats, repeated_starts, sliding_min
@@ -251,6 +251,21 @@ def test_short_passages_with_one_changed_word(words):
             assert min(la - fa, lb - fb) + 1 >= 46 and s == 100 * len(x & y) // len(x | y) >= 80
 
 
+def test_links_of_other_diagonals_close_no_chain():
+    links = [(f, 100 + 5 * f, 100 + 5 * f + far, 40, 40) for f in range(4) for far in (50, 600)]
+    assert chains(links, 2) == [(60, 155, 110, 205, 4), (60, 155, 660, 755, 4)]
+    assert chains(links[:1] + [(1, 105, 400, 9, 9)] + links[2:3], 2) == [(60, 145, 110, 195, 2)]
+
+
+def test_passage_repeated_in_the_later_document(make_docs, prose):
+    passage = prose(7100, 60)
+    second = [passage, prose(7101, 500), passage, prose(7102, 500), edited(passage, 3, 0.02)]
+    got = similar_passages(make_docs([(1, " ".join([prose(7103, 40), passage, prose(7104, 40)])), (2, " ".join(second))])).collect()
+    assert all((r.doc_id, r.other_id) == (2, 1) for r in got)
+    covered = {w for r in got for w in range(r.first_word, r.last_word + 1)}
+    assert set(range(60)) | set(range(560, 620)) <= covered
+
+
 def test_passages_of_awkward_rows(awkward, nothing):
     got = {(r.doc_id, r.other_id) for r in similar_passages(awkward).collect()}
     assert (2, 1) in got and (11, 10) in got and not any(None in p for p in got)
