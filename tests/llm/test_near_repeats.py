@@ -266,6 +266,30 @@ def test_passage_repeated_in_the_later_document(make_docs, prose):
     assert set(range(60)) | set(range(560, 620)) <= covered
 
 
+def near_pairs(prose, count):
+    """Pairs of texts ``2 i, 2 i + 1`` whose only common passage has 50 to 70 words and similarity 0.8 to 0.9 by brute force."""
+    rows, seed = [], 0
+    while len(rows) < 2 * count:
+        seed += 1
+        rng = random.Random(seed)
+        words = prose(20_000 + seed, rng.randrange(50, 71)).split()
+        changed = list(words)
+        for at in rng.sample(range(len(words)), rng.randrange(1, 3)):
+            changed[at] += "q"
+        x, y = shingles(" ".join(words), 5), shingles(" ".join(changed), 5)
+        if 80 * len(x | y) <= 100 * len(x & y) < 90 * len(x | y):
+            for one in (words, changed):
+                rows.append((len(rows), " ".join([prose(50_000 + len(rows), 60), *one, prose(90_000 + len(rows), 60)])))
+    return rows
+
+
+def test_recall_of_near_passages(make_docs, prose):
+    rows = near_pairs(prose, 500)
+    got = {(r.other_id, r.doc_id) for r in similar_passages(make_docs(rows)).collect()}
+    want = {(i, i + 1) for i in range(0, len(rows), 2)}
+    assert got == want, f"recall {len(got & want) / len(want):.4f}"
+
+
 def test_passages_of_awkward_rows(awkward, nothing):
     got = {(r.doc_id, r.other_id) for r in similar_passages(awkward).collect()}
     assert (2, 1) in got and (11, 10) in got and not any(None in p for p in got)
