@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from stratum.llm import compact_windows as compact
 from stratum.llm import minmax
 from stratum.llm.compact_windows import cartesian_spans, chains, compact_windows, shared_passages, similar_passages, window_minima
 from stratum.llm.components import components
@@ -290,6 +291,24 @@ def test_recall_of_near_passages(make_docs, prose):
     assert got == want, f"recall {len(got & want) / len(want):.4f}"
 
 
+@pytest.mark.parametrize("block", [4096, 3])
+def test_partial_quotes_before_and_between_full_ones(make_docs, prose, monkeypatch, block):
+    """Quotes of 30 and 44 words, with ids before and between those of the full ones, hide no full one."""
+    monkeypatch.setattr(compact, "BLOCK", block)
+    rows, full, n = [], defaultdict(list), 0
+    for k in range(6):
+        words = prose(7200 + k, 50).split()
+        for part in (words[:30], words[20:], words[:44], words, words[3:47], words[:30], words[20:], words, words[6:]):
+            rows.append((n, " ".join([prose(7300 + n, 60), *part, prose(7400 + n, 60)])))
+            if len(part) == 50:
+                full[k].append(n)
+            n += 1
+    got = {(r.other_id, r.doc_id) for r in similar_passages(make_docs(rows)).collect()}
+    find = roots(got)
+    assert all(find(a) == find(b) for a, b in full.values())
+    assert all({a % 9, b % 9} <= {3, 7, 2, 4, 8} for a, b in got)
+
+
 def test_passages_of_awkward_rows(awkward, nothing):
     got = {(r.doc_id, r.other_id) for r in similar_passages(awkward).collect()}
     assert (2, 1) in got and (11, 10) in got and not any(None in p for p in got)
