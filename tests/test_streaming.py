@@ -1,6 +1,6 @@
 import pytest
 
-from stratum.streaming.ingest import ingest_stream, open_stream
+from stratum.streaming.ingest import RESCUED, ingest_rescued, ingest_stream, open_stream
 
 
 def run(spark, fmt, src, dst, marks, schema=None, **kw):
@@ -40,3 +40,28 @@ def test_csv_and_manifest_streams(spark, tmp_path):
 def test_unknown_format(spark, tmp_path):
     with pytest.raises(ValueError):
         open_stream(spark, "orcish", str(tmp_path))
+
+
+def test_drifting_columns_are_rescued(spark, tmp_path):
+    src, dst, marks = (str(tmp_path / n) for n in ("src", "dst", "marks"))
+    spark.sql("SELECT 1L AS id, '7' AS v, 'x' AS only").write.parquet(f"{src}/2023/01/a.parquet")
+    spark.sql("SELECT 2L AS id, 8L AS v UNION ALL SELECT 3L, NULL").write.parquet(f"{src}/2023/02/a.parquet")
+    spark.sql("SELECT 4L AS id, 8.5D AS v UNION ALL SELECT 5L, 9D").write.parquet(f"{src}/2023/03/a.parquet")
+    spark.sql("SELECT 6L AS id, named_struct('k', 1) AS v").write.parquet(f"{src}/2023/04/a.parquet")
+    spark.sql("SELECT 'seven' AS id").write.parquet(f"{src}/2023/05/a.parquet")
+    for _ in range(2):
+        ingest_rescued(spark, src, dst, marks, "b1", "id bigint, v bigint", {"maxFilesPerTrigger": 1}).awaitTermination()
+    got = {(r.id, r.v, r[RESCUED]) for r in spark.read.parquet(dst).collect()}
+    assert got == {
+        (1, 7, '{"only":"x"}'), (2, 8, None), (3, None, None), (4, None, '{"v":8.5}'), (5, 9, None), (6, None, '{"v":{"k":1}}'), (None, None, '{"id":"seven"}'),
+    }
+    assert spark.read.parquet(dst).count() == 7
+
+
+def test_unreadable_file_fails_the_batch(spark, tmp_path):
+    folder = tmp_path / "src" / "2023" / "01"
+    folder.mkdir(parents=True)
+    (folder / "a.parquet").write_bytes(b"PAR1 cut off")
+    spark.range(3).write.parquet(str(folder / "b.parquet"))
+    with pytest.raises(Exception, match="not readable"):
+        ingest_rescued(spark, str(tmp_path / "src"), str(tmp_path / "dst"), str(tmp_path / "m"), "b1", "id bigint").awaitTermination()
