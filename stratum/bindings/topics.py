@@ -103,7 +103,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Iterative and seeded: no SQL equivalent."""
     data = topics.unit_vectors(table(spark, sf, "embeddings"), "embedding")
-    model, scores = topics.choose_k(data, starts=2)
+    model, scores = topics.choose_k(data)
     clustered = topics.score_centroids(table(spark, sf, "embeddings"), "embedding", topics.model_centroids(model))
     per_topic = clustered.groupBy("topic").agg(F.count(F.lit(1)).alias("members"), F.round(F.avg("confidence"), 4).alias("avg_confidence"))
     return per_topic.withColumns({"k": F.lit(len(model.clusterCenters())), "silhouette": F.lit(round(max(scores.values()), 6))})

@@ -59,3 +59,19 @@ def test_lines_are_limited_before_the_shuffle_and_read_few_columns(spark):
 @pytest.mark.parametrize("name", ["medoid", "cluster_summary"])
 def test_typical_rows_need_no_sort_aggregate(spark, name):
     assert "SortAggregate" not in contract.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_kmeans_query_searches_with_the_default_starts(spark, monkeypatch):
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def choose_k(vectors, *args, **kw):
+        seen.append((args, kw))
+        raise Stop
+
+    monkeypatch.setattr("stratum.plans.topics.choose_k", choose_k)
+    with pytest.raises(Stop):
+        contract.queries()["kmeans_silhouette"](spark, contract.SMOKE_DIR)
+    assert seen == [((), {})]
