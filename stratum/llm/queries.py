@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
+from . import oracles
+from .clusters import cluster_vectors
 from .compact_windows import similar_passages
 from .exact_dedup import exact_dedup
+from .merkle import dataset_manifest
 from .minmax import near_duplicates
+from .mixing import mixed_documents
 from .multiset import compare_with_edits
 from .packing import pack, token_pieces
 from .pieces import encode_decode_digests
@@ -22,7 +26,6 @@ from .sharding import lpt_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def query(name: str, sql: str | None = None):
@@ -65,11 +68,7 @@ def op4(spark, sf):
     return pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-@query("op5_exact_dedup", f"""
-    WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS h FROM documents),
-    g AS (SELECT h, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY h)
-    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM d JOIN g USING (h)
-""")
+@query("op5_exact_dedup", oracles.EXACT_DEDUP)
 def op5(spark, sf):
     return exact_dedup(documents(spark, sf))
 
@@ -99,6 +98,21 @@ def op10(spark, sf):
     return encode_decode_digests(documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op11_merkle_manifest", oracles.merkle())
+def op11(spark, sf):
+    return dataset_manifest(documents(spark, sf))
+
+
+@query("op12_threshold_clusters", oracles.clusters())
+def op12(spark, sf):
+    return cluster_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query("op13_low_discrepancy_mix", oracles.MIXING)
+def op13(spark, sf):
+    return mixed_documents(documents(spark, sf))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
