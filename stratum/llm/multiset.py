@@ -4,9 +4,9 @@ Every paragraph is hashed to a wide vector and a document's fingerprint is the s
 powers of two. So the order of paragraphs does not matter, equal texts have equal fingerprints, and a paragraph is
 inserted or removed by adding or subtracting its vector. The vector has two parts:
 
-* 8 lanes modulo 2**64 drawn from the hash of the paragraph's bytes: equality of multisets;
-* ``LANES`` lanes modulo 2**16: each run of three words of the paragraph adds or subtracts 1 in one lane. Sums
-  stay linear, and the cosine of two such parts estimates how much of the words two documents share.
+* 8 lanes modulo 2**64, the 512 bits of the paragraph's BLAKE2b digest: equality of multisets;
+* ``LANES`` lanes modulo 2**32: each run of three words of the paragraph adds or subtracts 1 in one lane, which no text
+  can wrap around. Sums stay linear, and the cosine of two such parts estimates how much of the words two documents share.
 
 Defined results: a null text counts as empty; the empty document has the zero vector; likeness of two empty ones is 1,
 of an empty and another one 0. "Next" is the next row by falling id (nulls last, ties by a hash of the text), after the
@@ -19,24 +19,24 @@ import base64
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import settled
-from .words import FOLDED, TABLE, U, cut_words, hash_stretches, mix, text_steps
+from .words import U, cut_words, mix, text_steps
 
 EXACT, LANES = 8, 256
-SALTS = mix(np.arange(1, EXACT + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
-BYTES = EXACT * 8 + LANES * 2
+BYTES = EXACT * 8 + LANES * 4
 #: Buckets of consecutive ids per shuffle partition.
 BUCKETS = 3
 
 
 def step_vectors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(documents x 8 of uint64, documents x LANES of uint16)``."""
+    """``(documents x 8 of uint64, documents x LANES of uint32)``."""
     docs = len(offsets) - 1
-    exact, loose = np.zeros((docs, EXACT), np.uint64), np.zeros((docs, LANES), np.uint16)
+    exact, loose = np.zeros((docs, EXACT), np.uint64), np.zeros((docs, LANES), np.uint32)
     if not len(data):
         return exact, loose
     # paragraphs: runs between line feeds
@@ -47,14 +47,15 @@ def step_vectors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     start |= line
     start[1:] |= line[:-1]
     starts = np.flatnonzero(start)
-    hashes = hash_stretches(data, starts, TABLE)
+    ends = np.append(starts[1:], len(data))
     real = ~line[starts]
-    hashes, starts = hashes[real], starts[real]
+    starts, ends = starts[real], ends[real]
     doc = np.searchsorted(offsets, starts, side="right") - 1
-    if len(hashes):
+    if len(starts):
+        raw = data.tobytes()
+        digests = b"".join([hashlib.blake2b(raw[a:b]).digest() for a, b in zip(starts.tolist(), ends.tolist())])
         begins = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-        for k in range(EXACT):
-            exact[doc[begins], k] = np.add.reduceat(mix(hashes ^ SALTS[k]), begins)
+        exact[doc[begins]] = np.add.reduceat(np.frombuffer(digests, "<u8").reshape(-1, EXACT), begins, axis=0)
     # runs of three words inside a paragraph (all words, when it has fewer)
     words, _, first, _ = cut_words(data, offsets)
     if len(words):
@@ -70,25 +71,25 @@ def step_vectors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         lane = (runs >> U(40)).astype(np.int64) % LANES
         sign = np.where(runs & U(1), 1.0, -1.0)
         at = doc[own[use]] * LANES + lane
-        loose += np.bincount(at, sign, docs * LANES).astype(np.int64).reshape(docs, LANES).astype(np.uint16)
+        loose += np.bincount(at, sign, docs * LANES).astype(np.int64).reshape(docs, LANES).astype(np.uint32)
     return exact, loose
 
 
 def vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     parts = [step_vectors(data, offsets) for _, _, data, offsets in text_steps(texts)]
     if not parts:
-        return np.zeros((0, EXACT), np.uint64), np.zeros((0, LANES), np.uint16)
+        return np.zeros((0, EXACT), np.uint64), np.zeros((0, LANES), np.uint32)
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
 def packed(exact: np.ndarray, loose: np.ndarray) -> list[str]:
-    raw = np.concatenate([exact.astype("<u8").view(np.uint8).reshape(len(exact), -1), loose.astype("<u2").view(np.uint8).reshape(len(loose), -1)], axis=1)
+    raw = np.concatenate([exact.astype("<u8").view(np.uint8).reshape(len(exact), -1), loose.astype("<u4").view(np.uint8).reshape(len(loose), -1)], axis=1)
     return [base64.b64encode(row.tobytes()).decode() for row in raw]
 
 
 def unpacked(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = base64.b64decode(fingerprint)
-    return np.frombuffer(raw[:EXACT * 8], "<u8"), np.frombuffer(raw[EXACT * 8:], "<u2")
+    return np.frombuffer(raw[:EXACT * 8], "<u8"), np.frombuffer(raw[EXACT * 8:], "<u4")
 
 
 def fingerprint(text: str | None) -> str:
@@ -103,7 +104,7 @@ def changed(before: str, inserted: str = "", removed: str = "") -> str:
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of the signed lanes, row by row, from 0 to 1."""
-    a, b = a.astype(np.int16).astype(float), b.astype(np.int16).astype(float)
+    a, b = a.astype(np.int32).astype(float), b.astype(np.int32).astype(float)
     na, nb = np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1))
     cosine = (a * b).sum(1) / np.maximum(na * nb, 1e-9)
     return np.where((na == 0) & (nb == 0), 1.0, np.clip(cosine, 0.0, 1.0))
@@ -119,33 +120,49 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, fingerprint string")
 
 
+def bucket_of(ids: np.ndarray, missing: np.ndarray, hashes: np.ndarray, cuts: np.ndarray, null_parts: int) -> np.ndarray:
+    """Bucket 0 holds the largest ids; null ids follow, cut by text hash."""
+    known = len(cuts) - np.searchsorted(cuts, ids, side="right")
+    part = ((hashes.astype(float) + 2.0 ** 63) * (null_parts / 2.0 ** 64)).astype(np.int64)
+    return np.where(missing, len(cuts) + 1 + np.clip(part, 0, max(null_parts - 1, 0)), known)
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents in buckets of consecutive ids, sorted by falling id, each bucket followed by the row after it.
 
-    Columns ``bucket, extra, doc_id, text``; a bucket lies whole and in order in one partition. The bucket borders
-    (a few per shuffle partition) are the only thing the driver sees; each text is shuffled once.
+    Columns ``bucket, extra, doc_id, text``; a bucket lies whole and in order in one partition, and each text is shuffled
+    once. The driver sees the bucket borders only: a few numbers per shuffle partition, which tasks search in a sorted
+    array. Null ids come last and are spread over buckets by the hash of their text.
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     count = partitions * BUCKETS
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / count for i in range(1, count)], 100 * count)).first()[0] if count > 1 else []
-    cuts = sorted(set(cuts or []))
-    cut_list = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    # bucket = number of borders above the id: 0 holds the largest ids, null ids come last
-    bucket = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(F.size(F.filter(cut_list, lambda c: c > F.col("doc_id"))))
-    rows = rows.withColumn("bucket", bucket.cast("int"))
-    # null ids are the last bucket; they are cut by text hash if there are many
-    heads = rows.groupBy("bucket").agg(F.max("doc_id").alias("head")).orderBy("bucket").collect()
-    if not heads:
-        return rows.withColumn("extra", F.lit(0)).select("bucket", "extra", "doc_id", "text")
-    previous = {b["bucket"]: heads[i - 1]["bucket"] for i, b in enumerate(heads)}
-    ids = [h["head"] for h in heads if h["head"] is not None]
-    first = rows.filter(F.col("doc_id").isin(ids) | (F.col("doc_id").isNull() if any(h["head"] is None for h in heads) else F.lit(False)))
-    moved = F.element_at(F.create_map(*[F.lit(x) for pair in previous.items() for x in pair]), F.col("bucket"))
-    extra = first.select(moved.alias("bucket"), F.lit(1).alias("extra"), "doc_id", "text")
-    both = rows.select("bucket", F.lit(0).alias("extra"), "doc_id", "text").unionByName(extra)
-    return both.repartition(partitions, "bucket").sortWithinPartitions(
+    asked = F.percentile_approx("doc_id", [i / count for i in range(1, count)], 100 * count) if count > 1 else F.lit(None)
+    known, everything, found = rows.agg(F.count("doc_id"), F.count(F.lit(1)), asked).first()
+    cuts = np.array(sorted(set(found or [])), np.int64)
+    null_parts = -(-(everything - known) * count // max(everything, 1))
+    nothing = F.lit(0).cast("long")
+    rows = rows.withColumn("tie", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(nothing) if null_parts else nothing)
+
+    def place(ids: pd.Series, ties: pd.Series) -> pd.Series:
+        missing = ids.isna().to_numpy()
+        return pd.Series(bucket_of(ids.fillna(0).to_numpy().astype(np.int64), missing, ties.to_numpy(), cuts, null_parts))
+
+    # the first row of each bucket, one (id, tie) per bucket, is what the bucket before it needs
+    placed = F.pandas_udf(place, "long")("doc_id", "tie").alias("bucket")
+    first = rows.select("doc_id", "tie", placed).groupBy("bucket").agg(F.max("doc_id"), F.min("tie")).orderBy("bucket").collect()
+    heads = {(r[1], r[2]): p["bucket"] for p, r in zip(first[-1:] + first[:-1], first)}
+
+    def buckets(ids: pd.Series, ties: pd.Series) -> pd.Series:
+        """Buckets of a row, as a list: its own and, for a head, the one before."""
+        own = place(ids, ties).tolist()
+        keys = zip([None if i is None or i != i else int(i) for i in ids.tolist()], ties.tolist())
+        return pd.Series([[b, before] if (before := heads.get(key)) is not None else [b] for b, key in zip(own, keys)])
+
+    both = rows.withColumn("buckets", F.pandas_udf(buckets, "array<long>")("doc_id", "tie"))
+    both = both.select(F.posexplode("buckets").alias("extra", "bucket"), "doc_id", "text")
+    return both.select("bucket", "extra", "doc_id", "text").repartition(partitions, "bucket").sortWithinPartitions(
         "bucket", "extra", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"),
     )
 
@@ -173,7 +190,7 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         # the next row of a row is usually the one below it; only the last of a block or bucket needs its own pass
         away = [k for k in range(n) if k + 1 == n or rows[k][2] is not rows[k + 1][1]]
         _, other = vectors(pa.array([rows[k][2] for k in away], pa.string()))
-        following = np.concatenate([loose[1:n], np.zeros((1, LANES), np.uint16)]) if n else loose[:0]
+        following = np.concatenate([loose[1:n], np.zeros((1, LANES), np.uint32)]) if n else loose[:0]
         following[away] = other
         shown, changed_shown = packed(exact[:n], loose[:n]), packed(exact[n:], loose[n:])
         arrays = [

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, settled
-from .words import FOLDED, TABLE, StretchCache, hash_stretches, text_steps
+from .words import FOLDED, LOWERED, TABLE, StretchCache, hash_stretches, text_steps
 
 LIMIT, END_ID = 4096, 1
 #: Coarse lengths per sequence in the patterns, and documents per pattern.
@@ -122,7 +122,7 @@ class WordEncoder:
         if cased.any():
             hashes = np.where(cased, ~hash_stretches(data, starts, TABLE), hashes)
         hashes, starts, ends = hashes[kept], starts[kept], ends[kept]
-        ids, sizes = self.cache.look_up(hashes, data, starts, ends)
+        ids, sizes = self.cache.look_up(hashes, data, starts, ends, np.where(ordinary, LOWERED[data], data))
         upto = np.concatenate([[0], np.cumsum(sizes)])
         return ids, upto[np.searchsorted(starts, offsets)]
 

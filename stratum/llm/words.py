@@ -1,7 +1,8 @@
 """Vectorised cutting and hashing of UTF-8 text: whole batches of documents in numpy, no Python per word.
 
-A stretch of bytes is hashed as a polynomial over a random byte table modulo 2**64, then mixed. The hash stands
-for the stretch within a task (a cache key) and, for shingles, between tasks.
+A stretch of bytes is hashed as a sum, modulo 2**64, of a random number per byte value times a random number per place,
+then mixed. Places have independent factors, not powers of one base, so no pattern of bytes cancels out. The hash stands
+for the stretch between tasks where shingles are counted; as a cache key it only proposes, and the bytes decide.
 """
 
 from __future__ import annotations
@@ -22,14 +23,10 @@ FOLDED[65:91] = TABLE[97:123]
 #: Blanks that end a word: the space and the controls from tab to carriage return.
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
-_powers = np.ones(1, np.uint64)
-
-
-def powers(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        _powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n, 1024) - 1, _ODD)]), dtype=np.uint64)
-    return _powers
+#: A-Z as a-z.
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[65:91] += 32
+_factors = np.zeros(0, np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -39,13 +36,21 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
+def factors(n: int) -> np.ndarray:
+    """A fixed random odd number for each place of a stretch."""
+    global _factors
+    if len(_factors) < n:
+        _factors = mix(np.arange(1, max(n, 1024) + 1, dtype=np.uint64) * _ODD) | U(1)
+    return _factors
+
+
 def hash_stretches(data: np.ndarray, starts: np.ndarray, table: np.ndarray = TABLE) -> np.ndarray:
     """A hash of each stretch ``data[starts[i]:starts[i+1]]``; stretches are not empty and cover ``data``."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     lengths = np.diff(starts, append=len(data))
     inside = np.arange(len(data), dtype=np.int64) - np.repeat(starts, lengths)
-    summed = np.add.reduceat(table[data] * powers(int(lengths.max()))[inside], starts)
+    summed = np.add.reduceat(table[data] * factors(int(lengths.max()))[inside], starts)
     return mix(summed ^ (lengths.astype(np.uint64) * U(0xD6E8FEB86659FD93)))
 
 
@@ -80,65 +85,103 @@ def cut_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return hashes[word], counts, first, ends[word]
 
 
+def spread_out(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places ``first[i] .. first[i] + size[i] - 1``, one stretch after the other."""
+    jump = np.repeat(first - (np.cumsum(size) - size), size)
+    return np.arange(len(jump)) + jump
+
+
 class StretchCache:
-    """Values (short integer arrays) of stretches, learned in bulk and looked up by hash.
+    """Values (short integer arrays) of stretches, learned in bulk and looked up by hash and bytes.
 
     ``learn`` gets the new stretches as bytes and returns the order in which it answers, all values in a row and
-    how many belong to each stretch. Bounded: when ``limit`` stretches are known, all are forgotten and learning
-    goes on.
+    how many belong to each stretch. Bounded: when ``limit`` stretches or ``byte_limit`` of their bytes are known, all are
+    forgotten and learning goes on. A stretch whose hash is known for other bytes is learned for itself, every time.
     """
 
-    def __init__(self, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]], dtype, limit: int):
-        self.learn, self.dtype, self.limit = learn, dtype, limit
+    def __init__(
+        self, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]], dtype, limit: int, byte_limit: int = 64 << 20
+    ):
+        self.learn, self.dtype, self.limit, self.byte_limit = learn, dtype, limit, byte_limit
         self.forget()
 
     def forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
         self.slot = np.zeros(0, np.int64)
-        self.first = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.pool = np.zeros(1 << 16, self.dtype)
-        self.filled = 0
-
-    def add(self, hashes: np.ndarray, stretches: list[bytes]) -> None:
-        if len(self.hashes) + len(hashes) > self.limit:
-            self.forget()
-        asked, values, sizes = self.learn(stretches)
-        hashes, total = hashes[asked], len(values)
-        while self.filled + total > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.filled:self.filled + total] = values
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.filled = np.zeros(1 << 16, self.dtype), 0
+        self.text_first, self.text_size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.text, self.text_filled = np.zeros(1 << 16, np.uint8), 0
+
+    @staticmethod
+    def grown(pool: np.ndarray, filled: int, values: np.ndarray) -> np.ndarray:
+        while filled + len(values) > len(pool):
+            pool = np.concatenate([pool, np.zeros_like(pool)])
+        pool[filled:filled + len(values)] = values
+        return pool
+
+    def add(self, hashes: np.ndarray, stretches: list[bytes], shown: np.ndarray, sizes: np.ndarray) -> None:
+        """``shown`` are the bytes of the stretches in a row as later ones are compared with them."""
+        asked, values, counts = self.learn(stretches)
+        begins = (np.cumsum(sizes) - sizes)[asked] + self.text_filled
+        self.text = self.grown(self.text, self.text_filled, shown)
+        self.pool = self.grown(self.pool, self.filled, values)
         slots = np.arange(len(self.first), len(self.first) + len(hashes))
-        self.first = np.concatenate([self.first, self.filled + np.cumsum(sizes) - sizes])
-        self.size = np.concatenate([self.size, sizes])
-        self.filled += total
-        order = np.argsort(np.concatenate([self.hashes, hashes]), kind="stable")
-        self.slot = np.concatenate([self.slot, slots])[order]
-        self.hashes = np.concatenate([self.hashes, hashes])[order]
-
-    def look_up(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``(values of all stretches in a row, how many each has)``."""
+        self.first = np.concatenate([self.first, self.filled + np.cumsum(counts) - counts])
+        self.size = np.concatenate([self.size, counts])
+        self.text_first, self.text_size = np.concatenate([self.text_first, begins]), np.concatenate([self.text_size, sizes[asked]])
+        self.filled, self.text_filled = self.filled + len(values), self.text_filled + len(shown)
+        # merge, as both sides are sorted after this step's few new hashes are
+        new = np.argsort(hashes[asked], kind="stable")
+        fresh, fresh_slots = hashes[asked][new], slots[new]
+        at = np.searchsorted(self.hashes, fresh)
+        self.hashes, self.slot = np.insert(self.hashes, at, fresh), np.insert(self.slot, at, fresh_slots)
+
+    def look_up(
+        self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, shown: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """``(values of all stretches in a row, how many each has)``.
+
+        ``shown`` is ``data`` with all differences removed that do not change a value (letter case, say).
+        """
         if not len(hashes):
             return np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        shown = data if shown is None else shown
+        lengths = ends - starts
         order = np.argsort(hashes, kind="stable")
         ranked = hashes[order]
         head = np.concatenate([[True], ranked[1:] != ranked[:-1]])
         unique, example = ranked[head], order[head]
         inverse = np.empty(len(hashes), np.int64)
         inverse[order] = np.cumsum(head) - 1
+        raw = None
         for attempt in range(2):
             at = np.minimum(np.searchsorted(self.hashes, unique), max(len(self.hashes) - 1, 0))
             known = self.hashes[at] == unique if len(self.hashes) else np.zeros(len(unique), bool)
-            if known.all():
+            new = example[~known]
+            if not len(new):
                 break
-            if attempt or len(self.hashes) + int((~known).sum()) > self.limit:
+            full = len(self.hashes) + len(new) > self.limit or self.text_filled + int(lengths[new].sum()) > self.byte_limit
+            if full and len(self.hashes) and not attempt:
                 self.forget()
-                known[:] = False
-            new = example[~known]
-            raw = data.tobytes()
-            self.add(unique[~known], [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
-        at = np.searchsorted(self.hashes, unique)
-        slot = self.slot[at][inverse]
-        size = self.size[slot]
-        jump = np.repeat(self.first[slot] - (np.cumsum(size) - size), size)
-        return self.pool[np.arange(len(jump)) + jump], size
+                continue
+            raw = raw or data.tobytes()
+            texts = [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+            self.add(unique[~known], texts, shown[spread_out(starts[new], lengths[new])], lengths[new])
+            break
+        slot = self.slot[np.searchsorted(self.hashes, unique)][inverse]
+        first, size = self.first[slot], self.size[slot]
+        # the hash proposes, the bytes decide
+        wrong = self.text_size[slot] != lengths
+        alike = np.flatnonzero(~wrong)
+        differs = self.text[spread_out(self.text_first[slot[alike]], lengths[alike])] != shown[spread_out(starts[alike], lengths[alike])]
+        if differs.any():
+            wrong[alike[np.unique(np.searchsorted(np.cumsum(lengths[alike]), np.flatnonzero(differs), side="right"))]] = True
+        pool = self.pool
+        if wrong.any():
+            odd = np.flatnonzero(wrong)
+            raw = raw or data.tobytes()
+            asked, values, counts = self.learn([raw[a:b] for a, b in zip(starts[odd].tolist(), ends[odd].tolist())])
+            first[odd[asked]], size[odd[asked]] = self.filled + np.cumsum(counts) - counts, counts
+            pool = np.concatenate([self.pool[:self.filled], values])
+        return pool[spread_out(first, size)], size
