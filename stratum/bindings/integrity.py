@@ -208,6 +208,26 @@ def _(spark, sf):
     return sinks.current_snapshot(spark, root)
 
 
+SMALL_SQL = """(SELECT o_orderkey, o_custkey, 'S' AS o_orderstatus, 0.0 AS o_totalprice, 'NEW' AS o_orderpriority FROM orders
+WHERE o_custkey IN (SELECT min(o_custkey) FROM orders))"""
+
+
+@query("merge_increment", f"""SELECT t.o_orderkey, t.o_custkey, coalesce(s.o_orderstatus, t.o_orderstatus) AS o_orderstatus,
+coalesce(s.o_totalprice, t.o_totalprice) AS o_totalprice, coalesce(s.o_orderpriority, t.o_orderpriority) AS o_orderpriority
+FROM orders t LEFT JOIN {SMALL_SQL} s ON t.o_orderkey = s.o_orderkey""")
+def _(spark, sf):
+    """All orders, then one customer's orders again: a bucketed table whose second batch rewrites a few buckets."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    first = orders.agg(F.min("o_custkey")).first()[0]
+    again = orders.filter(F.col("o_custkey") == first).withColumns({
+        "o_orderstatus": F.lit("S"), "o_totalprice": F.lit(0.0), "o_orderpriority": F.lit("NEW"),
+    })
+    root = fresh_path(spark, "merge")
+    sinks.merge_table(orders, root, ["o_orderkey"], "b1")
+    sinks.merge_table(again, root, ["o_orderkey"], "b2")
+    return sinks.current_snapshot(spark, root)
+
+
 @query("backfill_column", """SELECT c_custkey, c_acctbal > 0 AND c_mktsegment = 'HOUSEHOLD' AS is_flagged, FALSE AS is_initial_deposit
 FROM customer""")
 def _(spark, sf):
@@ -235,17 +255,34 @@ OR f.account_status IS DISTINCT FROM n.account_status OR f.credit_limit IS DISTI
 KEYED_SQL = f"(SELECT sha256(concat(account_id, '|', effective_from)) AS dim_account_key, * FROM {HISTORY_SQL})"
 
 
-def account_history(spark, sf):
-    """Accounts opened before the change day, then one later snapshot of all accounts."""
+def account_snapshots(spark, sf):
+    """Accounts opened before the change day, and a later snapshot of all accounts."""
     rows = views.accounts(spark, sf)
-    first = scd2.scd2_init(rows.filter(F.col("opening_date") < CHANGE_DAY), "account_id", "opening_date", "dim_account_key")
     later = rows.withColumns({
         "account_status": F.when(F.col("account_tier") == "1-URGENT", "frozen").otherwise(F.col("account_status")),
         "credit_limit": F.when(F.col("account_tier") != "5-LOW", F.col("credit_limit")),
     })
+    return rows.filter(F.col("opening_date") < CHANGE_DAY), later
+
+
+def account_history(spark, sf):
+    """Accounts opened before the change day, then one later snapshot of all accounts."""
+    early, later = account_snapshots(spark, sf)
+    first = scd2.scd2_init(early, "account_id", "opening_date", "dim_account_key")
     return scd2.scd2_apply(first, later, "account_id", ["account_status", "credit_limit"], CHANGE_DAY, "dim_account_key")
 
 
+@query("history_table", f"""SELECT dim_account_key, account_id, effective_from, effective_to, is_current, account_status, credit_limit
+FROM {KEYED_SQL}""")
+def _(spark, sf):
+    """The same history through a bucketed table, two batches and one that brings nothing new."""
+    first, later = account_snapshots(spark, sf)
+    root = fresh_path(spark, "history")
+    for batch, rows in (("b1", first), ("b2", later), ("b3", later)):
+        sinks.merge_history(rows, root, "account_id", ["account_status", "credit_limit"], "opening_date", CHANGE_DAY, batch, "dim_account_key")
+    return sinks.current_snapshot(spark, root).drop("customer_id", "opening_date", "account_tier")
+
+
 @query("scd2_init", f"""SELECT sha256(concat(account_id, '|', opening_date)) AS dim_key, account_id, opening_date AS effective_from,
 DATE '9999-12-31' AS effective_to, TRUE AS is_current, account_status FROM {views.ACCOUNTS_SQL}""")
 def _(spark, sf):

@@ -78,6 +78,13 @@ def scd2_apply(
     return closed.unionByName(live.select(*[value[c].cast(dim.schema[c].dataType).alias(c) for c in dim.columns]))
 
 
+def version_changes(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
+    """Keys of ``incoming`` that are new or differ from their open version; only keys and tracked columns are read."""
+    live = dim.filter(F.col(CURRENT)).select(F.col(key).alias("__ok"), *[F.col(c).alias(f"__o_{c}") for c in tracked])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in tracked])
+    return incoming.select(key, *[c for c in tracked if c != key]).join(live, (F.col(key) == F.col("__ok")) & same, "left_anti").select(key)
+
+
 def scd2_from_events(
     events: DataFrame, key: str, at: str, chunk: Column, tiebreak: Sequence[str] = (), key_name: str = "dim_key"
 ) -> DataFrame:

@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: What became of a row in a merge.
+STATE = "__merge_state"
+
+
 def null_spread(keys: Sequence[str], columns: Sequence[str], side: int) -> Column:
     """0 for complete keys, a side-specific row hash for keys with a null."""
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
@@ -38,12 +42,14 @@ def upsert(
     keys: Sequence[str],
     preserve: Sequence[str] = (),
     touch: Mapping[str, Column] | None = None,
+    state: str | None = None,
 ) -> DataFrame:
     """The table after merging ``source`` into ``target``.
 
     A matched row takes every source column except ``preserve`` (for instance the creation time), and the
     ``touch`` columns take their expressions. Unmatched source rows are inserted as they are, unmatched
-    target rows stay. Source keys must be unique: check with :func:`repeated_keys` first.
+    target rows stay. Source keys must be unique: check with :func:`repeated_keys` first. ``state`` names a column that
+    tells ``inserted``, ``updated`` and ``untouched`` rows apart.
     """
     touch = touch or {}
     have_t, have_s = set(target.columns), set(source.columns)
@@ -55,6 +61,9 @@ def upsert(
         updated = touch.get(name, old if name in preserve or name not in have_s else new)
         value = F.when(matched, updated).when(F.col("s").isNotNull(), new).otherwise(old)
         out.append(value.alias(name))
+    if state:
+        kind = F.when(matched, "updated").when(F.col("s").isNotNull(), "inserted").otherwise("untouched")
+        out.append(kind.alias(state))
     return _paired(target, source, keys).select(*out)
 
 

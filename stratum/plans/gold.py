@@ -16,9 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import RunContext
 from ..operators import control
-from ..operators.scd2 import CURRENT, scd2_apply, scd2_init
 from ..operators.upsert import require_unique
-from ..session import durable
 from ..sources import tables
 
 AUDIT = "gold_audit_log"
@@ -46,16 +44,8 @@ def audited(spark: SparkSession, path: str, table: GoldTable, batch_id: str) ->
     return not tables.read_table(spark, path).filter((F.col("target_table") == table.name) & (F.col("batch_id") == batch_id)).isEmpty()
 
 
-def version_counts(history: DataFrame | None) -> tuple[int, int]:
-    """Rows and closed rows."""
-    if history is None:
-        return 0, 0
-    row = history.agg(F.count(F.lit(1)), F.count_if(~F.col(CURRENT))).first()
-    return row[0], row[1]
-
-
-def publish_table(table: GoldTable, rows: DataFrame, root: str, ctx: RunContext) -> dict[str, int]:
-    """Publish one table from rows that are already written; keys must be unique whatever the kind."""
+def publish_table(table: GoldTable, rows: DataFrame, read: int, root: str, ctx: RunContext) -> dict[str, int]:
+    """Publish one table from ``read`` rows that are already written; keys must be unique whatever the kind."""
     spark, place = rows.sparkSession, f"{root}/{table.name}"
     require_unique(rows, table.keys)
     if table.kind == "upsert":
@@ -63,16 +53,10 @@ def publish_table(table: GoldTable, rows: DataFrame, root: str, ctx: RunContext)
         return {"rows_inserted": counts["inserted"], "rows_expired": 0}
     if table.kind == "replace":
         tables.publish(rows, place, ctx.batch_id)
-        return {"rows_inserted": rows.count(), "rows_expired": 0}
+        return {"rows_inserted": read, "rows_expired": 0}
     [key] = table.keys
-    before = tables.current_snapshot(spark, place)
-    if before is None:
-        after = scd2_init(rows, key, table.from_col, table.key_name)
-    else:
-        after = scd2_apply(before, rows, key, table.tracked, ctx.as_of, table.key_name)
-    tables.publish(after, place, ctx.batch_id)
-    (old, closed_before), (new, closed_after) = version_counts(before), version_counts(tables.current_snapshot(spark, place))
-    return {"rows_inserted": new - old, "rows_expired": closed_after - closed_before}
+    counts = tables.merge_history(rows, place, key, table.tracked, table.from_col, ctx.as_of, ctx.batch_id, table.key_name)
+    return {"rows_inserted": counts["inserted"], "rows_expired": counts["expired"]}
 
 
 def run_gold(
@@ -86,8 +70,8 @@ def run_gold(
         if not audited(spark, log, table, ctx.batch_id):
             facts = {"rows_read": None, "rows_inserted": None, "rows_expired": None}
             if not tables.is_published(spark, place, ctx.batch_id):
-                rows = durable(build(ready), table.name)
-                facts = {"rows_read": rows.count(), **publish_table(table, rows, root, ctx)}
+                rows, read = tables.counted(build(ready), table.name)
+                facts = {"rows_read": read, **publish_table(table, rows, read, root, ctx)}
             end = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
             row = {
                 "pipeline_name": pipeline, "batch_id": ctx.batch_id, "source_table": table.source, "target_table": table.name,

@@ -1,31 +1,18 @@
-"""Table sinks on plain Parquet.
-
-A mutated table is published as a new snapshot directory and a row in a small snapshot log; readers take the
-path of the latest row. A path that is being read is never overwritten, and a job that dies half-way leaves
-the published snapshot untouched.
-"""
+"""Table sinks on plain Parquet; published tables (snapshots, bucketed merges) are in :mod:`published`."""
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import require_unique, upsert, upsert_counts
-from ..session import durable
-
-SNAPSHOT_SCHEMA = "batch_id string, path string, published timestamp"
+from .published import counted, current_path, current_snapshot, exists, is_published, merge_history, merge_table, publish, vacuum
 
-
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+__all__ = [
+    "append", "checklist", "counted", "create_once", "current_path", "current_snapshot", "exists", "is_published", "merge_history", "merge_table",
+    "publish", "read_table", "replace_table", "vacuum", "write_bronze",
+]
 
 
 def write_bronze(df: DataFrame, path: str, parts: Sequence[str] = ("year", "month")) -> None:
@@ -55,62 +42,6 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
-def current_path(spark: SparkSession, root: str) -> str | None:
-    log = f"{root}/_log"
-    if not exists(spark, log):
-        return None
-    return spark.read.schema(SNAPSHOT_SCHEMA).parquet(log).agg(F.max_by("path", F.struct("published", "batch_id"))).first()[0]
-
-
-def current_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    path = current_path(spark, root)
-    return None if path is None else spark.read.parquet(path)
-
-
-def is_published(spark: SparkSession, root: str, batch_id: str) -> bool:
-    log = f"{root}/_log"
-    return exists(spark, log) and bool(spark.read.schema(SNAPSHOT_SCHEMA).parquet(log).filter(F.col("batch_id") == batch_id).take(1))
-
-
-def publish(df: DataFrame, root: str, batch_id: str) -> str:
-    """Write a snapshot and make it current; a batch id is published once.
-
-    A directory left by a run that died before its log row was written is simply written again.
-    """
-    spark = df.sparkSession
-    path, log = f"{root}/batch={batch_id}", f"{root}/_log"
-    if is_published(spark, root, batch_id):
-        raise ValueError(f"batch {batch_id} is already published")
-    df.write.mode("overwrite").parquet(path)
-    row = [(batch_id, path, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
-    spark.createDataFrame(row, SNAPSHOT_SCHEMA).coalesce(1).write.mode("append").parquet(log)
-    return path
-
-
-def merge_table(
-    source: DataFrame,
-    root: str,
-    keys: Sequence[str],
-    batch_id: str,
-    preserve: Sequence[str] = (),
-    touch: Mapping[str, Column] | None = None,
-) -> dict[str, int]:
-    """Upsert into the published table (first run: create it); returns true insert and update counts.
-
-    The source is built once: uniqueness, counts and the merge read the written copy.
-    """
-    spark = source.sparkSession
-    source = durable(source, "merge-source")
-    require_unique(source, keys)
-    target = current_snapshot(spark, root)
-    if target is None:
-        path = publish(source, root, batch_id)
-        return {"inserted": spark.read.parquet(path).count(), "updated": 0, "untouched": 0}
-    counts = upsert_counts(target, source, keys).first().asDict()
-    publish(upsert(target, source, keys, preserve, touch), root, batch_id)
-    return counts
-
-
 def checklist(spark: SparkSession, expected: Mapping[str, str]) -> DataFrame:
     """Expected tables (name -> path) with presence and row count; empty ones are warned about."""
     rows = []
