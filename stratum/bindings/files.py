@@ -4,68 +4,102 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..session import fresh_path
+from ..session import durable, fresh_path
 from ..sources import files, mail, reconciled, tables
 from ..streaming.ingest import RESCUED, ingest_rescued, ingest_stream
 from .registry import ORACLES, documents, query, table
 
 def landing(spark, sf, kind: str) -> str:
-    """Orders as a landing tree ``<root>/<yyyy>/01/<name>``, one folder and file per year that the orders have, with schema
-    drift for Parquet. Until 1997 ``o_custkey`` is text, from 2000 on ``o_orderpriority`` is missing.
+    """Orders as a landing tree ``<root>/<yyyy>/01/<name>/``, one folder of several files per year that the orders have, with
+    schema drift for Parquet: until 1997 ``o_custkey`` is text, from 2000 on ``o_orderpriority`` is missing.
+
+    Each kind of rows is written once, partitioned by year; the year folders then get their landing names.
     """
-    root = fresh_path(spark, "landing")
-    years = table(spark, sf, "orders").select(F.year("o_orderdate").alias("y")).distinct().orderBy("y").collect()
-    for year in [r["y"] for r in years]:
-        part = table(spark, sf, "orders").filter(F.year("o_orderdate") == year).coalesce(1)
-        folder = f"{root}/{year}/01"
-        if kind == "parquet":
-            if year <= 1997:
-                part = part.withColumn("o_custkey", F.col("o_custkey").cast("string"))
-            if year >= 2000:
-                part = part.drop("o_orderpriority")
-            part.write.parquet(f"{folder}/orders_{year}_01.parquet")
-        elif kind == "json":
-            rows = part.select(F.to_json(F.struct("o_orderkey", "o_custkey", "o_totalprice", F.struct("o_orderstatus", "o_orderpriority").alias("meta"))).alias("value"))
-            rows.unionByName(part.filter("o_orderstatus = 'P'").select(F.lit("{broken").alias("value"))).write.text(f"{folder}/transactions.jsonl")
-        elif kind == "text":
-            part.select(F.col("o_orderkey").cast("string")).write.text(f"{folder}/keys")
-        else:
-            part.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice").write.option("header", True).csv(f"{folder}/complaints/complaints.csv")
+    root, orders = fresh_path(spark, "landing"), table(spark, sf, "orders").withColumn("y", F.year("o_orderdate"))
+    if kind == "parquet":
+        early = orders.filter("y <= 1997").withColumn("o_custkey", F.col("o_custkey").cast("string"))
+        drifts = [early, orders.filter("y BETWEEN 1998 AND 1999"), orders.filter("y >= 2000").drop("o_orderpriority")]
+        name, save = "orders_{}_01.parquet", "parquet"
+    elif kind == "json":
+        meta = F.struct("o_orderstatus", "o_orderpriority").alias("meta")
+        good = orders.select(F.to_json(F.struct("o_orderkey", "o_custkey", "o_totalprice", meta)).alias("value"), "y", "o_orderkey")
+        broken = orders.filter("o_orderstatus = 'P'").select(F.lit("{broken").alias("value"), "y", "o_orderkey")
+        drifts, name, save = [good.unionByName(broken)], "transactions.jsonl", "text"
+    elif kind == "text":
+        drifts, name, save = [orders.select(F.col("o_orderkey").cast("string").alias("value"), "y", "o_orderkey")], "keys", "text"
+    else:
+        drifts = [orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "y")]
+        name, save = "complaints/complaints.csv", "csv"
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    for n, rows in enumerate(drifts):
+        stage = f"{root}-stage-{n}"
+        dealt = rows.repartition("y", F.pmod("o_orderkey", F.lit(4)))
+        if save == "text":
+            dealt = dealt.drop("o_orderkey")
+        dealt.write.partitionBy("y").option("header", True).format(save).save(stage)
+        fs = hadoop.Path(stage).getFileSystem(conf)
+        for status in fs.globStatus(hadoop.Path(f"{stage}/y=*")):
+            year = status.getPath().getName().removeprefix("y=")
+            place = hadoop.Path(f"{root}/{year}/01/{name.format(year)}")
+            fs.mkdirs(place.getParent())
+            fs.rename(status.getPath(), place)
+        fs.delete(hadoop.Path(stage), True)
     return root
 
 
+def folder():
+    return F.regexp_replace("path", "/[^/]*$", "")
+
+
+def folders_of(listing):
+    """The listing with one row per folder: how many files a year has depends on the cluster."""
+    return listing.select(folder().alias("path")).distinct()
+
+
 @query("reconciled_read", """SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_totalprice, CASE WHEN year(o_orderdate) < 2000 THEN o_orderpriority END AS o_orderpriority, CAST(year(o_orderdate) AS VARCHAR) AS year, '01' AS month FROM orders""")
 def _(spark, sf):
     root = landing(spark, sf, "parquet")
-    rows, conflicts, _ = reconciled.read_reconciled(spark, files.list_files(spark, root, "*.parquet"))
+    rows, conflicts, _ = reconciled.read_reconciled(spark, files.list_files(spark, root, "*.parquet"), "*.parquet")
     assert conflicts == ["o_custkey"], conflicts
     return reconciled.with_period(rows).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "year", "month")
 
 
 @query("discover_entities", "SELECT 'orders' AS entity, count(DISTINCT year(o_orderdate)) AS files FROM orders")
 def _(spark, sf):
-    return files.discover_entities(files.list_files(spark, landing(spark, sf, "parquet"), "*.parquet"))
+    return files.discover_entities(folders_of(files.list_files(spark, landing(spark, sf, "parquet"), "*.parquet")))
 
 
 @query("discover_groups", "SELECT 'complaints' AS subfolder, 'complaints_complaints' AS table_name, count(DISTINCT year(o_orderdate)) AS files FROM orders")
 def _(spark, sf):
-    listing = files.list_files(spark, landing(spark, sf, "csv"), "*.csv").withColumn("path", F.regexp_replace("path", "/[^/]*$", ""))
-    return files.discover_groups(listing).select("subfolder", "table_name", "files")
+    listing = files.list_files(spark, landing(spark, sf, "csv"), "*.csv")
+    return files.discover_groups(folders_of(listing)).select("subfolder", "table_name", "files")
 
 
-BYTES_SQL = "count(DISTINCT year(o_orderdate)) AS files, CAST(sum(length(CAST(o_orderkey AS VARCHAR)) + 1) AS BIGINT) AS bytes"
+BYTES_SQL = "count(DISTINCT year(o_orderdate)) AS folders, CAST(sum(length(CAST(o_orderkey AS VARCHAR)) + 1) AS BIGINT) AS bytes"
 
 
 @query("manifest", f"""SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, '01' AS month, 'keys' AS file_type, {BYTES_SQL} FROM orders GROUP BY ALL""")
 def _(spark, sf):
     rows = files.build_manifest(spark, landing(spark, sf, "text"), "*.txt", "keys", "b1")
-    return rows.groupBy("year", "month", "file_type").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    return rows.groupBy("year", "month", "file_type").agg(F.count_distinct(folder()).alias("folders"), F.sum("length").alias("bytes"))
 
 
-@query("changed_files", """SELECT CAST(year(o_orderdate) AS VARCHAR) AS year FROM orders WHERE year(o_orderdate) >= 2000 GROUP BY ALL""")
+@query("changed_files", """SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, 'added' AS change FROM orders WHERE year(o_orderdate) >= 2000 GROUP BY ALL
+UNION ALL SELECT CAST(min(year(o_orderdate)) AS VARCHAR), 'deleted' FROM orders UNION ALL SELECT CAST(min(year(o_orderdate)) + 1 AS VARCHAR), 'modified' FROM orders""")
 def _(spark, sf):
-    now = files.build_manifest(spark, landing(spark, sf, "parquet"), "*.parquet", "orders", "b2")
-    return files.changed_files(now, now.filter("year < '2000'")).select("year").distinct()
+    """The last manifest lacks the years from 2000; since then the first year was deleted and the second one written anew."""
+    root = landing(spark, sf, "parquet")
+    known = ["path", "length", "modificationTime"]
+    then = durable(files.build_manifest(spark, root, "*.parquet", "orders", "b1").filter("year < '2000'").select(*known), "manifest")
+    first = table(spark, sf, "orders").agg(F.min(F.year("o_orderdate"))).first()[0]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    gone = hadoop.Path(f"{root}/{first}")
+    gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+    now = files.list_files(spark, root, "*.parquet").select(
+        "path", F.when(F.col("path").contains(f"/{first + 1}/"), F.col("length") + 1).otherwise(F.col("length")).alias("length"), "modificationTime",
+    )
+    changes = files.changed_files(now, then, deletions=True)
+    return changes.select(files.period("path")["year"].alias("year"), "change").distinct()
 
 
 @query("probe_files", """SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, 'ok' AS verdict, count(*) AS row_count FROM orders GROUP BY ALL""")
@@ -97,9 +131,11 @@ def damaged(spark, sf) -> str:
 
 
 DAMAGE_SQL = "(VALUES (1995, 'zero_bytes'), (1996, 'empty_shell'), (1997, 'pointer'), (1998, 'unreadable: ArrowInvalid')) b(y, verdict)"
+#: The grid runs from the first to the last month of the orders' years (and over those with damaged files).
+YEARS_SQL = "(SELECT unnest(range(least(1995, min(year(o_orderdate))), greatest(1998, max(year(o_orderdate))) + 1)) AS y FROM orders)"
 GRID_SQL = f"""(SELECT t.y, m, e, CASE WHEN m = '01' AND e = 'orders' AND o.y IS NOT NULL THEN 'present' WHEN m = '01' AND e = 'loans' THEN coalesce(b.verdict, 'missing') ELSE 'missing' END AS finding
-FROM range(1995, 2003) t(y), (SELECT lpad(CAST(range AS VARCHAR), 2, '0') AS m FROM range(1, 13)), (VALUES ('orders'), ('loans')) w(e))"""
-GRID_SQL = GRID_SQL.replace("FROM range(1995, 2003) t(y),", f"FROM range(1995, 2003) t(y) LEFT JOIN {DAMAGE_SQL} ON b.y = t.y LEFT JOIN (SELECT DISTINCT year(o_orderdate) AS y FROM orders) o ON o.y = t.y,")
+FROM YEARS t, (SELECT lpad(CAST(range AS VARCHAR), 2, '0') AS m FROM range(1, 13)), (VALUES ('orders'), ('loans')) w(e))"""
+GRID_SQL = GRID_SQL.replace("FROM YEARS t,", f"FROM {YEARS_SQL} t LEFT JOIN {DAMAGE_SQL} ON b.y = t.y LEFT JOIN (SELECT DISTINCT year(o_orderdate) AS y FROM orders) o ON o.y = t.y,")
 
 
 @query("probe_verdicts", f"""SELECT CAST(y AS VARCHAR) AS year, verdict, CASE WHEN verdict = 'empty_shell' THEN 0 END AS row_count FROM {DAMAGE_SQL}
@@ -109,13 +145,17 @@ def _(spark, sf):
     return reconciled.with_period(probed, "path").groupBy("year", "verdict").agg(F.sum("rows").alias("row_count"))
 
 
-@query("gap_manifest", f"""SELECT concat_ws('-', e, y, m, finding) AS finding_id, CAST(y AS VARCHAR) AS year, m AS month, e AS entity, finding <> 'missing' AS on_disk, finding,
+@query("gap_manifest", f"""SELECT concat_ws('-', e, y, m, finding) AS finding_id, concat_ws('_', e, y, m) || '.parquet' AS file_name,
+CAST(CASE finding WHEN 'zero_bytes' THEN 0 WHEN 'pointer' THEN 23 WHEN 'unreadable: ArrowInvalid' THEN 40 END AS BIGINT) AS size, CAST(y AS VARCHAR) AS year, m AS month, e AS entity, finding <> 'missing' AS on_disk, finding,
 CASE WHEN finding = 'present' THEN 'none' WHEN finding = 'missing' THEN 'absent_file' WHEN finding IN ('zero_bytes', 'empty_shell') THEN 'empty_file' ELSE 'broken_file' END AS gap_type,
 CASE WHEN finding = 'present' THEN 'none' WHEN finding IN ('missing', 'zero_bytes', 'empty_shell') THEN 'request_from_source' ELSE 'fetch_again' END AS resolution FROM {GRID_SQL}""")
 def _(spark, sf):
     probed = reconciled.probe_files(files.list_files(spark, damaged(spark, sf), "*.parquet"))
-    grid = reconciled.expected_grid(spark, ["orders", "loans"], "1995-01-01", "2002-12-01")
-    return reconciled.gap_manifest(grid, probed).drop("file_name", "size")
+    day = F.col("o_orderdate")
+    first, last = table(spark, sf, "orders").agg(F.least(F.lit(1995), F.min(F.year(day))), F.greatest(F.lit(1998), F.max(F.year(day)))).first()
+    grid = reconciled.expected_grid(spark, ["orders", "loans"], f"{first}-01-01", f"{last}-12-01")
+    known = F.col("finding").isin("zero_bytes", "pointer", "unreadable: ArrowInvalid")  # sizes that do not depend on a writer
+    return reconciled.gap_manifest(grid, probed).withColumn("size", F.when(known, F.col("size")))
 
 
 JSON_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_totalprice double, meta struct<o_orderstatus: string, o_orderpriority: string>"
@@ -267,4 +307,4 @@ def _(spark, sf):
 @query("stream_manifest", f"""SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, {BYTES_SQL} FROM orders GROUP BY ALL""")
 def _(spark, sf):
     rows = _ingest(spark, landing(spark, sf, "text"), "binaryFile", options={"pathGlobFilter": "*.txt"})
-    return rows.groupBy(F.col("year").cast("string").alias("year")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    return rows.groupBy(F.col("year").cast("string").alias("year")).agg(F.count_distinct(folder()).alias("folders"), F.sum("length").alias("bytes"))

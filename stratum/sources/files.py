@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
 from fnmatch import fnmatchcase
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import durable
+
 # fixed values: where year and month stand in a landing path, and how a monthly file (or folder of parts) is named
 YEAR_IN_PATH = r"/(\d{4})/"
 MONTH_IN_PATH = r"/\d{4}/(\d{2})/"
@@ -43,26 +45,70 @@ def with_bronze_meta(
     })
 
 
-def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str = "*") -> DataFrame:
+def arrow_uri(path: str) -> str:
+    """Spark's spelling of a location in Arrow's: plain paths, ``file:/x`` and the Hadoop names of object stores."""
+    if path.startswith("/"):
+        return "file://" + path
+    if path.startswith("file:/") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    scheme, _, rest = path.partition("://")
+    return f"s3://{rest}" if scheme in ("s3a", "s3n") else path
+
+
+def _walk(pattern: str, most: int):
+    """List folders inside a task. After ``most`` entries the folders that are left are handed back."""
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+
+        for batch in batches:
+            for root in batch.column(0).to_pylist():
+                system, top = pafs.FileSystem.from_uri(arrow_uri(root))
+                scheme = "file:" if isinstance(system, pafs.LocalFileSystem) else root.split("://")[0] + "://"
+                waiting, rows, seen = [top], [], 0
+                while waiting:
+                    if seen >= most:
+                        rows += [(scheme + f, None, None, True) for f in waiting]
+                        break
+                    folder = waiting.pop()
+                    info = system.get_file_info(folder)
+                    if info.type == pafs.FileType.NotFound:
+                        raise FileNotFoundError(scheme + folder)
+                    entries = [info] if info.type == pafs.FileType.File else system.get_file_info(pafs.FileSelector(folder))
+                    seen += len(entries)
+                    for e in entries:
+                        if e.type == pafs.FileType.Directory:
+                            waiting.append(e.path)
+                        elif fnmatchcase(e.base_name, pattern) and e.base_name != "_SUCCESS" and not e.base_name.endswith(".crc"):
+                            rows.append((scheme + e.path, e.size, (e.mtime_ns or 0) // 1_000_000, False))
+                for k in range(0, len(rows), 10_000):
+                    part = rows[k:k + 10_000]
+                    kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), kinds)], ["path", "length", "millis", "open"])
+
+    return run
+
+
+def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str = "*", entries_per_task: int = 10_000) -> DataFrame:
     """path, length and modification time of every file below ``root`` whose name fits ``pattern``.
 
-    Listed by the Hadoop file system, like the file index of any scan, so files of zero bytes and names that start
-    with ``_`` or ``.`` are there too (checksum side files and the markers of a finished write are not data and stay out).
-    No file is opened.
+    Folders are listed inside tasks, round by round: a task walks down until it has seen ``entries_per_task`` entries and
+    hands the folders that are left to the next round, where they are dealt out. The driver sees no file; each round is
+    written, so that all readers of the listing see the same one. Files of zero bytes and names that start with ``_`` or
+    ``.`` are there too (checksum side files and the markers of a finished write are not data and stay out). No file is opened.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    found = []
-    for top in [root] if isinstance(root, str) else root:
-        path = jvm.org.apache.hadoop.fs.Path(top)
-        entries = path.getFileSystem(conf).listFiles(path, True)
-        while entries.hasNext():
-            entry = entries.next()
-            where = entry.getPath()
-            name = where.getName()
-            if fnmatchcase(name, pattern) and name != "_SUCCESS" and not name.endswith(".crc"):
-                at = dt.datetime.fromtimestamp(entry.getModificationTime() / 1000, dt.timezone.utc)
-                found.append((where.toString(), entry.getLen(), at))
-    return spark.createDataFrame(found, "path string, length bigint, modificationTime timestamp")
+    roots = [root] if isinstance(root, str) else list(root)
+    folders = spark.createDataFrame([(r,) for r in roots], "folder string")
+    walk, rounds = _walk(pattern, entries_per_task), []
+    while True:
+        level = folders.repartition("folder").mapInArrow(walk, "path string, length bigint, millis bigint, open boolean")
+        rounds.append(durable(level, "listing"))
+        folders = rounds[-1].filter("open").select(F.col("path").alias("folder"))
+        if folders.isEmpty():
+            break
+    found = reduce(DataFrame.unionByName, rounds).filter("NOT open")
+    return found.select("path", "length", F.timestamp_millis("millis").alias("modificationTime"))
 
 
 def discover_entities(files: DataFrame) -> DataFrame:
@@ -91,10 +137,21 @@ def build_manifest(spark: SparkSession, root: str | Sequence[str], pattern: str,
     )
 
 
-def changed_files(current: DataFrame, last: DataFrame) -> DataFrame:
-    """Files that are new or differ in size or time from the last manifest; empty means nothing to do."""
+def changed_files(current: DataFrame, last: DataFrame, deletions: bool = False) -> DataFrame:
+    """Files that are new or differ in size or time from the last manifest; empty means nothing to do.
+
+    With ``deletions`` every row has a ``change``: ``added``, ``modified``, or ``deleted`` for a file of the last manifest that
+    is gone (its row is the last manifest's).
+    """
     keys = ["path", "length", "modificationTime"]
-    return current.join(last.select(*keys), keys, "left_anti")
+    if not deletions:
+        return current.join(last.select(*keys), keys, "left_anti")
+    known = last.select(F.col("path").alias("__path"), F.col("length").alias("__length"), F.col("modificationTime").alias("__time"))
+    same = (F.col("length").eqNullSafe(F.col("__length"))) & F.col("modificationTime").eqNullSafe(F.col("__time"))
+    met = current.join(known, F.col("path") == F.col("__path"), "left").filter(F.col("__path").isNull() | ~same)
+    there = met.withColumn("change", F.when(F.col("__path").isNull(), "added").otherwise("modified")).select(*current.columns, "change")
+    gone = last.join(current.select("path"), "path", "left_anti").withColumn("change", F.lit("deleted"))
+    return there.unionByName(gone, allowMissingColumns=True)
 
 
 def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: str | None = None) -> DataFrame:

@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import ENTITY_FILE, period
+from ..session import durable
+from .files import ENTITY_FILE, arrow_uri, file_name, period
 
 # fixed values: first bytes of a Parquet file and of a pointer file left by an unfinished download
 PARQUET_MAGIC = b"PAR1"
@@ -18,14 +19,6 @@ POINTER_PREFIX = b"version "
 FOOTER_SCHEMA = "path string, length bigint, magic string, columns int, rows bigint, schema_text string, verdict string"
 
 
-def _uri(path: str) -> str:
-    """Spark's spelling of a location in Arrow's: ``file:/x`` and the Hadoop names of object stores."""
-    if path.startswith("file:/") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    scheme, _, rest = path.partition("://")
-    return f"s3://{rest}" if scheme in ("s3a", "s3n") else path
-
-
 def _footers(batches):
     """Read one footer per path inside the task: magic bytes, column names and types, row count."""
     import pyarrow as pa
@@ -37,7 +30,7 @@ def _footers(batches):
         for path in batch["path"]:
             row = {"path": path, "length": None, "magic": None, "columns": None, "rows": None, "schema_text": None}
             # a file system that cannot be opened fails the task: that is no property of the file
-            fs, inner = pafs.FileSystem.from_uri(_uri(path))
+            fs, inner = pafs.FileSystem.from_uri(arrow_uri(path))
             try:
                 row["length"] = fs.get_file_info(inner).size
                 with fs.open_input_file(inner) as f:
@@ -75,26 +68,48 @@ def probe_files(paths: DataFrame) -> DataFrame:
     return dealt.mapInPandas(_footers, FOOTER_SCHEMA)
 
 
-def read_reconciled(spark: SparkSession, paths: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
-    """Read the Parquet files of a listing as one table: (rows, conflicting columns, skipped files).
+def schema_groups(probed: DataFrame, folders: bool = True) -> DataFrame:
+    """``schema_digest, place`` to read: whole folders whose files all have one schema, single files of the other folders
+    (of all, without ``folders``).
+
+    So the plan's path lists grow with the folders, not with the files, as long as a folder holds one kind of file.
+    """
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    digest = F.when(F.col("verdict") == "ok", F.sha2("schema_text", 256))
+    files = probed.select("path", folder.alias("folder"), digest.alias("schema_digest"), file_name("path").rlike("^[_.]").alias("hidden"))
+    whole = files.groupBy("folder").agg(
+        (F.bool_and(F.col("schema_digest").isNotNull() & ~F.col("hidden")) & (F.min("schema_digest") == F.max("schema_digest"))).alias("alike"),
+    )
+    if not folders:
+        return files.filter("schema_digest IS NOT NULL").select("schema_digest", F.col("path").alias("place"))
+    placed = files.filter("schema_digest IS NOT NULL").join(whole.withColumnRenamed("folder", "of_folder"), F.col("folder") == F.col("of_folder"))
+    return placed.select("schema_digest", F.when(F.col("alike"), F.col("folder")).otherwise(F.col("path")).alias("place")).distinct()
+
+
+def read_reconciled(spark: SparkSession, paths: DataFrame, pattern: str | None = None) -> tuple[DataFrame, list[str], DataFrame]:
+    """Read the Parquet files of a listing as one table: (rows, conflicting columns, skipped files with their verdicts).
 
-    Files are grouped by schema, so the plan has one scan per distinct schema rather than one per file.
-    A column whose type differs between schemas becomes string; a missing column is null.
+    Files are grouped by schema, so the plan has one scan per distinct schema. A column whose type differs between schemas
+    becomes string; a missing column is null. A ``pattern`` promises that the listing holds every file below its folders
+    whose name fits: then a folder of one schema is read as a folder. Without it (a listing that holds a part, like the
+    files of a micro-batch) the files are named one by one. What the driver sees: a sample file per schema, and the places
+    of ``schema_groups``.
     """
-    # the file index lives on the driver in any case; names, verdicts and schema digests come back
-    found = probe_files(paths).select("path", "verdict", F.sha2("schema_text", 256).alias("schema_digest")).collect()
-    groups: dict[str, list[str]] = {}
-    for row in found:
-        if row["verdict"] == "ok":
-            groups.setdefault(row["schema_digest"], []).append(row["path"])
-    skipped = sorted(r["path"] for r in found if r["verdict"] != "ok")
-    if not groups:
+    probed = durable(probe_files(paths), "probes")
+    skipped = probed.filter("verdict <> 'ok'").select("path", "verdict")
+    samples = probed.filter("verdict = 'ok'").groupBy(F.sha2("schema_text", 256).alias("schema_digest")).agg(F.min("path").alias("path")).collect()
+    if not samples:
         raise ValueError("no readable Parquet file among the given paths")
+    places: dict[str, list[str]] = {}
+    for row in schema_groups(probed, pattern is not None).toLocalIterator():
+        places.setdefault(row["schema_digest"], []).append(row["place"])
 
     frames = []
-    for files in groups.values():
-        schema = spark.read.parquet(files[0]).schema
-        frames.append(spark.read.schema(schema).parquet(*files).select("*", F.col("_metadata.file_path").alias("_source_file")))
+    for digest, sample in sorted(samples):
+        schema = spark.read.parquet(sample).schema
+        # a folder is listed by Spark, in tasks if there are many; names given one by one are read as they are
+        frame = spark.read.schema(schema).option("pathGlobFilter", pattern or "*").parquet(*places[digest])
+        frames.append(frame.select("*", F.col("_metadata.file_path").alias("_source_file")))
     kinds: dict[str, set[str]] = {}
     for frame in frames:
         for field in frame.schema:

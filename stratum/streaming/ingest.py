@@ -111,8 +111,9 @@ def ingest_rescued(
 
     def write(batch: DataFrame, number: int) -> None:
         rows, _, skipped = read_reconciled(batch.sparkSession, batch.select("path"))
-        if skipped:
-            raise ValueError(f"not readable as Parquet: {skipped}")
+        broken = skipped.take(5)
+        if broken:
+            raise ValueError(f"not readable as Parquet: {[tuple(r) for r in broken]}")
         full = with_bronze_meta(conform(rows, wanted), batch_id, path=F.col("_source_file"))
         full.write.partitionBy("year", "month").mode("overwrite").parquet(f"{dst}/stream_batch={stream}-{number}")
 

@@ -36,9 +36,9 @@ def tree(tmp_path):
 
 def test_reconciled_read(spark, tree, rows):
     listing = files.list_files(spark, str(tree), "loans*.parquet")
-    df, conflicts, skipped = reconciled.read_reconciled(spark, listing)
+    df, conflicts, skipped = reconciled.read_reconciled(spark, listing, "loans*.parquet")
     assert conflicts == ["amt"]
-    assert [s[-10:-8] for s in skipped] == ["03", "05", "06"]
+    assert sorted((r["path"][-10:-8], r["verdict"].split(":")[0]) for r in skipped.collect()) == [("03", "empty_shell"), ("05", "unreadable"), ("06", "pointer")]
     got = rows(reconciled.with_period(df).select("id", "amt", "extra", "year", "month"))
     assert got == [(1, "1", None, "2023", "01"), (2, "2", None, "2023", "01"), (3, "9.5", True, "2023", "02"), (4, None, None, "2023", "04")]
 
@@ -77,7 +77,60 @@ def test_changed_files(spark, tree):
     last = spark.createDataFrame(first)
     assert files.changed_files(files.list_files(spark, str(tree), "*.eml"), last).isEmpty()
     put(tree, "2023/02/emails/new.eml", b"Subject: n\n\nx")
-    assert files.changed_files(files.list_files(spark, str(tree), "*.eml"), last).count() == 1
+    (tree / "2023/01/emails/b.eml").unlink()
+    put(tree, "2023/01/emails/c.eml", b"longer now")
+    now = files.list_files(spark, str(tree), "*.eml")
+    assert files.changed_files(now, last).count() == 2
+    got = {r["path"].rsplit("/", 1)[1]: r["change"] for r in files.changed_files(now, last, deletions=True).collect()}
+    assert got == {"new.eml": "added", "c.eml": "modified", "b.eml": "deleted"}
+    assert files.changed_files(now, now, deletions=True).isEmpty()
+
+
+def test_listing_in_rounds(spark, tmp_path, rows):
+    """Few entries per task: the folders that are left go to the next round; zero bytes and hidden names are there."""
+    want = set()
+    for y in range(3):
+        for m in range(4):
+            for k in range(3):
+                want.add(put(tmp_path, f"{y}/{m}/deep/{k}.bin", b"x" * k))
+    want.add(put(tmp_path, "_odd/.hidden.bin", b""))
+    put(tmp_path, "0/_SUCCESS", b"")
+    put(tmp_path, "0/.x.bin.crc", b"1")
+    for most in (1, 5, 1000):
+        got = {r["path"].removeprefix("file:"): r["length"] for r in files.list_files(spark, str(tmp_path), "*", most).collect()}
+        assert set(got) == want and sorted(got.values()) == sorted(len(open(w, "rb").read()) for w in want)
+    single = next(iter(want))
+    assert files.list_files(spark, [single], "*.bin").count() == 1
+    with pytest.raises(Exception, match="FileNotFound"):
+        files.list_files(spark, str(tmp_path / "none"))
+
+
+def test_no_file_reaches_the_driver(spark, tree, monkeypatch):
+    """The driver fetches one sample per schema and whole folders; listings and skipped files stay in tables."""
+    for k in range(40):
+        put(tree, f"2024/01/loans_2024_01.parquet/part-{k:03d}.parquet", pa.table({"id": [k]}))
+    fetched = []
+    frame = type(spark.range(1))
+    for name in ("collect", "toLocalIterator", "toPandas"):
+        real = getattr(frame, name)
+
+        def spy(self, *args, real=real, **kwargs):
+            out = list(real(self, *args, **kwargs))
+            fetched.append(len(out))
+            return iter(out) if real.__name__ == "toLocalIterator" else out
+
+        monkeypatch.setattr(frame, name, spy)
+    df, _, skipped = reconciled.read_reconciled(spark, files.list_files(spark, str(tree / "2024"), "*.parquet"), "*.parquet")
+    assert sum(fetched) == 2 and df.count() == 40 and skipped.isEmpty()
+
+
+def test_folders_of_one_schema_are_read_whole(spark, tree):
+    probed = reconciled.probe_files(files.list_files(spark, str(tree), "*.parquet"))
+    places = {r["place"].split("/2023/")[1] for r in reconciled.schema_groups(probed).collect()}
+    assert places == {"01", "02", "04", "07"}
+    put(tree, "2023/04/loans_b_2023_04.parquet", b"")
+    probed = reconciled.probe_files(files.list_files(spark, str(tree), "*.parquet"))
+    assert {r["place"].split("/2023/")[1] for r in reconciled.schema_groups(probed).collect()} == {"01", "02", "04/loans_2023_04.parquet", "07"}
 
 
 def test_mail(spark, tree):
