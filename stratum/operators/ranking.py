@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, MapType, NumericType, TimestampNTZType, TimestampType
 
 from ..session import durable
 
@@ -17,6 +18,30 @@ from ..session import durable
 CHUNK_UNITS = ("day", "week", "month", "quarter", "year")
 
 
+#: Ids per chunk among rows of one key whose leading order column is null.
+NULL_SPAN = 10_000
+
+
+def chunk_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column) -> Column:
+    """Key and chunk of a row. Where ``chunk`` is null the order columns after the first decide: their values up to the first
+    number (a span of it) or time (its day).
+
+    Like ``chunk`` itself this never decreases along the order, so a key whose dates are all missing spreads as well.
+    """
+    tail = []
+    for name in order[1:]:
+        kind, value = df.schema[name].dataType, F.col(name)
+        if isinstance(kind, NumericType):
+            tail.append(F.floor(value / NULL_SPAN))
+            break
+        if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
+            tail.append(F.to_date(value))
+            break
+        tail.append(value)
+    rest = F.when(chunk.isNull(), F.struct(*[c.alias(f"t{i}") for i, c in enumerate(tail)])) if tail else F.lit(None).cast("int")
+    return F.struct(*keys, chunk.alias("__chunk"), rest.alias("__tail"))
+
+
 def with_neighbours(
     df: DataFrame,
     keys: Sequence[str],
@@ -30,43 +55,42 @@ def with_neighbours(
 
     ``chunk`` must never decrease along ``order`` (the day of an event time, say); choose it fine enough for
     the rows of one key in one chunk to fit a task. The result equals ``row_number``/``lag``/``lead`` over the
-    whole key. Detail rows are shuffled once, by key and chunk; the borders are one row per key and chunk.
+    whole key. The input is read and shuffled once, by key and chunk, and written with what its chunk alone tells; then
+    the first and last row of every chunk meet those of the chunks before and after, like the carry of a prefix scan.
     """
     lags, leads = dict(lags or {}), dict(leads or {})
     wanted = list(dict.fromkeys([*lags.values(), *leads.values()]))
-    base = df.withColumn("__g", F.struct(*keys, chunk.alias("__chunk")))
     rows = Window.partitionBy("__g").orderBy(*order)
-    detail = {}
-    if position:
-        detail["__pos"] = F.row_number().over(rows)
     # a struct tells "no neighbour in this chunk" (null) from "neighbour with a null value"
-    for out, src in lags.items():
-        detail[f"__lag_{out}"] = F.lag(F.struct(F.col(src).alias("v"))).over(rows)
-    for out, src in leads.items():
-        detail[f"__lead_{out}"] = F.lead(F.struct(F.col(src).alias("v"))).over(rows)
-
-    values = F.struct(*wanted) if wanted else F.struct(F.lit(1).alias("none"))
-    heads = base.groupBy("__g").agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.max_by(values, F.struct(*order)).alias("__last"),
-        F.min_by(values, F.struct(*order)).alias("__first"),
-    )
-    chunks = Window.partitionBy(*[f"__g.{k}" for k in keys]).orderBy("__g.__chunk")
-    before = F.coalesce(F.sum("__n").over(chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    heads = heads.select(
-        F.col("__g").alias("__h"), before.alias("__before"),
-        F.lag("__last").over(chunks).alias("__prev"), F.lead("__first").over(chunks).alias("__next"),
+    detail = {
+        "__pos": F.row_number().over(rows),
+        "__n": F.count(F.lit(1)).over(Window.partitionBy("__g")),
+        **{f"__lag_{out}": F.lag(F.struct(F.col(src).alias("v"))).over(rows) for out, src in lags.items()},
+        **{f"__lead_{out}": F.lead(F.struct(F.col(src).alias("v"))).over(rows) for out, src in leads.items()},
+    }
+    local = durable(df.withColumn("__g", chunk_key(df, keys, order, chunk)).withColumns(detail), "chunks")
+
+    first = F.col("__pos") == 1
+    borders = local.filter(first | (F.col("__pos") == F.col("__n"))).select(
+        "__g", "__pos", "__n", F.struct(*[F.col(c) for c in wanted], F.lit(1).alias("__there")).alias("__v"),
     )
-    joined = base.withColumns(detail).join(heads, F.col("__g") == F.col("__h"), "left")
+    along = Window.partitionBy(*[f"__g.{k}" for k in keys]).orderBy("__g.__chunk", "__g.__tail", "__pos")
+    size = F.sum(F.when(first, F.col("__n"))).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.when(F.col("__n") == 1, F.lead("__v", 1).over(along)).otherwise(F.lead("__v", 2).over(along))
+    heads = borders.select(
+        F.col("__g").alias("__h"), "__pos", F.coalesce(size, F.lit(0)).alias("__before"),
+        F.lag("__v").over(along).alias("__prev"), after.alias("__next"),
+    ).filter(first).drop("__pos")
+    joined = local.join(heads, F.col("__g") == F.col("__h"), "left")
     out = {}
     if position:
         out[position] = (F.col("__before") + F.col("__pos")).cast("int")
     for name, src in lags.items():
-        local = F.col(f"__lag_{name}")
-        out[name] = F.when(local.isNotNull(), local["v"]).otherwise(F.col("__prev")[src])
+        own = F.col(f"__lag_{name}")
+        out[name] = F.when(own.isNotNull(), own["v"]).otherwise(F.col("__prev")[src])
     for name, src in leads.items():
-        local = F.col(f"__lead_{name}")
-        out[name] = F.when(local.isNotNull(), local["v"]).otherwise(F.col("__next")[src])
+        own = F.col(f"__lead_{name}")
+        out[name] = F.when(own.isNotNull(), own["v"]).otherwise(F.col("__next")[src])
     return joined.withColumns(out).select(*df.columns, *out)
 
 
@@ -83,28 +107,36 @@ def asof_join(
 
     Both sides become one ordered stream and values are carried forward, inside calendar chunks and then from
     chunk to chunk; no pairs are formed, so a key that is hot on both sides costs its rows, not their product.
-    ``right`` holds one row per key and date. The left row count is preserved. ``unit`` is the length of a chunk.
+    ``right`` holds one row per key and date. The left row count is preserved. ``unit`` is the length of a chunk. Rows
+    without key or date match nothing: on the right they are left out, on the left a row hash spreads them.
     """
     if unit not in CHUNK_UNITS:
         raise ValueError(f"unit must be one of {', '.join(CHUNK_UNITS)}")
     values = right.select(
         F.col(on).alias("__k"), F.col(right_at).cast("date").alias("__at"), F.lit(0).alias("__side"),
         F.struct(*columns).alias("__val"),
-    )
+    ).filter("__k IS NOT NULL AND __at IS NOT NULL")
+    known = F.col("__k").isNotNull() & F.col("__at").isNotNull()
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns if not isinstance(left.schema[c].dataType, MapType)])
     rows = left.select(
         F.col(on).alias("__k"), F.col(left_at).cast("date").alias("__at"), F.lit(1).alias("__side"),
-        F.struct(*left.columns).alias("__row"),
+        F.struct(*left.columns).alias("__row"), spread.alias("__spread"),
     )
-    both = values.unionByName(rows, allowMissingColumns=True).withColumn("__g", F.struct("__k", (F.col("__at") if unit == "day" else F.trunc("__at", unit)).alias("__chunk")))
-    upto = Window.partitionBy("__g").orderBy("__at", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    local = both.withColumn("__here", F.last("__val", ignorenulls=True).over(upto)).filter("__side = 1")
-    heads = both.groupBy("__g").agg(F.max_by("__val", F.when(F.col("__side") == 0, F.col("__at"))).alias("__last"))
+    both = values.unionByName(rows, allowMissingColumns=True)
+    day = F.col("__at") if unit == "day" else F.trunc("__at", unit)
+    both = both.withColumn("__g", F.struct("__k", day.alias("__chunk"), F.when(~known, F.col("__spread")).alias("__spread"))).drop("__spread")
+    inside = Window.partitionBy("__g").orderBy("__at", "__side")
+    local = both.withColumns({
+        "__here": F.last("__val", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)),
+        "__end": F.lead(F.lit(1)).over(inside).isNull(),
+    })
+    local = durable(local.select("__g", "__side", "__row", "__here", "__end"), "chunks")
+    # the last row of a chunk holds the newest value that the chunk has
     earlier = Window.partitionBy("__g.__k").orderBy("__g.__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = heads.select(F.col("__g").alias("__h"), F.last("__last", ignorenulls=True).over(earlier).alias("__carry"))
-    # unknown keys and dates match nothing
-    known = F.col("__k").isNotNull() & F.col("__at").isNotNull()
-    found = F.when(known, F.coalesce("__here", "__carry")).alias("__found")
-    return local.join(carry, F.col("__g") == F.col("__h"), "left").select("__row", found).select(
+    ends = local.filter(F.col("__end") & F.col("__g.__k").isNotNull() & F.col("__g.__chunk").isNotNull())
+    carry = ends.select(F.col("__g").alias("__h"), F.last("__here", ignorenulls=True).over(earlier).alias("__carry"))
+    found = F.coalesce("__here", "__carry").alias("__found")
+    return local.filter("__side = 1").join(carry, F.col("__g") == F.col("__h"), "left").select("__row", found).select(
         "__row.*", *[F.col(f"__found.{c}").alias(c) for c in columns]
     )
 

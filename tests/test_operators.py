@@ -57,6 +57,25 @@ def test_neighbours_equal_windows(spark, rows, skewed, chunk):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.parametrize("order", [["d", "i"], ["d", "s", "i"], ["d", "s", "t"], ["d", "t", "i"]])
+def test_neighbours_without_dates(spark, rows, skewed, order, monkeypatch):
+    """Most dates of the hot key are missing: the rest of the order cuts its rows, and positions stay those of one window."""
+    monkeypatch.setattr(ranking, "NULL_SPAN", 50)
+    df = skewed.withColumns({
+        "d": F.when((F.col("k") > 0) | (F.col("i") % 10 == 0), F.col("d")), "s": F.when(F.col("i") % 4 > 0, F.concat(F.lit("s"), F.col("i") % 5)),
+        "t": F.timestamp_seconds(F.col("i") * 4000),
+    })
+    got = ranking.with_neighbours(df, ["k"], order, F.col("d"), "n", {"p": "v", "pi": "i"}, {"q": "v", "qi": "i"})
+    w = Window.partitionBy("k").orderBy(*order)
+    want = df.select(
+        "*", F.row_number().over(w).alias("n"), F.lag("v").over(w).alias("p"), F.lag("i").over(w).alias("pi"),
+        F.lead("v").over(w).alias("q"), F.lead("i").over(w).alias("qi"),
+    )
+    assert rows(got) == rows(want)
+    missing = df.filter("d IS NULL AND k = 0").select(ranking.chunk_key(df, ["k"], order, F.col("d")).alias("g"))
+    assert missing.groupBy("g").count().agg(F.max("count")).first()[0] <= 60
+
+
 @pytest.mark.parametrize("tiles", [2, 4, 7])
 def test_tiles_equal_ntile(spark, rows, skewed, tiles):
     got = ranking.with_tiles(skewed, {"a": "v", "b": "i"}, "i", tiles)

@@ -106,3 +106,19 @@ def test_positions_of_a_hot_key_spread(tight):
     )
     assert "hashpartitioning(account_id" not in df._jdf.queryExecution().executedPlan().toString()
     assert df.filter("account_id = '0'").agg(F.max("seq"), F.count_distinct("seq")).first()[0] == df.filter("account_id = '0'").count()
+
+
+def test_missing_dates_of_a_hot_key_spread(tight, monkeypatch):
+    """60,000 rows of one key without a date: the input is read once, no sort aggregate, no task with more than a tenth."""
+    reads = []
+    monkeypatch.setattr(ranking, "durable", lambda df, name, keep=ranking.durable: (reads.append(df), keep(df, name))[1])
+    df = tight.range(60_000).select(F.lit("a").alias("k"), F.lit(None).cast("date").alias("d"), "id", F.rand(1).alias("v"))
+    out = ranking.with_neighbours(df, ["k"], ["d", "id"], F.col("d"), position="n", lags={"p": "id"})
+    assert len(reads) == 1 and out.filter("n = id + 1 AND coalesce(p, -1) = id - 1").count() == 60_000
+    for plan in (reads[0]._jdf.queryExecution().executedPlan().toString(), final_plan(out)):
+        assert "SortAggregate" not in plan and "Range (0, 60000" not in final_plan(out)
+    groups_ = df.select(ranking.chunk_key(df, ["k"], ["d", "id"], F.col("d")).alias("g")).groupBy("g").count()
+    assert groups_.agg(F.max("count")).first()[0] <= 10_000
+    rows_, days = out.withColumn("x", F.lit(1)), df.select("k", F.col("d").alias("at")).limit(1)
+    found = ranking.asof_join(rows_, days, "k", "d", "at", ["at"])
+    assert found.filter("at IS NULL").count() == 60_000 and "SortAggregate" not in final_plan(found)
