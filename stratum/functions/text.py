@@ -79,8 +79,12 @@ def clean_message(column: Column | str) -> Column:
 
 def compose(subject: Column | str, body: Column | str) -> Column:
     """``subject. cleaned body``."""
+    return compose_cleaned(subject, clean_message(body))
+
+
+def compose_cleaned(subject: Column | str, cleaned: Column | str) -> Column:
     head = _c(subject)
-    return F.trim(F.concat(F.when(head.isNotNull(), F.concat(head, F.lit(". "))).otherwise(""), clean_message(body)))
+    return F.trim(F.concat(F.when(head.isNotNull(), F.concat(head, F.lit(". "))).otherwise(""), _c(cleaned)))
 
 
 def _slots(text: Column) -> Column:
@@ -97,7 +101,11 @@ def subject_template(column: Column | str) -> Column:
 
 
 def body_template(column: Column | str) -> Column:
-    return _slots(F.lower(clean_message(column)))
+    return template_of_cleaned(clean_message(column))
+
+
+def template_of_cleaned(cleaned: Column | str) -> Column:
+    return _slots(F.lower(_c(cleaned)))
 
 
 def token_count(column: Column | str) -> Column:

@@ -1,7 +1,9 @@
 """Group facts attached to detail rows.
 
 Aggregate-then-join instead of a window: the aggregate combines map-side and AQE splits a hot key in the
-join, while a window would pull the whole group into one task.
+join, while a window would pull the whole group into one task. The aggregate is written first, so the join is planned
+on its true size: Spark broadcasts it below its threshold and the detail is not shuffled at all, beyond it both sides are
+shuffled and hot keys are split.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import durable
+
 
 def join_on(left: Sequence[str], right: Sequence[str], null_safe: bool = False) -> Column:
     """Equality of two lists of (distinctly named) columns."""
@@ -49,9 +53,9 @@ def with_group(
     """
     members = df if where is None else df.filter(where)
     side_keys = [f"__g{i}" for i in range(len(keys))]
-    side = members.groupBy(*[F.col(k).alias(s) for k, s in zip(keys, side_keys)]).agg(
+    side = durable(members.groupBy(*[F.col(k).alias(s) for k, s in zip(keys, side_keys)]).agg(
         *[a.alias(n) for n, a in aggregates.items()]
-    )
+    ), "groups")
     on = join_on(keys, side_keys, null_safe=True) if null_safe else splittable(keys, side_keys, ",".join(aggregates))
     return df.join(side, on, "left").drop(*side_keys)
 

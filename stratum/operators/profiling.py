@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
+from ..session import durable
 from .groups import with_group_count
 
 
@@ -59,17 +61,20 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Exact distinct and null counts of every column.
 
-    Columns are unpivoted to narrow (column, value) rows that combine map-side; a wide table or a hot value
-    costs no more than its distinct values.
+    Each column is an aggregate of its own: values are hashed in their own type and combined map-side, then counted. A
+    columnar scan reads one column per aggregate, together the table once; no row per cell is ever made. Give a stored
+    table (``session.durable`` of a costly plan).
     """
-    names = list(columns or df.columns)
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in names])
-    values = df.select(F.inline(pairs)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    return values.groupBy("column_name").agg(
-        F.count("value").alias("distinct_values"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-        F.sum("n").alias("row_count"),
-    )
+    lines = []
+    for name in columns or df.columns:
+        kind = df.schema[name].dataType
+        value = F.to_json(name) if isinstance(kind, MapType) else F.col(name)
+        counted = df.select(value.alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        lines.append(counted.agg(
+            F.count("value").alias("distinct_values"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+        ).select(F.lit(name).alias("column_name"), "*"))
+    return reduce(DataFrame.unionByName, lines)
 
 
 def candidate_keys(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
@@ -134,7 +139,8 @@ def coverage_grid(df: DataFrame, date: str, name: str) -> DataFrame:
 
 def flag_incomplete_years(df: DataFrame, date: str, full_year: int = 12) -> DataFrame:
     """Add ``data_quality_flag``: ``incomplete_year`` on rows of years with missing months."""
-    years = coverage({"t": (df, date)}, full_year).select(F.col("year").alias("__y"), "is_complete")
+    # a row per year: written, so that Spark knows how small it is and leaves the table where it is
+    years = durable(coverage({"t": (df, date)}, full_year).select(F.col("year").alias("__y"), "is_complete"), "years")
     flag = F.when(F.col("is_complete"), "complete").when(F.col("is_complete").isNull(), "undated")
     return (
         df.join(years, F.year(date) == F.col("__y"), "left")

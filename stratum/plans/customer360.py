@@ -44,42 +44,58 @@ def account_facts(accounts: DataFrame, customer: str = "customer_id") -> DataFra
     )
 
 
-def regular(months: Column | str) -> Column:
-    """True when an array of month numbers holds ``REGULAR_MONTHS`` consecutive ones."""
-    array = F.col(months) if isinstance(months, str) else months
-    return F.exists(array, lambda m: bands.all_of([F.array_contains(array, m + k) for k in range(1, REGULAR_MONTHS)]))
-
-
 def activity(transactions: DataFrame, as_of: Column, customer: str = "customer_id") -> DataFrame:
     """Activity and salary facts of completed transactions.
 
-    Columns read: customer, transaction_date, channel, amount_abs, is_salary_candidate. One aggregate that
-    combines map-side; its buffers hold distinct days, months and channels, so they are bounded by the calendar
-    however many rows a customer has. A salary is regular with three consecutive months and has stopped when it
-    was regular and the last two months before ``as_of`` have none.
+    Columns read: customer, transaction_date, channel, amount_abs, is_salary_candidate. The rows are read once, into cells
+    of (customer, month, channel) with a bitmap of days; everything else is hash aggregates of cells with buffers of fixed
+    size: days by bits, months by cells, three consecutive paid months by votes for their first one, and the preferred
+    channel by the maximum of count and rank in one number. A salary is regular with three consecutive months and has
+    stopped when it was regular and the last two months before ``as_of`` have none.
     """
     day = F.col("transaction_date")
-    paid = F.when(F.col("is_salary_candidate"), calendar.month_index(day))
-    facts = transactions.groupBy(customer).agg(
-        F.count(F.lit(1)).alias("transactions"), F.round(F.sum("amount_abs"), 2).alias("volume"),
-        F.min(day).alias("first_day"), F.max(day).alias("last_day_of_transactions"),
-        F.collect_set(day).alias("days"), F.collect_set(paid).alias("paid_months"),
-        F.mode("channel", True).alias("most_preferred_channel"),
-    ).withColumns({
-        "number_of_active_months": F.size(F.array_distinct(F.transform("days", lambda d: F.trunc(d, "month")))),
-        "days": F.size("days"),
-        "is_on_regular_salary": regular("paid_months").cast("int"),
-    })
+    cells = durable(transactions.groupBy(customer, calendar.month_index(day).alias("month"), "channel").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount_abs").alias("volume"), F.min(day).alias("first_day"), F.max(day).alias("last_day"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1), F.dayofmonth(day) - 1)).alias("day_bits"),
+        F.max(F.col("is_salary_candidate").cast("int")).alias("paid"),
+    ), "cells")
+    months = cells.groupBy(customer, "month").agg(
+        F.sum("n").alias("n"), F.sum("volume").alias("volume"), F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"),
+        F.bit_or("day_bits").alias("day_bits"), F.max("paid").alias("paid"),
+    ).select(
+        customer, "n", "volume", "first_day", "last_day", F.bit_count("day_bits").alias("days"),
+        F.when(F.col("month").isNotNull(), 1).alias("months"), F.when(F.col("paid") == 1, F.col("month")).alias("paid_month"),
+    )
+    # a paid month votes for itself and the months before it; a month with all votes begins a regular salary
+    starts = F.array(*[F.col("month") - k for k in range(REGULAR_MONTHS)])
+    paid = cells.filter("paid = 1 AND month IS NOT NULL").select(customer, "month").distinct()
+    votes = paid.select(customer, F.explode(starts).alias("start")).groupBy(customer, "start").count()
+    steady = votes.filter(F.col("count") == REGULAR_MONTHS).select(customer, F.lit(1).alias("regular"))
+    # channels by falling name: a higher rank is an earlier name, so that the larger number wins a tie
+    names = [r[0] for r in cells.select("channel").distinct().orderBy(F.desc("channel")).collect() if r[0] is not None]  # a handful
+    rank = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("channel")) - 1 if names else F.lit(0).cast("long")
+    used = cells.filter("channel IS NOT NULL").groupBy(customer, rank.alias("rank")).agg(F.sum("n").alias("uses"))
+    used = used.select(customer, (F.col("uses") * len(names) + F.col("rank")).alias("best"))
+
+    parts = months.unionByName(steady, allowMissingColumns=True).unionByName(used, allowMissingColumns=True)
+    facts = parts.groupBy(customer).agg(
+        F.sum("n").alias("transactions"), F.round(F.sum("volume"), 2).alias("volume"), F.min("first_day").alias("first_day"),
+        F.max("last_day").alias("last_day_of_transactions"), F.sum("days").alias("days"),
+        F.coalesce(F.sum("months"), F.lit(0)).cast("int").alias("number_of_active_months"), F.max("paid_month").alias("last_paid"),
+        F.coalesce(F.max("regular"), F.lit(0)).alias("is_on_regular_salary"), F.max("best").alias("best"),
+    )
     span = F.datediff("last_day_of_transactions", "first_day")
-    silent = F.array_max("paid_months") < calendar.month_index(as_of) - STOPPED_MONTHS
+    silent = F.col("last_paid") < calendar.month_index(as_of) - STOPPED_MONTHS
+    place = (F.col("best") % max(len(names), 1) + 1).cast("int")
+    channel = F.element_at(F.array(*[F.lit(n) for n in names]), place) if names else F.lit(None).cast("string")
     return facts.select(
         customer, "number_of_active_months",
-        (F.col("transactions") / F.col("number_of_active_months")).alias("transactions_frequency"),
+        (F.col("transactions") / F.nullif("number_of_active_months", F.lit(0))).alias("transactions_frequency"),
         "last_day_of_transactions",
         F.when(F.col("days") > 1, F.floor(span / (F.col("days") - 1))).cast("int").alias("average_days_between_transactions"),
         (F.col("volume") / F.col("transactions")).alias("average_transaction_volume"),
-        "most_preferred_channel", "is_on_regular_salary",
-        ((F.col("is_on_regular_salary") == 1) & silent).cast("int").alias("has_salary_stopped"),
+        channel.alias("most_preferred_channel"), "is_on_regular_salary",
+        ((F.col("is_on_regular_salary") == 1) & F.coalesce(silent, F.lit(False))).cast("int").alias("has_salary_stopped"),
     )
 
 

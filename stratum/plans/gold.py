@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import RunContext
 from ..operators import control
 from ..operators.upsert import require_unique
+from ..session import released
 from ..sources import tables
 
 AUDIT = "gold_audit_log"
@@ -70,8 +71,9 @@ def run_gold(
         if not audited(spark, log, table, ctx.batch_id):
             facts = {"rows_read": None, "rows_inserted": None, "rows_expired": None}
             if not tables.is_published(spark, place, ctx.batch_id):
-                rows, read = tables.counted(build(ready), table.name)
-                facts = {"rows_read": read, **publish_table(table, rows, read, root, ctx)}
+                with released(spark):
+                    rows, read = tables.counted(build(ready), table.name)
+                    facts = {"rows_read": read, **publish_table(table, rows, read, root, ctx)}
             end = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
             row = {
                 "pipeline_name": pipeline, "batch_id": ctx.batch_id, "source_table": table.source, "target_table": table.name,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import RunContext
 from ..operators import control
-from ..session import durable
+from ..session import durable, released
 from ..sources import tables
 
 WATERMARK, AUDIT = "batch_watermark", "silver_audit_log"
@@ -72,15 +72,16 @@ def run_silver(
     if tables.is_published(spark, root, ctx.batch_id):  # the run died between publication and mark
         counts = {"inserted": None, "updated": None}
     else:
-        if group:
-            upto = bronze.filter(F.col(watermark) <= F.lit(found["mark"]))
-            source, touched = affected(upto, increment, keys, group)
-            built = build(source, ctx)
-            built = built.join(touched, [F.col(g).eqNullSafe(F.col(f"__t_{g}")) for g in group], "left_semi")
-        else:
-            built = build(increment, ctx)
-        kept = [c for c in preserve if c in built.columns]
-        counts = tables.merge_table(built, root, keys, ctx.batch_id, kept, {c: v for c, v in touch.items() if c in built.columns})
+        with released(spark):
+            if group:
+                upto = bronze.filter(F.col(watermark) <= F.lit(found["mark"]))
+                source, touched = affected(upto, increment, keys, group)
+                built = build(source, ctx)
+                built = built.join(touched, [F.col(g).eqNullSafe(F.col(f"__t_{g}")) for g in group], "left_semi")
+            else:
+                built = build(increment, ctx)
+            kept = [c for c in preserve if c in built.columns]
+            counts = tables.merge_table(built, root, keys, ctx.batch_id, kept, {c: v for c, v in touch.items() if c in built.columns})
     facts = {
         "pipeline_name": pipeline, "source_table": pipeline, "watermark_column": watermark, "watermark_value": found["mark"],
         "batch_id": ctx.batch_id, "rows_processed": found["n"], "rows_inserted": counts["inserted"],

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Folders written by ``durable`` in the scopes that are open, innermost last.
+_scopes: list[list[str]] = []
 
 
 def local_session(app: str = "stratum", cores: str = "*", **conf: str) -> SparkSession:
@@ -48,12 +52,42 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def step_path(spark: SparkSession, name: str) -> str:
+    """A fresh path that the innermost open scope (``released``) will delete."""
+    path = fresh_path(spark, name)
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
 def durable(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Needed where later steps must see one fixed evaluation (partition ids, file listings) even if
     executors are lost and tasks run again. Reading Parquet back also keeps column pruning.
     """
-    path = fresh_path(df.sparkSession, name)
+    path = step_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared storage."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Written steps of the block are deleted at its end.
+
+    For blocks that end with a published result: frames built inside must not be read after it.
+    """
+    steps: list[str] = []
+    _scopes.append(steps)
+    try:
+        yield
+    finally:
+        _scopes.remove(steps)
+        for path in steps:
+            delete(spark, path)

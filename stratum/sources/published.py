@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.scd2 import CURRENT, scd2_apply, scd2_init, version_changes
 from ..operators.upsert import STATE, require_unique, upsert
-from ..session import durable, fresh_path
+from ..session import durable, step_path
 
 LOG_SCHEMA = (
     "batch_id string, path string, published timestamp, bucket int, buckets int, table_rows bigint, table_schema string"
@@ -148,7 +148,7 @@ def write_counted(df: DataFrame, path: str, metrics: Mapping[str, Column], drop:
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """``df`` written to the shared folder and read back, and its number of rows, counted by that write."""
-    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    spark, path = df.sparkSession, step_path(df.sparkSession, name)
     rows = write_counted(df, path, {})["rows"]
     return spark.read.schema(df.schema).parquet(path), rows
 

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.operators import groups, integrity, ranking, scd2
-from stratum.plans import fact, summaries
+from stratum.operators import groups, integrity, profiling, ranking, scd2
+from stratum.plans import customer360, fact, summaries
+from stratum.session import durable, released
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -122,3 +123,57 @@ def test_missing_dates_of_a_hot_key_spread(tight, monkeypatch):
     rows_, days = out.withColumn("x", F.lit(1)), df.select("k", F.col("d").alias("at")).limit(1)
     found = ranking.asof_join(rows_, days, "k", "d", "at", ["at"])
     assert found.filter("at IS NULL").count() == 60_000 and "SortAggregate" not in final_plan(found)
+
+
+def test_few_groups_leave_the_detail_in_place(spark):
+    """Five groups: their written aggregate is broadcast by its size, the detail is not exchanged."""
+    rows = hot(spark).withColumn("branch", F.col("transaction_id") % 5)
+    for df in (groups.with_group_count(rows, ["branch"], "n"), summaries.anomalies(rows, ["branch"], "amount")):
+        plan = final_plan(df)
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and df.count() == 60_000
+    flagged = profiling.flag_incomplete_years(rows, "transaction_date")
+    assert "hashpartitioning" not in final_plan(flagged) and flagged.count() == 60_000
+
+
+def test_many_groups_still_split(tight):
+    """A group per row beside the hot one: both sides are shuffled and the hot key is split."""
+    rows = hot(tight).withColumn("account_id", F.when(F.col("transaction_id") % 3 == 0, "0").otherwise(F.col("transaction_id").cast("string")))
+    df = groups.with_group_count(rows, ["account_id"], "n")
+    assert "skew=true" in final_plan(df) and df.filter("n = 20000").count() == 20_000
+
+
+def test_column_profile_makes_no_row_per_cell(spark, rows):
+    df = spark.createDataFrame([(1, "a", 0.5, {"x": 1}), (1, None, -0.0, None), (None, "a", 0.0, {"x": 1})], "i int, s string, d double, m map<string, int>")
+    profile = profiling.column_profile(df)
+    assert "Generate" not in final_plan(profile)
+    assert rows(profile) == [("d", 2, 0, 3), ("i", 1, 1, 3), ("m", 1, 1, 3), ("s", 1, 1, 3)]
+    assert rows(profiling.column_profile(df.limit(0), ["i"])) == [("i", 0, 0, 0)]
+
+
+def test_activity_aggregates_by_hash(spark):
+    rows = hot(spark).select(
+        F.col("account_id").alias("customer_id"), "transaction_date", (F.col("transaction_id") % 3).cast("string").alias("channel"),
+        F.col("amount").alias("amount_abs"), F.col("is_debit").alias("is_salary_candidate"),
+    )
+    out = customer360.activity(rows, F.lit("2024-12-31").cast("date"))
+    plan = final_plan(out)
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan and "collect_set" not in plan
+    one = out.filter("customer_id = '0'").first()
+    want = rows.filter("customer_id = '0'").agg(
+        F.count_distinct(F.trunc("transaction_date", "month")), F.max("transaction_date"), F.round(F.avg("amount_abs"), 6), F.mode("channel", True),
+    ).first()
+    assert (one["number_of_active_months"], one["last_day_of_transactions"], round(one["average_transaction_volume"], 6), one["most_preferred_channel"]) == tuple(want)
+    assert one["is_on_regular_salary"] == 1
+
+
+def test_released_steps_are_gone(spark):
+    import os
+
+    with released(spark):
+        kept = durable(spark.range(5), "step")
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        with released(spark):
+            inner = durable(spark.range(3), "step")
+            deeper = inner.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.exists(folder) and not os.path.exists(deeper)
+    assert not os.path.exists(folder)
