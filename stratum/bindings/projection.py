@@ -18,8 +18,12 @@ RAW_SPEC = {
 
 
 def raw_orders(spark, sf):
-    """Orders as a landing file would bring them: all text, padded, with words where numbers should be."""
-    o = table(spark, sf, "orders")
+    """Orders as a landing file would bring them: all text, padded, with words where numbers should be.
+
+    The table is one row group, so one task would read it and cast it too: the rows are dealt out first.
+    """
+    columns = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_custkey"]
+    o = table(spark, sf, "orders").select(*columns).repartition("o_orderkey")
     return o.select(
         F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions import vectors
-from ..plans import topics
+from ..plans import clustering, topics
+from ..session import durable
 from .registry import query, table
 from .text import messages
 
@@ -45,13 +48,6 @@ def _(spark, sf):
     )
 
 
-@query("classify_new", f"""SELECT vec_id, CAST(topic AS BIGINT) AS topic, confidence < 0.5 AS needs_review FROM {SCORED_SQL}""")
-def _(spark, sf):
-    rows = table(spark, sf, "embeddings")
-    centroids = topics.collect_centroids(topics.mean_centroids(rows, "label", "embedding"))
-    return topics.score_centroids(rows, "embedding", centroids, 0.5, margin_min=None).select("vec_id", "topic", "needs_review")
-
-
 @query("medoid", f"""SELECT CAST(topic AS BIGINT) AS topic, arg_min(vec_id, (-confidence, vec_id)) AS medoid, round(max(confidence), 6) AS medoid_confidence, count(*) AS members FROM {SCORED_SQL} GROUP BY 1""")
 def _(spark, sf):
     return topics.medoids(scored(spark, sf), "vec_id").withColumn("medoid_confidence", F.round("medoid_confidence", 6))
@@ -86,6 +82,19 @@ def _(spark, sf):
     return topics.topic_summary(full, "subject", "body", "message_id").withColumn("avg_confidence", F.round("avg_confidence", 6))
 
 
+@query("classify_new", f"""WITH r AS {TOPIC_ROWS_SQL}, k AS (SELECT topic, subject, count(*) AS n FROM r WHERE trim(subject) <> '' GROUP BY ALL),
+tp AS (SELECT topic, arg_min(subject, (-n, subject)) AS label FROM k GROUP BY 1), sm AS (SELECT topic, arg_min(body, (-confidence, message_id)) AS summary FROM r GROUP BY 1)
+SELECT message_id, CAST(topic AS BIGINT) AS topic, coalesce(tp.label, concat('requirement ', topic)) AS topic_label, summary AS request_summary,
+round(confidence, 6) AS confidence, confidence < 0.5 AS needs_review FROM r LEFT JOIN tp USING (topic) LEFT JOIN sm USING (topic)""")
+def _(spark, sf):
+    """Every message once more as a new one, against the topics and their summary."""
+    rows = table(spark, sf, "embeddings")
+    centroids = topics.collect_centroids(topics.mean_centroids(rows, "label", "embedding"))
+    summary = topics.topic_summary(as_messages(spark, sf), "subject", "body", "message_id")
+    out = topics.classify(rows.withColumnRenamed("vec_id", "message_id"), "embedding", centroids, summary, 0.5)
+    return out.select("message_id", "topic", "topic_label", "request_summary", F.round("confidence", 6).alias("confidence"), "needs_review")
+
+
 @query("topic_assignments", f"""WITH r AS {TOPIC_ROWS_SQL}, k AS (SELECT topic, subject, count(*) AS n FROM r WHERE trim(subject) <> '' GROUP BY ALL),
 tp AS (SELECT topic, arg_min(subject, (-n, subject)) AS label FROM k GROUP BY 1)
 SELECT message_id, subject, concat('Body of group ', r.label % 4, '.', chr(10), 'Please see line ', length(message_id::VARCHAR)) AS body, subject AS subject_norm, CAST(r.topic AS BIGINT) AS topic, coalesce(tp.label, concat('requirement ', r.topic)) AS topic_label,
@@ -99,6 +108,45 @@ def _(spark, sf):
     return topics.assignments(full, summary).withColumn("confidence", F.round("confidence", 6))
 
 
+UNITS_SQL = """(SELECT vec_id, label, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v
+FROM (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings))"""
+
+
+@query("silhouette", f"""WITH c AS {CENTROIDS_SQL},
+a AS (SELECT vec_id, v, arg_max(topic, list_dot_product(v, centroid) / sqrt(list_dot_product(centroid, centroid))) AS own FROM {UNITS_SQL} CROSS JOIN c GROUP BY vec_id, v),
+s AS (SELECT own AS topic, max(n) AS n, list(x ORDER BY i) AS total FROM (SELECT own, i, sum(x) AS x, count(*) AS n FROM
+  (SELECT own, unnest(v) AS x, unnest(range(len(v))) AS i FROM a) GROUP BY ALL) GROUP BY 1),
+d AS (SELECT vec_id, own, topic, n, 1 - list_dot_product(v, total) / n AS away FROM a CROSS JOIN s),
+p AS (SELECT vec_id, max(CASE WHEN own = topic THEN n END) AS n, max(CASE WHEN own = topic THEN away * n / greatest(n - 1, 1) END) AS mine, min(CASE WHEN own <> topic THEN away END) AS other FROM d GROUP BY 1)
+SELECT count(*) AS row_count, (SELECT count(*) FROM s) AS topics, round(avg(CASE WHEN n > 1 THEN (other - mine) / greatest(other, mine) ELSE 0 END), 6) AS silhouette FROM p""")
+def _(spark, sf):
+    """The silhouette of fixed centroids, by the scan that judges all models."""
+    rows = table(spark, sf, "embeddings")
+    centroids = topics.collect_centroids(topics.mean_centroids(rows, "label", "embedding"))
+    data = durable(topics.unit_vectors(rows, "embedding").select(vector_to_array("unit").alias("v")), "vectors")
+    matrix = clustering.unit(np.array([c for _, c in centroids]))
+    score = clustering.silhouettes(data, {0: matrix})[0]
+    members = clustering.centroid_sums(data, matrix, [len(matrix)])
+    return spark.range(1).select(
+        F.lit(sum(m[1] for m in members.values())).cast("bigint").alias("row_count"), F.lit(len(members)).cast("bigint").alias("topics"),
+        F.lit(round(score, 6)).alias("silhouette"),
+    )
+
+
+@query("kmeans_members", """SELECT count(*) AS row_count, 17::BIGINT AS models, 10::BIGINT AS starts FROM embeddings""")
+def _(spark, sf):
+    """Every model of the search assigns every vector to one centroid."""
+    data = durable(topics.unit_vectors(table(spark, sf, "embeddings"), "embedding").select(vector_to_array("unit").alias("v")), "vectors")
+    ks = range(topics.K_MIN, topics.K_MAX + 1)
+    fitted = clustering.fit_all(data, ks, topics.STARTS, topics.SEED, rounds=2)
+    best = [min((fitted[k, s] for s in range(topics.STARTS)), key=lambda m: m.cost) for k in ks]
+    ends = np.cumsum([len(m.centres) for m in best]).tolist()
+    sums = clustering.centroid_sums(data, np.concatenate([m.centres for m in best]), ends)
+    sizes = {sum(sums[c][1] for c in range(a, b) if c in sums) for a, b in zip([0, *ends[:-1]], ends)}
+    rows = spark.createDataFrame([(int(n),) for n in sizes], "row_count bigint")
+    return rows.select("row_count", F.lit(len(best)).cast("bigint").alias("models"), F.lit(len(fitted) // len(ks)).cast("bigint").alias("starts"))
+
+
 @query("kmeans_silhouette")
 def _(spark, sf):
     """Iterative and seeded: no SQL equivalent."""
@@ -125,8 +173,6 @@ def _(spark, sf):
 @query("hashed_vectors")
 def _(spark, sf):
     """Term weights over hashed tokens: no SQL equivalent."""
-    from pyspark.ml.functions import vector_to_array
-
     rows = topics.prepare(messages(spark, sf)).select("message_id", "clean_text")
     weighted = topics.hashed_vectors(rows, "clean_text")
     return weighted.select("message_id", F.round(vectors.norm(vector_to_array("features")), 4).alias("length"))

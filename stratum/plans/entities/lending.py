@@ -38,6 +38,8 @@ CASE_SPEC = kinds(
 
 # fixed values: status names, buckets and stage risks
 LOAN_STATUSES = {"Booked": "Disbursed", "Declined": "Rejected", "Withdrawn": "Withdrawn"}
+BOOKED, UNSECURED, INCOMING = "Booked", "none", "incoming_participation"
+LOAN_REFERENCES = {"has_internal_loan": "loan_id", "is_external_loan": "external_loan_reference"}
 FULLY_GRANTED_SHARE = 0.99
 SHARE_EDGES, SHARE_LABELS = (25, 50, 75), ("Low", "Medium", "High", "Major")
 ARREARS_EDGES, ARREARS_LABELS = (1_000, 5_000, 10_000), ("<1k", "1k-5k", "5k-10k", "10k+")
@@ -60,44 +62,66 @@ def participation_bucket(pct: Column | str) -> Column:
     return bands.band(pct, SHARE_EDGES, SHARE_LABELS, null_label=SHARE_LABELS[-1])
 
 
-#: derived column -> rule over the typed columns; ``{..}`` are filled from the fixed values above
-LOAN_RULES = {
-    "application_month": "month(application_date)",
-    "application_year": "year(application_date)",
-    "days_to_decision": "datediff(decision_at, application_date)",
-    "discretionary_income": "greatest(discretionary_income, 0D)",  # never negative; unknown counts as none
-    "is_booked": "workflow_state = 'Booked'",
-    "is_disbursed": "disbursed_at IS NOT NULL",
-    "is_fully_granted": "amount_granted >= requested_amount * {granted}D",
-    "loan_to_value_ratio": "CASE WHEN collateral_type <> 'none' THEN loan_to_value_ratio END",
-}
-PARTICIPATION_RULES = {
-    "has_internal_loan": "loan_id IS NOT NULL",
-    "is_active": "status = 'active'",
-    "is_external_loan": "external_loan_reference IS NOT NULL",
-    "is_incoming_participation": "participation_direction = 'incoming_participation'",
-    "participation_age_days": "datediff(DATE '{today}', effective_date)",
-    "participation_source": "if(participation_direction <=> 'incoming_participation', 'External', 'Internal')",
-    "retained_amount": "participation_amount * retained_pct / 100.0D",
-}
+def at_least_zero(amount: str) -> Column:
+    """Never negative; an unknown amount counts as none."""
+    return F.greatest(F.col(amount), F.lit(0.0))
+
+
+def calendar_parts(day: str, prefix: str) -> dict[str, Column]:
+    return {f"{prefix}_{part.__name__}": part(day) for part in (F.year, F.month)}
+
 
+def loan_progress() -> dict[str, Column]:
+    """How far an application has come: its status by name, and flags for its milestones."""
+    state, asked = F.col("workflow_state"), F.col("requested_amount")
+    status = bands.map_lookup(state, LOAN_STATUSES, "Unknown")
+    return {
+        "loan_status": status,
+        "is_booked": state == BOOKED,
+        "is_rejected": status == LOAN_STATUSES["Declined"],
+        "is_disbursed": F.col("disbursed_at").isNotNull(),
+        "is_fully_granted": F.col("amount_granted") >= asked * FULLY_GRANTED_SHARE,
+        "days_to_decision": F.datediff("decision_at", "application_date"),
+    }
 
-def ruled(df: DataFrame, rules: dict[str, str], **values: object) -> DataFrame:
-    """All rules of a table at once, over the columns as they came."""
-    return df.withColumns({name: F.expr(rule.format(**values)) for name, rule in rules.items()})
+
+def loan_risk() -> dict[str, Column]:
+    """Income and collateral as the risk models take them: a ratio only means something with collateral."""
+    return {
+        "discretionary_income": at_least_zero("discretionary_income"),
+        "loan_to_value_ratio": F.when(F.col("collateral_type") != UNSECURED, F.col("loan_to_value_ratio")),
+    }
 
 
 def loans(bronze: DataFrame, ctx: RunContext) -> DataFrame:
-    newest = latest_by(bronze, ["loan_id"], ["_ingest_timestamp"])
-    rows = ruled(project(newest, LOAN_SPEC, keep=BRONZE_META), LOAN_RULES, granted=FULLY_GRANTED_SHARE)
-    rows = rows.withColumn("loan_status", bands.map_lookup("workflow_state", LOAN_STATUSES, "Unknown"))
-    return silver_meta(rows.withColumn("is_rejected", F.col("loan_status") == "Rejected"), "bronze_loans", ctx)
+    rows = project(latest_by(bronze, ["loan_id"], ["_ingest_timestamp"]), LOAN_SPEC, keep=BRONZE_META)
+    derived = {**loan_progress(), **loan_risk(), **calendar_parts("application_date", "application")}
+    return silver_meta(rows.withColumns(derived), "bronze_loans", ctx)
+
+
+def participation_side() -> dict[str, Column]:
+    """Which bank the loan comes from, as the direction tells and as the references to it show."""
+    incoming = F.col("participation_direction") == INCOMING
+    return {
+        "is_incoming_participation": incoming,
+        "participation_source": F.when(incoming, "External").otherwise("Internal"),
+        **{flag: F.col(reference).isNotNull() for flag, reference in LOAN_REFERENCES.items()},
+    }
+
+
+def participation_share(today: Column) -> dict[str, Column]:
+    """Size, kept part and age of the share."""
+    return {
+        "participation_bucket": participation_bucket("participation_pct"),
+        "retained_amount": F.col("participation_amount") * F.col("retained_pct") / 100.0,
+        "participation_age_days": F.datediff(today, "effective_date"),
+        "is_active": F.col("status") == "active",
+    }
 
 
 def loan_participations(bronze: DataFrame, ctx: RunContext) -> DataFrame:
-    newest = latest_by(bronze, ["participation_id"], ["_ingest_timestamp"])
-    rows = ruled(project(newest, PARTICIPATION_SPEC, keep=BRONZE_META), PARTICIPATION_RULES, today=ctx.as_of.isoformat())
-    rows = rows.withColumn("participation_bucket", participation_bucket("participation_pct"))
+    rows = project(latest_by(bronze, ["participation_id"], ["_ingest_timestamp"]), PARTICIPATION_SPEC, keep=BRONZE_META)
+    rows = rows.withColumns({**participation_side(), **participation_share(F.lit(ctx.as_of))})
     return silver_meta(rows, "bronze_loan_participations", ctx)
 
 

@@ -11,8 +11,6 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -23,6 +21,7 @@ from ..functions import text
 from ..operators.dedup import latest_by
 from ..operators.groups import with_group_count
 from ..session import durable
+from . import clustering
 
 # fixed values: thresholds and sizes of the topic report
 COMMON_MIN = 5
@@ -97,18 +96,28 @@ def choose_k(vectors: DataFrame, features: str = "unit", k_min: int = K_MIN, k_m
     """(model, silhouette scores): spherical K-Means with the best cosine silhouette, for each K the cheapest of several
     starts. K stays below the number of rows.
 
-    The vectors are written once to the shared folder; all fits read that copy.
+    The vectors are written once; every round of all models together reads that copy once, see :mod:`clustering`.
     """
-    data = durable(vectors.select(features), "vectors")
-    judge = ClusteringEvaluator(featuresCol=features, predictionCol="topic", distanceMeasure="cosine")
-    best, scores = None, {}
-    for k in range(k_min, min(k_max, data.count() - 1) + 1):
-        fits = [KMeans(featuresCol=features, predictionCol="topic", k=k, seed=seed + i, distanceMeasure="cosine").fit(data) for i in range(starts)]
-        model = min(fits, key=lambda m: m.summary.trainingCost)
-        scores[k] = judge.evaluate(model.transform(data))
-        if best is None or scores[k] > scores[best[0]]:
-            best = (k, model)
-    return best[1], scores
+    data = durable(vectors.select(vector_to_array(features).alias("v")), "vectors")
+    ks = range(k_min, min(k_max, data.count() - 1) + 1)
+    fitted = clustering.fit_all(data, ks, starts, seed)
+    best = {k: min((fitted[k, s] for s in range(starts)), key=lambda m: m.cost) for k in ks}
+    scores = clustering.silhouettes(data, {k: m.centres for k, m in best.items()})
+    return best[max(ks, key=lambda k: (scores[k], -k))], scores
+
+
+def classify(
+    new: DataFrame, column: str, centroids: Sequence[tuple[int, Sequence[float]]], summary: DataFrame, confidence_min: float = CONFIDENCE_MIN,
+) -> DataFrame:
+    """New messages with ``topic``, its ``topic_label`` and ``request_summary`` (empty where the topic has none), ``confidence``
+    and ``needs_review``, which looks at the confidence alone.
+
+    ``summary`` is :func:`topic_summary` of the messages the topics were found in: a row per topic, joined by its size.
+    """
+    known = durable(summary.select(F.col("topic").alias("__t"), "topic_label", "request_summary"), "topic-names")
+    scored = score_centroids(new, column, centroids, confidence_min, margin_min=None).drop("margin")
+    named = scored.join(known, F.col("topic") == F.col("__t"), "left").drop("__t")
+    return named.withColumns({c: F.coalesce(c, F.lit("")) for c in ("topic_label", "request_summary")})
 
 
 def model_centroids(model) -> list[tuple[int, list[float]]]:
@@ -273,10 +282,11 @@ def topic_summary(scored: DataFrame, subject: str, body: str, id_col: str, commo
     )
 
 
+# fixed values: published columns of the assignments
 ASSIGNMENT_COLUMNS = (
-    "message_id subject body subject_norm subject_count subject_is_common body_template_count body_is_common topic "
-    "topic_label confidence needs_review"
-).split()
+    "message_id", "subject", "body", "subject_norm", "subject_count", "subject_is_common", "body_template_count", "body_is_common",
+    "topic", "topic_label", "confidence", "needs_review",
+)
 
 
 def assignments(scored: DataFrame, summary: DataFrame) -> DataFrame:

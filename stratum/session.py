@@ -71,6 +71,13 @@ def durable(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Like ``durable``, but no scope deletes it: for the result that leaves a ``released`` block."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder of the shared storage."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
