@@ -290,6 +290,27 @@ def _(spark, sf):
     )
 
 
+@query("stream_evolve", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CASE WHEN year(o_orderdate) < 2000 THEN o_orderpriority END AS o_orderpriority,
+CAST(year(o_orderdate) AS VARCHAR) AS year FROM orders""")
+def _(spark, sf):
+    """Two runs: first the years without a priority, by a schema of two columns; the others bring the column, which the log
+    adds, and keys as text, which keep the log's type."""
+    from ..streaming import schema_log
+
+    root, src = landing(spark, sf, "parquet"), fresh_path(spark, "arrivals")
+    dst, marks, log = (fresh_path(spark, n) for n in ("stream", "marks", "schema-log"))
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    fs = hadoop.Path(root).getFileSystem(conf)
+    fs.mkdirs(hadoop.Path(src))
+    for arrive in (lambda y: y >= 2000, lambda y: y < 2000):
+        for status in fs.listStatus(hadoop.Path(root)):
+            if arrive(int(status.getPath().getName())):
+                fs.rename(status.getPath(), hadoop.Path(f"{src}/{status.getPath().getName()}"))
+        schema_log.ingest_evolving(spark, src, dst, marks, log, "b1", "o_orderkey bigint, o_custkey bigint").awaitTermination()
+    rows = schema_log.read_evolved(spark, dst, log)
+    return rows.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "year")
+
+
 @query("stream_json", """SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, count(*) + count(*) FILTER (WHERE o_orderstatus = 'P') AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS keys,
 count(*) FILTER (WHERE o_orderstatus = 'P') AS corrupt FROM orders GROUP BY ALL""")
 def _(spark, sf):

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.keys import steady_avg, steady_sum
-from ..operators import profiling, quality
+from ..operators import profiling, quality, sketches
 from ..operators.quality import Rule
 from ..plans import entities, summaries
 from ..plans.dims import date_dim_for
 from ..plans.entities import engagement
+from ..session import fresh_path
+from ..sources import tables
 from . import views
 from .registry import documents, query, table
 
@@ -248,3 +250,26 @@ def _(spark, sf):
 count(*) FILTER (WHERE value > 300) * 100.0::DOUBLE / count(*) AS pct FROM events WHERE event_type = 'purchase'""")
 def _(spark, sf):
     return quality.run_rules(table(spark, sf, "events"), [Rule("large", F.col("value") > 300, "warn", F.col("event_type") == "purchase")])
+
+
+@query("sketch_ranges", """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS row_count, TRUE AS distinct_close, TRUE AS quantiles_close FROM orders GROUP BY 1""")
+def _(spark, sf):
+    """Sketches per month of two batches, stored, then merged per year; beside them the exact numbers, which tell whether the
+    distinct customers and three quantiles lie within the stated errors."""
+    orders, path = table(spark, sf, "orders"), fresh_path(spark, "sketches")
+    for n in (0, 1):
+        batch = orders.filter(F.pmod("o_custkey", F.lit(2)) == n)
+        tables.append(sketches.sketch_batch(batch, f"b{n}", "o_orderdate", [], ["o_custkey"], ["o_totalprice"]), path)
+    year, wanted = F.year("month").alias("year"), [0.1, 0.5, 0.9]
+    merged = sketches.estimates(sketches.merge_sketches(tables.read_table(spark, path), {"year": year}), wanted)
+    exact = orders.groupBy(F.year("o_orderdate").alias("y")).agg(F.count_distinct("o_custkey").alias("customers"))
+    near = F.abs(F.col("distinct_o_custkey") - F.col("customers")) <= F.col("customers") * sketches.distinct_error() + 1
+    # rank of each estimate: share of rows below and up to it
+    placed = orders.join(merged.select(F.col("year").alias("y2"), "quantiles_o_totalprice"), F.year("o_orderdate") == F.col("y2"))
+    q = [F.get("quantiles_o_totalprice", F.lit(i)) for i in range(len(wanted))]
+    ranks = placed.groupBy("y2").agg(*[
+        x for i, p in enumerate(wanted) for x in (F.avg((F.col("o_totalprice") < q[i]).cast("int")).alias(f"lo{i}"), F.avg((F.col("o_totalprice") <= q[i]).cast("int")).alias(f"hi{i}"))
+    ])
+    inside = [(F.col(f"lo{i}") - sketches.rank_error() <= p) & (F.col(f"hi{i}") + sketches.rank_error() >= p) for i, p in enumerate(wanted)]
+    out = merged.join(exact, F.col("year") == F.col("y")).join(ranks, F.col("year") == F.col("y2"))
+    return out.select("year", F.col("rows").alias("row_count"), near.alias("distinct_close"), (inside[0] & inside[1] & inside[2]).alias("quantiles_close"))
