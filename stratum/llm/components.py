@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import same_key, settled
+from ..session import delete, durable_at, step_path
+from .common import same_key
 
 
 def star(links: DataFrame, large: bool) -> DataFrame:
@@ -34,11 +35,23 @@ def fingerprint_of(links: DataFrame) -> tuple:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, root`` for every node of ``links`` (``a, b`` long) that is not its component's smallest node itself."""
-    now = settled(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    """``node, root`` for every node of ``links`` (``a, b`` long) that is not its component's smallest node itself.
+
+    Links with a null end link nothing. Each round replaces the one before, which is deleted.
+    """
+    spark = links.sparkSession
+
+    def step(frame: DataFrame) -> tuple[DataFrame, str]:
+        path = step_path(spark, "llm-links")
+        return durable_at(frame, path), path
+
+    real = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now, path = step(real.distinct())
     seen = fingerprint_of(now)
     while seen[0]:
-        now = settled(star(star(now, True), False), "links")
+        before = path
+        now, path = step(star(star(now, True), False))
+        delete(spark, before)
         new = fingerprint_of(now)
         if new == seen:
             break

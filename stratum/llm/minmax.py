@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..session import kept, released
 from .common import map_batches, same_key, settled, unused
 from .components import components
 from .words import U, cut_words, mix, text_steps
@@ -183,7 +184,8 @@ def mixed_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if key != cell:
                     out += links(now)
                     cell, now = key, []
-                now.append((outer.as_py(), node.as_py(), component.as_py(), shingles.values.to_numpy()))
+                # a copy: a view would hold its whole batch for as long as the cell lasts
+                now.append((outer.as_py(), node.as_py(), component.as_py(), shingles.values.to_numpy().copy()))
             if len(out) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
                 out = []
@@ -196,7 +198,15 @@ def mixed_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, words: int = 2, percent: int = 80, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row; links need ``100 * both >= percent * either``."""
+    """``doc_id, n_shingles, component_id, kept`` for every row; links need ``100 * both >= percent * either``.
+
+    The result is written; all steps before it are deleted.
+    """
+    with released(docs.sparkSession):
+        return kept(marked_components(docs, words, percent, bands, rows, id_col, text_col), "llm-components")
+
+
+def marked_components(docs: DataFrame, words: int, percent: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
     hasher = MinMax(bands, rows)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = settled(signed_sets(narrow, words, hasher), "signed")
@@ -243,5 +253,5 @@ def near_duplicates(
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each near-duplicate group, with all columns (every row of the kept id)."""
     name = unused(docs, "keep_doc")
-    kept = near_duplicates(docs, words, percent).filter("kept").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
+    stay = near_duplicates(docs, words, percent).filter("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")

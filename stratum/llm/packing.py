@@ -29,7 +29,7 @@ GRID, DEPTH = 64, 4
 #: Salted parts in which the pieces of one length are numbered.
 PARTS = 64
 #: Different stretches that a task remembers.
-CACHE_ENTRIES = 1_500_000
+CACHE_ENTRIES = 600_000
 #: Kinds of bytes: 0 blank, 1 letter, digit or part of a two-byte letter, 2 full stop or comma, 3 other symbols and
 #: what may be one, 4 lead bytes of characters beyond one-byte letters.
 KIND = np.full(256, 3, np.uint8)

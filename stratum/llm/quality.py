@@ -21,6 +21,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import released
 from .common import map_batches, settled, unused
 from .words import BLANK, cut_words, text_steps
 
@@ -152,10 +153,14 @@ def fit_rules(sample: DataFrame, seed: int = 17) -> RuleModel:
     return RuleModel(tuple(Rule(p, float(w)) for p, w in zip(paths, weights) if w), float(lasso.intercept))
 
 
-def training_sample(stats: DataFrame, labels: DataFrame, held_out: Column, limit: int = SAMPLE) -> DataFrame:
-    """Statistics with ``label``; one label per id (the lower of several), not held out, at most ``limit`` rows."""
+def labelled_ids(labels: DataFrame, held_out: Column, limit: int = SAMPLE) -> DataFrame:
+    """``labelled, label``: one label per id (the lower of several), not held out, at most ``limit`` ids by a hash."""
     marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("labelled")).agg(F.min("quality").alias("label"))
-    marks = marks.filter(~held_out).orderBy(F.xxhash64("labelled"), "labelled").limit(limit)
+    return settled(marks.filter(~held_out).orderBy(F.xxhash64("labelled"), "labelled").limit(limit), "quality-labels")
+
+
+def training_sample(stats: DataFrame, marks: DataFrame) -> DataFrame:
+    """Statistics with ``label`` of the rows that ``labelled_ids`` chose."""
     joined = stats.join(marks, F.col("doc_id") == F.col("labelled")).select(*STATISTICS, F.col("label").cast("double").alias("label"))
     return settled(joined, "quality-labelled")
 
@@ -167,17 +172,21 @@ def is_held_out(id_col: str) -> Column:
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, RuleModel]:
     """``doc_id, held_out, score, predicted`` of every document, and the model fitted on ``labels``."""
     stats = settled(statistics(docs, id_col, text_col), "statistics")
-    model = fit_rules(training_sample(stats, labels, is_held_out("labelled")))
+    model = fit_rules(training_sample(stats, labelled_ids(labels, is_held_out("labelled"))))
     score = model.score()
     out = stats.select("doc_id", F.coalesce(is_held_out("doc_id"), F.lit(False)).alias("held_out"), score.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= GOOD).cast("int")), model
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents that the classifier does not reject, with all their columns; their texts are read once more and
-    not shuffled when the rejected ids are few enough for Spark to send them around."""
-    stats = settled(statistics(docs), "statistics")
-    model = fit_rules(training_sample(stats, labels, is_held_out("labelled")))
+    """Documents that the classifier does not reject, with all their columns, null and repeated rows like any other.
+
+    Fitting takes statistics of the labelled sample only; all other texts are looked at once, in the pass that filters.
+    """
+    with released(docs.sparkSession):
+        marks = labelled_ids(labels, is_held_out("labelled"))
+        sample = docs.join(marks, F.col("doc_id").cast("long") == F.col("labelled"), "left_semi")
+        model = fit_rules(training_sample(statistics(sample), marks))
     named = {s: unused(docs, f"statistic_{s}") for s in STATISTICS}
     step_names = list(named.values())
     columns = docs.columns

@@ -70,7 +70,7 @@ def op4(spark, sf):
 
 @query("op5_exact_dedup", oracles.EXACT_DEDUP)
 def op5(spark, sf):
-    return exact_dedup(documents(spark, sf))
+    return exact_dedup(documents(spark, sf), batches=2)
 
 
 @query("op6_previous_factor")
