@@ -66,16 +66,18 @@ def durable(df: DataFrame, name: str = "cut") -> DataFrame:
     Needed where later steps must see one fixed evaluation (partition ids, file listings) even if
     executors are lost and tasks run again. Reading Parquet back also keeps column pruning.
     """
-    path = step_path(df.sparkSession, name)
+    return durable_at(df, step_path(df.sparkSession, name))
+
+
+def durable_at(df: DataFrame, path: str) -> DataFrame:
+    """``durable`` at a path that the caller may ``delete`` once nothing reads it any more."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Like ``durable``, but no scope deletes it: for the result that leaves a ``released`` block."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return durable_at(df, fresh_path(df.sparkSession, name))
 
 
 def delete(spark: SparkSession, path: str) -> None:
