@@ -10,10 +10,10 @@ Suffixes are only sorted where a match can be:
    all bytes of the windows that may own it (at most ``2 * length - GRAM``).
 2. Units sorted by anchor and content: of equal units all but the first are repeated throughout. This settles copies and
    the inside of shared passages. Most anchors occur once and are dropped here.
-3. What is left, different units of one anchor, gets a suffix array by prefix doubling, cut off at ``length`` bytes.
-   In suffix order, ties by position, a start whose previous smaller position lies in its own run of equal prefixes
-   has an earlier factor of ``length`` bytes. Anchors with more than ``HOT`` different units are not gathered
-   in a task: each of their windows is a row and the smallest position per window is an aggregate.
+3. What is left, different units of one anchor, gets a suffix array by prefix doubling, cut off at ``length`` bytes, the
+   common prefixes of its neighbours, and for each start the nearest entries of smaller place before and after it; the
+   larger of the two common prefixes is the start's longest previous factor. Anchors with more than ``HOT`` different
+   units are not gathered in a task: each of their windows is a row and the smallest position per window is an aggregate.
 
 Step 1 hashes (64 bits) only propose groups and equal units; step 3 compares bytes.
 
@@ -190,36 +190,95 @@ def settle_equal_units(found: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "open boolean, doc long, slot long, anchor long")
 
 
+def suffix_names(data: np.ndarray, length: int) -> dict[int, np.ndarray]:
+    """Prefix doubling, cut off at ``length``: for widths 8, 16, .. the rank of every start by its first so many bytes."""
+    words = np.zeros(len(data) - 8, np.uint64)
+    for k in range(8):
+        words = words << U(8) | data[k:k + len(words)]
+    width = 8
+    names = {width: np.unique(words, return_inverse=True)[1].astype(np.int64)}
+    while 2 * width <= length:
+        rank = names[width]
+        pair = rank[:-width] * (int(rank.max()) + 1) + rank[width:]
+        names[2 * width] = np.unique(pair, return_inverse=True)[1].astype(np.int64)
+        width *= 2
+    return names
+
+
+def neighbour_lcp(data: np.ndarray, names: dict[int, np.ndarray], suffixes: np.ndarray, length: int) -> np.ndarray:
+    """Common prefix of each suffix with the one before it in the array (0 for the first), counted to ``length``."""
+    one, two = suffixes[:-1], suffixes[1:]
+    common = np.zeros(len(one), np.int64)
+    for width in sorted(names, reverse=True):
+        common += width * (names[width][one + common] == names[width][two + common])
+    going = np.ones(len(one), bool)
+    for _ in range(7):
+        going &= data[one + common] == data[two + common]
+        common += going
+    return np.concatenate([[0], np.minimum(common, length)])[:len(suffixes)]
+
+
+def smaller_before(place: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry of a suffix array the nearest earlier entry of smaller place (-1: none), and their common prefix.
+
+    The stack pass, all entries at once: an entry jumps from a candidate that is not smaller to that one's own candidate,
+    everything between being larger still, and keeps the least common prefix on the way.
+    """
+    n = len(place)
+    at, low = np.arange(n) - 1, lcp.copy()
+    going = np.arange(1, n)
+    while len(going):
+        going = going[(at[going] >= 0)]
+        going = going[place[at[going]] >= place[going]]
+        via = at[going]
+        at[going], low[going] = at[via], np.minimum(low[going], low[via])
+    low[at < 0] = 0
+    return at, low
+
+
+def longest_previous_factors(data: np.ndarray, starts: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """The longest-previous-factor array of ``starts``: how many bytes from each start, counted to ``length``, also begin at a
+    start of smaller ``place``. Every start has ``length`` bytes of its own; entries of equal place are one start seen twice.
+
+    In suffix order the longest earlier factor of a start is the one it shares with the nearest entry of smaller place before
+    it or after it.
+    """
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    names = suffix_names(data, length)
+    width = max(names)
+    rank = names[width]
+    order = np.lexsort((place, rank[starts + length - width], rank[starts]))
+    lcp = neighbour_lcp(data, names, starts[order], length)
+    _, before = smaller_before(place[order], lcp)
+    # from the other end: the common prefix with the next entry is that entry's own
+    _, after = smaller_before(place[order][::-1], np.concatenate([[0], lcp[:0:-1]]))
+    out = np.empty(len(starts), np.int64)
+    out[order] = np.maximum(before, after[::-1])
+    return out
+
+
 def repeated_starts(units: list[bytes], doc: np.ndarray, start: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """``(unit number, start in the document)`` of every start with an earlier factor of ``length`` bytes.
+    """``(unit number, start in the document)`` of every start whose longest previous factor has ``length`` bytes.
 
-    ``doc`` and ``start`` give the document order and the place of each unit's first byte. Names of 8, 16, .. bytes are
-    ranks in suffix order; two overlapping names make up ``length`` bytes.
+    ``doc`` and ``start`` give the document order and the place of each unit's first byte.
     """
+    if length < 8:
+        raise ValueError("length must be at least 8")
     sizes = np.array([len(u) for u in units])
-    data = np.frombuffer(b"".join(units) + bytes(2 * length), np.uint8)
+    data = np.frombuffer(b"".join(units) + bytes(2 * length + 16), np.uint8)
     total = int(sizes.sum())
     owner = np.repeat(np.arange(len(units)), sizes)
     inside = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    if length < 8:
-        raise ValueError("length must be at least 8")
-    words = np.zeros(len(data) - 8, np.uint64)
-    for k in range(8):
-        words = words << U(8) | data[k:k + len(words)]
-    rank, width = np.unique(words, return_inverse=True)[1].astype(np.int64), 8
-    while 2 * width <= length:
-        pair = rank[:-width] * (int(rank.max()) + 1) + rank[width:]
-        rank, width = np.unique(pair, return_inverse=True)[1].astype(np.int64), 2 * width
     whole = np.flatnonzero(inside + length <= sizes[owner])
-    name = rank[whole] * (int(rank.max()) + 1) + rank[whole + length - width]
     unit = owner[whole]
     at = start[unit] + inside[whole]
-    order = np.lexsort((at, doc[unit], name))
-    name, unit, at = name[order], unit[order], at[order]
-    same = np.concatenate([[False], name[1:] == name[:-1]])
-    # a start seen through two units is no repeat of itself: compare with the first position of the run
-    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(name))))
-    earlier = same & ((doc[unit] != doc[unit[head]]) | (at != at[head]))
+    by_place = np.lexsort((at, doc[unit]))
+    new = np.ones(len(whole), bool)
+    new[1:] = (doc[unit][by_place][1:] != doc[unit][by_place][:-1]) | (at[by_place][1:] != at[by_place][:-1])
+    place = np.empty(len(whole), np.int64)
+    place[by_place] = np.cumsum(new)
+    earlier = longest_previous_factors(data, whole, place, length) >= length
     return unit[earlier], at[earlier]
 
 
