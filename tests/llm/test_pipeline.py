@@ -51,7 +51,7 @@ def test_stages_keep_the_columns(spark, awkward, nothing):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality", "exact_dedup", "near_dedup", "pii", "packing"]
     for docs in (awkward, nothing):
-        for _, stage in corpus_pipeline.STAGES[1:-1]:
+        for _, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, docs, SF)
             assert out.columns == docs.columns and out.count() <= docs.count()
         assert "sequence_id" in corpus_pipeline.STAGES[-1][1](spark, docs, SF).columns
@@ -59,7 +59,7 @@ def test_stages_keep_the_columns(spark, awkward, nothing):
 
 def test_every_operator_has_one_query():
     names = list(contract.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if re.match(rf"op{n}_", x)]) == 1
     assert "pipeline" in names and set(BASE) == {"email", "ip", "card", "phone"}
 
@@ -73,6 +73,6 @@ def test_entry_point_works_without_this_package():
         "            raise ModuleNotFoundError(name)\n"
         "sys.meta_path.insert(0, Gone())\n"
         "import __spark_entry__ as e\n"
-        "assert e.queries() and not [n for n in e.queries() if n.startswith('op1_')] and 'pipeline' not in e.queries()\n"
+        "assert e.queries() and not [n for n in e.queries() if n[:2] == 'op' and n[2].isdigit()] and 'pipeline' not in e.queries()\n"
     )
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
