@@ -2,6 +2,11 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a frame that is written as Parquet and read again as the next
 stage's ``docs``. All stages but the last return the columns of ``documents``.
+
+Rows that are odd have the same fate in every stage as any other row: a null text counts as empty (it is scored, may be the
+copy that stays of all empty texts, holds no personal data and is packed as its end id alone); a null id is kept apart from
+all ids, is never linked as a near copy, and loses to a real id among equal texts; of rows that repeat id and text one
+stays after ``exact_dedup``; empty tables stay empty, and columns that the stages do not know travel along.
 """
 
 from __future__ import annotations
@@ -9,12 +14,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm.common import settled
 from stratum.llm.exact_dedup import keep_largest
 from stratum.llm.minmax import keep_one
 from stratum.llm.packing import pack, token_pieces
 from stratum.llm.pii import redact
 from stratum.llm.quality import keep_good
+from stratum.session import kept, released
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,5 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; each result is written to the shared folder and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = settled(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with released(spark):  # what a stage writes on its way goes when its result is there
+            docs = kept(stage(spark, docs, sf_dir), f"llm-pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
