@@ -174,17 +174,19 @@ def customers(bronze: DataFrame, ctx: RunContext) -> DataFrame:
     return silver_meta(third, "bronze_customers", ctx)
 
 
-# columns that only one of the two tables carries
+# fixed values: columns that only the table of individuals carries
 INDIVIDUAL_ONLY = (
-    "birth_date age age_band gender marital_status ethnicity education_level occupation employer_name annual_income "
-    "income_band customer_segment is_foreign_national primary_citizenship is_dual_citizen id_type id_number "
-    "id_dob_match expiry_date passport_expired passport_valid visa_type visa_expiry_date visa_valid date_of_entry "
-    "financial_goal device_type next_of_kin guardian_customer_id"
-).split()
+    "birth_date", "age", "age_band", "gender", "marital_status", "ethnicity", "education_level", "occupation",
+    "employer_name", "annual_income", "income_band", "customer_segment", "is_foreign_national", "primary_citizenship",
+    "is_dual_citizen", "id_type", "id_number", "id_dob_match", "expiry_date", "passport_expired", "passport_valid",
+    "visa_type", "visa_expiry_date", "visa_valid", "date_of_entry", "financial_goal", "device_type", "next_of_kin",
+    "guardian_customer_id",
+)
+# fixed values: columns that only the table of businesses carries
 BUSINESS_ONLY = (
-    "business_segment company_age company_size number_of_employees annual_turnover directors_count "
-    "shareholders_count beneficial_owners_count bee_level vat_registered industry_risk_rating"
-).split()
+    "business_segment", "company_age", "company_size", "number_of_employees", "annual_turnover", "directors_count",
+    "shareholders_count", "beneficial_owners_count", "bee_level", "vat_registered", "industry_risk_rating",
+)
 
 
 def split_customers(silver: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,13 +13,15 @@ MESSAGE_SCHEMA = "path string, subject string, body string, parse_error string"
 
 def _parse(batches):
     from email import message_from_bytes, policy
+    from email.errors import MessageError
 
     def one(path: str, content: bytes) -> tuple:
         try:
             message = message_from_bytes(content, policy=policy.default)
             part = message.get_body(preferencelist=("plain", "html"))
             return path, str(message["subject"] or ""), part.get_content() if part else "", None
-        except Exception as error:  # keep the row: a broken message is reported, not lost
+        except (ValueError, LookupError, TypeError, AttributeError, MessageError) as error:
+            # what a broken message makes the parser raise: the row is kept and reported, other errors fail the task
             return path, None, None, type(error).__name__
 
     for batch in batches:
