@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 #: What became of a row in a merge.
 STATE = "__merge_state"
+#: Parts into which the rows of one place are dealt.
+SLOTS = 64
 
 
 def null_spread(keys: Sequence[str], columns: Sequence[str], side: int) -> Column:
@@ -51,6 +53,14 @@ def upsert(
     target rows stay. Source keys must be unique: check with :func:`repeated_keys` first. ``state`` names a column that
     tells ``inserted``, ``updated`` and ``untouched`` rows apart.
     """
+    return _merged(_paired(target, source, keys), target, source, preserve, touch, state)
+
+
+def _merged(
+    pairs: DataFrame, target: DataFrame, source: DataFrame, preserve: Sequence[str], touch: Mapping[str, Column] | None, state: str | None,
+    also: Sequence[str] = (),
+) -> DataFrame:
+    """The merged rows of ``pairs`` (target row ``t``, source row ``s``), with the columns ``also`` of the pairs as they are."""
     touch = touch or {}
     have_t, have_s = set(target.columns), set(source.columns)
     matched = F.col("s").isNotNull() & F.col("t").isNotNull()
@@ -64,7 +74,41 @@ def upsert(
     if state:
         kind = F.when(matched, "updated").when(F.col("s").isNotNull(), "inserted").otherwise("untouched")
         out.append(kind.alias(state))
-    return _paired(target, source, keys).select(*out)
+    return pairs.select(*out, *also)
+
+
+def upsert_placed(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    place: str,
+    preserve: Sequence[str] = (),
+    touch: Mapping[str, Column] | None = None,
+    state: str | None = None,
+) -> DataFrame:
+    """:func:`upsert` of frames whose column ``place`` follows from the key, with the rows dealt by place for the write.
+
+    A join deals rows by the whole key, and a write by place would shuffle and sort them again. Here both sides go once to
+    ``SLOTS`` parts of their place, and a row meets its key's others there.
+    """
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+    def side(df: DataFrame, number: int) -> DataFrame:
+        columns = [c for c in df.columns if c != place]
+        spread = null_spread(keys, df.columns, number)
+        return df.select(
+            F.col(place), F.pmod(F.xxhash64(*[F.col(k) for k in keys], spread, F.lit("slot")), F.lit(SLOTS)).cast("int").alias("__slot"),
+            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.when(missing, F.lit(number)).otherwise(-1).alias("__side"),
+            spread.alias("__spread"), F.struct(*columns).alias("ts"[number]),
+        )
+
+    t, s = side(target, 0), side(source, 1)
+    rows = t.unionByName(s, allowMissingColumns=True).repartition(place, "__slot")
+    # nulls match nothing: sides with a null in the key do not meet
+    one = Window.partitionBy(place, "__slot", *[f"__k{i}" for i in range(len(keys))], "__side", "__spread")
+    met = rows.withColumns({"__s": F.first("s", ignorenulls=True).over(one), "__t": F.count("t").over(one)})
+    pairs = met.filter(F.col("t").isNotNull() | (F.col("__t") == 0)).select(place, "t", F.col("__s").alias("s"))
+    return _merged(pairs, target.drop(place), source.drop(place), preserve, touch, state, [place])
 
 
 def upsert_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

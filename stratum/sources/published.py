@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.scd2 import CURRENT, scd2_apply, scd2_init, version_changes
-from ..operators.upsert import STATE, require_unique, upsert
-from ..session import durable, step_path
+from ..operators.upsert import STATE, require_unique, upsert_placed
+from ..session import delete, durable, step_path
 
 LOG_SCHEMA = (
     "batch_id string, path string, published timestamp, bucket int, buckets int, table_rows bigint, table_schema string"
@@ -132,14 +132,18 @@ def bucket_of(keys: Sequence[str], columns: Sequence[str], buckets: int) -> Colu
     return F.pmod(F.when(missing, spread).otherwise(F.xxhash64(*[F.col(k) for k in keys])), F.lit(buckets)).cast("int")
 
 
-def write_counted(df: DataFrame, path: str, metrics: Mapping[str, Column], drop: Sequence[str] = (), by: str | None = None) -> dict[str, int]:
+def write_counted(
+    df: DataFrame, path: str, metrics: Mapping[str, Column], drop: Sequence[str] = (), by: str | None = None, dealt: bool = False
+) -> dict[str, int]:
     """Write ``df`` and return counts taken by the write itself, without another pass.
 
+    Rows are dealt out ``by`` a column for the write, unless they are ``dealt`` already.
+
     The rows are observed after the last shuffle, in the tasks whose results are committed: a task that is repeated
     counts once. ``rows`` is always among the counts.
     """
     seen = Observation()
-    laid = df.hint("rebalance", by) if by else df
+    laid = df.hint("rebalance", by) if by and not dealt else df
     watched = laid.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.cast("bigint").alias(n) for n, m in metrics.items()])
     writer = watched.drop(*drop).write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).parquet(path)
@@ -174,7 +178,7 @@ def _keyed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
 
 def _rewrite(
     spark: SparkSession, root: str, batch_id: str, state: State | None, touched: list[int], placed: DataFrame, buckets: int,
-    metrics: Mapping[str, Column], growth: Callable[[Mapping[str, int]], int] = lambda counts: counts["rows"],
+    metrics: Mapping[str, Column], growth: Callable[[Mapping[str, int]], int] = lambda counts: counts["rows"], dealt: bool = False,
 ) -> dict[str, int]:
     """Publish ``placed`` (rows with their bucket) as the new content of the ``touched`` buckets.
 
@@ -184,7 +188,7 @@ def _rewrite(
     schema = StructType([f for f in placed.schema.fields if f.name not in (BUCKET, STATE)])
     counts = {"rows": 0, **dict.fromkeys(metrics, 0)}
     if touched:
-        counts = write_counted(placed, path, metrics, [STATE], by=BUCKET)
+        counts = write_counted(placed, path, metrics, [STATE], by=BUCKET, dealt=dealt)
     rows = (state.rows or 0 if state else 0) + growth(counts)
     # without a touched bucket the batch is on record all the same
     _log_rows(spark, root, batch_id, path, touched or [-1], (buckets, rows, merged_schema(state.schema if state else None, schema).json()))
@@ -203,6 +207,24 @@ def _bucketed(spark: SparkSession, root: str, keys: Sequence[str], buckets: int)
     return current_state(spark, root)
 
 
+def _first_load(source: DataFrame, root: str, keys: Sequence[str], batch_id: str, buckets: int) -> int:
+    """Write ``source`` as the new table, check its keys on what is written and publish it; returns its rows."""
+    spark, path = source.sparkSession, f"{root}/batch={batch_id}"
+    placed = _keyed(source, keys, buckets)
+    rows = write_counted(placed, path, {}, by=BUCKET)["rows"]
+    placed = spark.read.schema(placed.schema).parquet(path)
+    found = []
+    if rows:
+        try:
+            require_unique(placed, keys)
+        except ValueError:
+            delete(spark, path)
+            raise
+        found = distinct_buckets(placed)
+    _log_rows(spark, root, batch_id, path, found or [-1], (buckets, rows, placed.drop(BUCKET).schema.json()))
+    return rows
+
+
 def merge_table(
     source: DataFrame,
     root: str,
@@ -211,42 +233,43 @@ def merge_table(
     preserve: Sequence[str] = (),
     touch: Mapping[str, Column] | None = None,
     buckets: int = BUCKETS,
+    written: bool = False,
 ) -> dict[str, int]:
     """Upsert into the bucketed table (first run: create it); returns true insert, update and untouched counts.
 
     Source keys must be unique. ``buckets`` counts when the table is new. Rows of a null key are spread by their columns,
-    so a batch may touch more buckets than it has keys.
+    so a batch may touch more buckets than it has keys. ``written`` tells that the source is read from written files: it is
+    not written once more.
     """
     spark = source.sparkSession
     _refuse_twice(spark, root, batch_id)
-    source = durable(source, "merge-source")
-    require_unique(source, keys)
     state = _bucketed(spark, root, keys, buckets)
-    merged_schema(state.schema if state else None, source.schema)
-    n = state.buckets if state else buckets
+    if state is None:
+        return {"inserted": _first_load(source, root, keys, batch_id, buckets), "updated": 0, "untouched": 0}
+    source = source if written else durable(source, "merge-source")
+    require_unique(source, keys)
+    merged_schema(state.schema, source.schema)
+    n = state.buckets
     source = _keyed(source, keys, n)
     touched = distinct_buckets(source)
-    if state is None:
-        counts = _rewrite(spark, root, batch_id, None, touched, source, n, {})
-        return {"inserted": counts["rows"], "updated": 0, "untouched": 0}
-    merged = upsert(read_state(spark, state, touched, placed=True), source, keys, preserve, touch, state=STATE)
+    merged = upsert_placed(read_state(spark, state, touched, placed=True), source, keys, BUCKET, preserve, touch, state=STATE)
     metrics = {kind: F.count_if(F.col(STATE) == kind) for kind in ("inserted", "updated")}
-    counts = _rewrite(spark, root, batch_id, state, touched, merged, n, metrics, lambda c: c["inserted"])
+    counts = _rewrite(spark, root, batch_id, state, touched, merged, n, metrics, lambda c: c["inserted"], dealt=True)
     return {"inserted": counts["inserted"], "updated": counts["updated"], "untouched": (state.rows or 0) - counts["updated"]}
 
 
 def merge_history(
     incoming: DataFrame, root: str, key: str, tracked: Sequence[str], from_col: str, as_of: dt.date | str, batch_id: str,
-    key_name: str = "dim_key", buckets: int = BUCKETS,
+    key_name: str = "dim_key", buckets: int = BUCKETS, written: bool = False,
 ) -> dict[str, int]:
     """Apply one snapshot to a bucketed type-2 history; buckets without a change are neither read whole nor written.
 
     The changes are found on the key and the tracked columns of the open versions alone. Rows with a null key open a version
-    each time they come, like anywhere else. Returns ``inserted`` and ``expired`` versions.
+    each time they come, like anywhere else. Returns ``inserted`` and ``expired`` versions. ``written``: see :func:`merge_table`.
     """
     spark = incoming.sparkSession
     _refuse_twice(spark, root, batch_id)
-    incoming = durable(incoming, "history-source")
+    incoming = incoming if written else durable(incoming, "history-source")
     require_unique(incoming, [key])
     state = _bucketed(spark, root, [key], buckets)
     n = state.buckets if state else buckets

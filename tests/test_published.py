@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratum.operators.scd2 import scd2_apply, scd2_init
-from stratum.operators.upsert import upsert
+from stratum.operators.upsert import upsert, upsert_placed
 from stratum.sources import published, tables
 
 KINDS = "k long, v string, created int"
@@ -152,3 +152,33 @@ def test_counts_survive_a_failing_task(spark, tmp_path):
         with pytest.raises(Exception):  # a local master does not repeat tasks: the write fails and is run again
             published.write_counted(df, str(tmp_path / "out"), {})
     assert published.write_counted(df, str(tmp_path / "out"), {"even": F.count_if(F.col("id") % 2 == 0)}) == {"rows": 1000, "even": 500}
+
+
+def test_first_load_writes_its_rows_once(spark, tmp_path, monkeypatch):
+    def no_step(df, name="cut"):
+        raise AssertionError("written beside the table")
+
+    monkeypatch.setattr(published, "durable", no_step)
+    root = str(tmp_path / "once")
+    rows = spark.createDataFrame([(1, "a"), (None, "b"), (None, "b"), (3, "c")], "k long, v string")
+    assert tables.merge_table(rows, root, ["k"], "b1") == {"inserted": 4, "updated": 0, "untouched": 0}
+    # a source read from files is not written again either; nulls in the key match nothing
+    new = spark.createDataFrame([(1, "x"), (None, "b"), (9, "n")], "k long, v string")
+    assert tables.merge_table(new, root, ["k"], "b2", written=True) == {"inserted": 2, "updated": 1, "untouched": 3}
+    got = sorted(map(tuple, tables.current_snapshot(spark, root).collect()), key=repr)
+    assert got == sorted([(1, "x"), (None, "b"), (None, "b"), (None, "b"), (3, "c"), (9, "n")], key=repr)
+
+
+def test_repeated_keys_of_a_first_load_publish_nothing(spark, tmp_path):
+    root = str(tmp_path / "twice")
+    with pytest.raises(ValueError, match="not unique"):
+        tables.merge_table(spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string"), root, ["k"], "b1")
+    assert tables.current_snapshot(spark, root) is None and not (tmp_path / "twice" / "batch=b1").exists()
+
+
+def test_merge_deals_rows_once(spark):
+    rows = spark.range(100).selectExpr("id AS k", "id * 2 AS v", "CAST(id % 4 AS int) AS b")
+    merged = upsert_placed(rows, rows.limit(10), ["k"], "b", state="state")
+    plan = merged.groupBy("b", "state").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("RepartitionByExpression") == 1
+    assert merged.filter("state = 'updated'").count() == 10 and merged.count() == 100
