@@ -24,9 +24,11 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Iterable[Column | str],
     with an empty ``tie`` the order is taken as total and nothing else is read.
     """
     order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order]
-    last = [] if tie is not None and not tie else [row_tiebreak(df, tie)]
-    window = Window.partitionBy(*keys).orderBy(*order, *last)
-    return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
+    if tie is None or tie:
+        # taken before the shuffle: columns that only the hash reads are not shuffled and sorted
+        df, order = df.withColumn("__tie", row_tiebreak(df, tie)), [*order, F.col("__tie")]
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank", "__tie")
 
 
 def drop_copies(

@@ -12,7 +12,7 @@ from ...functions import bands, masking
 from ...functions.casting import flatten, project
 from ...functions.keys import surrogate
 from ...operators.control import add_late_rows
-from ...operators.dedup import latest_by
+from ...operators.dedup import latest_by, row_tiebreak
 from ...operators.integrity import existence_flag, key_union
 from ...operators.quality import Rule, required
 from .common import BRONZE_META, kinds, silver_meta
@@ -122,9 +122,13 @@ def transactions(bronze: DataFrame, ctx: RunContext, deposits: DataFrame | None
 
     Of rows with one file period and ingest time the largest by ``ties`` stays (by a hash of the row without them).
     """
-    newest = latest_by(bronze, ["transaction_id", "transaction_date"], ["year", "month", "_ingest_timestamp", *ties])
-    flat = flatten(newest, TRANSACTION_PARTS, REDUNDANT_COLUMNS).drop(*DROPPED_COLUMNS)
-    clean = project(flat, TRANSACTION_SPEC, keep=BRONZE_META)
+    # rows are flat and typed before the newest is chosen, by the values as they came: narrow rows are shuffled and sorted
+    came = {"__day": F.col("transaction_date"), **{f"__by{i}": F.col(c) for i, c in enumerate(ties)}, "__row": row_tiebreak(bronze)}
+    flat = flatten(bronze.withColumns(came), TRANSACTION_PARTS, REDUNDANT_COLUMNS).drop(*DROPPED_COLUMNS)
+    slim = project(flat, TRANSACTION_SPEC, keep=(*BRONZE_META, *came), missing="skip")
+    order = ["year", "month", "_ingest_timestamp", *list(came)[1:-1], F.col("__row")]
+    newest = latest_by(slim, ["transaction_id", "__day"], order, tie=())
+    clean = project(newest, TRANSACTION_SPEC, keep=BRONZE_META)
     masked = masking.mask(
         clean, {"beneficiary_name": "hash", "do_beneficiary_name": "hash", "receiving_account": "last4"}, ctx.salt
     )

@@ -285,3 +285,12 @@ def test_conform_to_schema(spark):
     df = spark.createDataFrame([("7", "x", "gone")], "a string, b string, z string")
     out = conform(df, StructType.fromDDL("b int, a int, c double"))
     assert out.dtypes == [("b", "int"), ("a", "int"), ("c", "double")] and tuple(out.first()) == (None, 7, None)
+
+
+def test_columns_that_only_break_ties_are_not_shuffled(spark):
+    import re
+
+    df = spark.createDataFrame([(1, 2, "a"), (1, 2, "b")], "k int, t int, wide string")
+    plan = dedup.latest_by(df, ["k"], ["t"]).select("k", "t")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = next(x for x in plan if "xxhash64" in x)
+    assert any("Window [" in x for x in plan[:plan.index(below)]) and "wide" not in re.sub(r"xxhash64\(.*?\) AS", "", below)
