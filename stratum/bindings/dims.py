@@ -122,10 +122,11 @@ def _(spark, sf):
     from dataclasses import replace
 
     from ..plans.gold import GoldTable, run_gold
-    from ..session import fresh_path
+    from ..session import durable, fresh_path
     from ..sources.tables import read_table
 
-    accounts, moves = views.accounts(spark, sf), views.transactions(spark, sf)
+    # four tables are built from the transactions: their newest rows are found once
+    accounts, moves = views.accounts(spark, sf), durable(views.transactions(spark, sf), "gold-transactions")
     early = accounts.filter(F.col("opening_date") < GOLD_CUT).withColumn("account_status", F.lit("active"))
     root, log = fresh_path(spark, "gold"), fresh_path(spark, "gold-control")
 

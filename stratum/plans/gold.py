@@ -48,15 +48,15 @@ def audited(spark: SparkSession, path: str, table: GoldTable, batch_id: str) ->
 def publish_table(table: GoldTable, rows: DataFrame, read: int, root: str, ctx: RunContext) -> dict[str, int]:
     """Publish one table from ``read`` rows that are already written; keys must be unique whatever the kind."""
     spark, place = rows.sparkSession, f"{root}/{table.name}"
-    require_unique(rows, table.keys)
-    if table.kind == "upsert":
-        counts = tables.merge_table(rows, place, table.keys, ctx.batch_id)
+    if table.kind == "upsert":  # merges check the keys themselves
+        counts = tables.merge_table(rows, place, table.keys, ctx.batch_id, written=True)
         return {"rows_inserted": counts["inserted"], "rows_expired": 0}
     if table.kind == "replace":
+        require_unique(rows, table.keys)
         tables.publish(rows, place, ctx.batch_id)
         return {"rows_inserted": read, "rows_expired": 0}
     [key] = table.keys
-    counts = tables.merge_history(rows, place, key, table.tracked, table.from_col, ctx.as_of, ctx.batch_id, table.key_name)
+    counts = tables.merge_history(rows, place, key, table.tracked, table.from_col, ctx.as_of, ctx.batch_id, table.key_name, written=True)
     return {"rows_inserted": counts["inserted"], "rows_expired": counts["expired"]}
 
 
