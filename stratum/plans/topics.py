@@ -283,10 +283,10 @@ def topic_summary(scored: DataFrame, subject: str, body: str, id_col: str, commo
 
 
 # fixed values: published columns of the assignments
-ASSIGNMENT_COLUMNS = (
+ASSIGNMENT_COLUMNS = [
     "message_id", "subject", "body", "subject_norm", "subject_count", "subject_is_common", "body_template_count", "body_is_common",
     "topic", "topic_label", "confidence", "needs_review",
-)
+]
 
 
 def assignments(scored: DataFrame, summary: DataFrame) -> DataFrame:
