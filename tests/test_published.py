@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -182,3 +183,22 @@ def test_merge_deals_rows_once(spark):
     plan = merged.groupBy("b", "state").count()._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and plan.count("RepartitionByExpression") == 1
     assert merged.filter("state = 'updated'").count() == 10 and merged.count() == 100
+
+
+def test_gold_writes_built_rows_once(spark, tmp_path, monkeypatch, ctx):
+    from stratum.plans.gold import GoldTable, run_gold
+
+    def no_step(df, name="cut"):
+        raise AssertionError("written twice")
+
+    monkeypatch.setattr(published, "durable", no_step)
+    root, log = str(tmp_path / "gold"), str(tmp_path / "log")
+    for batch, rows in (("b1", [(1, "a")]), ("b2", [(1, "b"), (2, "c")])):
+        df = spark.createDataFrame(rows, "k long, v string").withColumn("since", F.lit("2020-01-01").cast("date"))
+        plan = [
+            (GoldTable("fact", "s", "upsert", ("k",)), lambda ready, df=df: df),
+            (GoldTable("dim", "s", "history", ("k",), ("v",), "since"), lambda ready, df=df: df),
+        ]
+        done = run_gold(spark, plan, root, log, replace(ctx, batch_id=batch))
+    assert done["fact"] == {"rows_read": 2, "rows_inserted": 1, "rows_expired": 0}
+    assert done["dim"] == {"rows_read": 2, "rows_inserted": 2, "rows_expired": 1}
