@@ -309,6 +309,37 @@ def test_partial_quotes_before_and_between_full_ones(make_docs, prose, monkeypat
     assert all({a % 9, b % 9} <= {3, 7, 2, 4, 8} for a, b in got)
 
 
+def test_repetitive_texts_make_few_windows_and_stay_covered(make_docs, prose):
+    unit = prose(7500, 30)
+    rows = [(1, " ".join([prose(7501, 80), *[unit] * 10])), (2, " ".join([*[unit] * 100, prose(7502, 80)])), (3, " ".join(["same"] * 400)), (4, " ".join(["same"] * 300))]
+    docs = make_docs(rows).selectExpr("doc_id AS doc", "text")
+    assert compact.windows_of(docs, 4, 46, 5).count() < 200
+    got = similar_passages(make_docs(rows)).collect()
+    assert {(r.doc_id, r.other_id) for r in got} == {(2, 1), (4, 3)}
+    assert set(range(2990)) <= {w for r in got if r.doc_id == 2 for w in range(r.first_word, r.last_word + 1)}
+    assert set(range(300)) == {w for r in got if r.doc_id == 4 for w in range(r.first_word, r.last_word + 1)}
+    words = {i: words_of(t) for i, t in rows}
+    for r in got:
+        x, y = (shingles(" ".join(w), 5) for w in (words[r.doc_id][r.first_word:r.last_word + 1], words[r.other_id][r.other_first:r.other_last + 1]))
+        assert r.similarity == 100 * len(x & y) // len(x | y) >= 80
+
+
+def test_windows_of_documents_in_a_row():
+    """Windows of several documents in one step equal those of each for itself."""
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, 30, n).astype(np.uint64) for n in (6, 40, 7, 200)]
+    factors, edges = np.array([7, 11], np.uint64), np.cumsum([0, 6, 40, 7, 200])
+    together = set(zip(*(c.tolist() for c in compact_windows(np.concatenate(texts), factors, 6, edges))))
+    alone = {(f, v, c + e, x + e, y + e) for t, e in zip(texts, edges.tolist()) for f, v, c, x, y in zip(*(k.tolist() for k in compact_windows(t, factors, 6)))}
+    assert together == alone
+
+
+def test_different_values_of_places_in_a_row():
+    values = np.random.default_rng(9).integers(0, 6, 50).astype(np.uint64)
+    before = compact.earlier(values)[0]
+    assert compact.different(before, 7).tolist() == [len(set(values[i:i + 7].tolist())) for i in range(44)]
+
+
 def test_passages_of_awkward_rows(awkward, nothing):
     got = {(r.doc_id, r.other_id) for r in similar_passages(awkward).collect()}
     assert (2, 1) in got and (11, 10) in got and not any(None in p for p in got)
