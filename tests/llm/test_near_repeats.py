@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -13,6 +14,7 @@ from stratum.llm.compact_windows import cartesian_spans, chains, compact_windows
 from stratum.llm.components import components
 from stratum.llm.minmax import MinMax, keep_one, near_duplicates, shingle_sets
 from stratum.llm.previous_factor import anchors, joined_runs, later_copies, remove_repeats, repeated_starts, sliding_min
+from stratum.session import CLEANUP_CONF
 
 
 def words_of(text):
@@ -340,6 +342,76 @@ def test_different_values_of_places_in_a_row():
     assert compact.different(before, 7).tolist() == [len(set(values[i:i + 7].tolist())) for i in range(44)]
 
 
+def test_steps_of_passages_leave_no_shuffle_files(make_docs, quoting):
+    """Files of shuffles go with their step; they stayed until the driver's garbage was collected."""
+    docs = make_docs(quoting)
+    files = docs.sparkSession.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = files.getAllBlocks()
+        return {str(found.apply(k)) for k in range(found.size()) if "shuffle" in str(found.apply(k))}
+
+    before = shuffled()
+    got = similar_passages(docs)
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    left = shuffled() - before
+    assert got.count() and not left
+    assert docs.sparkSession.conf.get(CLEANUP_CONF, None) != "true", "only within the operator"
+
+
+def test_short_tokens_refuse_phrases_and_no_passage():
+    rng = np.random.default_rng(11)
+    ranges, phrases = [], []
+    for k in range(400):
+        text = rng.integers(0, 1 << 63, 90).astype(np.uint64) * np.uint64(2)
+        if k % 3 == 0:
+            text[rng.integers(0, 90, 30)] = text[0]
+        other = rng.integers(0, 1 << 63, 120).astype(np.uint64) * np.uint64(2)
+        size = (60, 20)[k % 2]
+        other[10:10 + size] = text[15:15 + size]
+        other[rng.integers(0, 120, k % 7)] += np.uint64(1 << 50)
+        ranges += [text, other]
+        phrases.append(size == 20 and k % 3 > 0)
+    found = {"tokens": (np.concatenate(ranges) >> np.uint64(48)).astype(np.uint16), "ends": np.cumsum([0, *map(len, ranges)])}
+    left = np.arange(0, 800, 2)
+    alike = compact.can_share(found, left, left + 1, 80, 46)
+    want = np.array([bool(shared_passages(ranges[k + 1], ranges[k], 80, 46, 5)) for k in left])
+    assert alike[want].all() and want.sum() > 100
+    assert not alike[np.array(phrases)].any() and sum(phrases) > 100
+    # nor does the test on places, of ranges without repeats
+    for k in (k for k in left[want].tolist() if len(set(ranges[k].tolist())) == 90):
+        a, b = ranges[k], ranges[k + 1]
+        fa, la, fb, lb, _ = shared_passages(a, b, 80, 46, -5)[0]
+        place = next(x for x in range(fa, la + 1) if a[x] in b[fb:lb + 1])
+        places = np.flatnonzero(np.isin(a, b))
+        assert compact.dense_around(np.zeros(len(places), int), places, np.array([place]), 121, 80, 46)[0]
+
+
+def test_passages_of_documents_in_parts(make_docs, quoting, monkeypatch):
+    """A document of very many spots brings its text to several rows."""
+    whole = {tuple(r)[:7] for r in similar_passages(make_docs(quoting)).collect()}
+    monkeypatch.setattr(compact, "PARTS", 3)
+    assert {tuple(r)[:7] for r in similar_passages(make_docs(quoting)).collect()} == whole
+
+
+def test_islands_are_ranges_that_touch():
+    rng = np.random.default_rng(12)
+    home, first = rng.integers(0, 5, 300), rng.integers(0, 4000, 300)
+    last = first + rng.integers(0, 60, 300)
+    got = compact.islands(home, first, last, 20)
+    for doc in range(5):
+        mine = sorted(zip(first[home == doc].tolist(), last[home == doc].tolist(), got[home == doc].tolist()))
+        name, end = None, None
+        for x, y, island in mine:
+            if end is None or x - 20 > end + 21:
+                name, end = x, y
+            end = max(end, y)
+            assert island == name
+
+
 def test_passages_of_awkward_rows(awkward, nothing):
     got = {(r.doc_id, r.other_id) for r in similar_passages(awkward).collect()}
     assert (2, 1) in got and (11, 10) in got and not any(None in p for p in got)
